@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparquill.llm.decontam import OP10_SQL, op10_decontaminate
+from sparquill.llm.embed_dedup import OP3_SQL, op3_embedding_near_dedup
 from sparquill.llm.packing import op1_pack_sum_of_squares
 from sparquill.llm.pii import op7_personal_data
 from sparquill.llm.quality import op5_quality_ordinal
@@ -15,9 +16,9 @@ from sparquill.llm.toxicity import op2_toxicity_neighbours
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_pack_sum_of_squares, op2_toxicity_neighbours, op5_quality_ordinal, op7_personal_data, op9_simhash_near_dedup, op10_decontaminate)
+    found = (op1_pack_sum_of_squares, op2_toxicity_neighbours, op3_embedding_near_dedup, op5_quality_ordinal, op7_personal_data, op9_simhash_near_dedup, op10_decontaminate)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontaminate": OP10_SQL}
+    return {"op3_embedding_near_dedup": OP3_SQL, "op10_decontaminate": OP10_SQL}
