@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparquill.functions.text import col, strip, text
 
 #: The parts of a batch result line that are read.
-RESPONSE = T.StructType.fromDDL(
+RESPONSE = (
     "custom_id string, error string, response struct<status_code: int, body: struct<output_text: string, output: array<struct<type: string, content: array<struct<type: string, text: string>>>>>>"
 )
 

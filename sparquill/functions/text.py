@@ -129,7 +129,8 @@ def compact_list(c: Column | str, max_items: int = 8) -> Column:
 
 def join_list(c: Column | str) -> Column:
     """Non-blank items, stripped, joined by semicolons."""
-    return F.array_join(clean_list(c), "; ")
+    kept = F.filter(F.transform(F.coalesce(col(c), F.array().cast("array<string>")), lambda x: strip(text(x))), lambda x: F.length(x) > 0)
+    return F.array_join(kept, "; ")
 
 
 def clean_list(c: Column | str) -> Column:

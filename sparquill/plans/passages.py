@@ -35,6 +35,7 @@ FROM documents
 def derived(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
     """The shared SQL text over tables of the folder."""
     views = {t: read(spark, sf_dir, t) for t in tables}
+    sql = sql.replace("{", "{{").replace("}", "}}")
     for t in tables:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
     return spark.sql(sql, **views)
