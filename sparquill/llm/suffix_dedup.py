@@ -35,12 +35,12 @@ from sparquill.llm._runtime import drop_table, read, sliced, text_columns, write
 
 WIDTH = 50
 K = 20
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 #: Anchors per bucket aimed at, and strings of one suffix array batch.
-BUCKET_ANCHORS = 1 << 19
-BATCH = 1 << 18
+BUCKET_ANCHORS = 1 << 18
+BATCH = 1 << 17
 _NULL_ID = np.iinfo(np.int64).max
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 # --- anchors --------------------------------------------------------------------------------
@@ -64,29 +64,44 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return _mix(h, v[K - 8 : K - 8 + n], 0x94D049BB133111EB)
 
 
-def anchors(raw: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """(anchor position of the string at each byte, hashes of all k-grams)."""
+def runs(raw: np.ndarray, ends: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Super strings of documents in a row that end at ``ends``: (first string, number of strings, document, anchor hash).
+
+    Works through the bytes in chunks; a super string that meets a chunk's end is two, which changes no match.
+    """
     n, w = len(raw) - width + 1, width - K + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = np.concatenate([gram_hashes(raw[at : at + _CHUNK + K - 1]) for at in range(0, len(raw) - K + 1, _CHUNK)])
-    out = np.empty(n, np.int64)
     low = np.uint64((1 << 24) - 1)
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
     for at in range(0, n, _CHUNK):
-        part = hashes[at : at + _CHUNK + w - 1]
-        key = (part & ~low) | np.arange(len(part), dtype=np.uint64)  # smallest hash, then leftmost
+        size = min(_CHUNK, n - at)
+        hashes = gram_hashes(raw[at : at + size + width - 1])
+        key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)  # smallest hash, then leftmost
         span = 1
         while span * 2 <= w:
             key = np.minimum(key[:-span], key[span:])
             span *= 2
         if w > span:
             key = np.minimum(key[: len(key) - (w - span)], key[w - span :])
-        out[at : at + len(key)] = (key & low).astype(np.int64) + at
-    return out, hashes
+        anchor = (key & low).astype(np.int32)
+        valid = np.ones(size, bool)
+        lo, hi = np.searchsorted(ends, [at, at + size + width])
+        for end in ends[lo:hi].tolist():  # strings that would cross into the next document
+            valid[max(0, end - width + 1 - at) : max(0, end - at)] = False
+        new = np.ones(size, bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | ~valid[:-1]
+        start = np.flatnonzero(new & valid)
+        stop = np.flatnonzero(valid & np.concatenate((new[1:] | ~valid[1:], [True]))) + 1
+        # Anchors are minima, so their hashes are mixed again before buckets are taken from the high bits.
+        again = hashes[anchor[start]] * np.uint64(0xD6E8FEB86659FD93)
+        again = (again ^ (again >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        out.append((start + at, stop - start, np.searchsorted(ends, start + at, side="right"), again))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 class Segment:
-    """Documents in a row; ``runs`` are the super strings as (first string, number of strings, document, anchor)."""
+    """Documents in a row; ``runs`` are the super strings."""
 
     def __init__(self, ids: bytes, lengths: bytes, blob: bytes, width: int = WIDTH) -> None:
         self.ids, self.lengths, self.width = np.frombuffer(ids, "<i8"), np.frombuffer(lengths, "<i8"), width
@@ -95,19 +110,7 @@ class Segment:
         self.bytes = np.frombuffer(self.raw, np.uint8)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        at, hashes = anchors(self.bytes, self.width)
-        n = len(at)
-        if not n:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-        valid = np.ones(n, bool)
-        for end in self.ends.tolist():  # strings that would cross into the next document
-            valid[max(0, end - self.width + 1) : end] = False
-        new = np.ones(n, bool)
-        new[1:] = (at[1:] != at[:-1]) | ~valid[:-1]
-        start = np.flatnonzero(new & valid)
-        stop = np.flatnonzero(valid & np.concatenate((new[1:] | ~valid[1:], [True]))) + 1
-        doc = np.searchsorted(self.ends, start, side="right")
-        return start, stop - start, doc, hashes[at[start]]
+        return runs(self.bytes, self.ends, self.width)
 
 
 def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +335,7 @@ def _resolve(width: int, base: int):
             at = begin[of[own]] + step[own] - lo
             lead[own], digest[own] = l[at], d[at]
         # Sub-families by digest bound the sorted arrays, whatever the bucket's size.
-        parts = max(1, -(-len(of) // (8 * base)))
+        parts = max(1, -(-len(of) // (4 * base)))
         part = ((digest >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
         first = np.empty(len(of), np.int64)
         for p in range(parts):
@@ -341,8 +344,8 @@ def _resolve(width: int, base: int):
             for a in range(0, len(rows), base):
                 own = rows[a : a + base]
                 family.insert(lead[own], digest[own], doc[of[own]])
-            for a in range(0, len(rows), 4 * base):
-                own = rows[a : a + 4 * base]
+            for a in range(0, len(rows), base):
+                own = rows[a : a + base]
                 first[own] = family.first(lead[own], digest[own])
         # Equal super strings of different segments: the first document of all is that of the whole string.
         whole = np.zeros(len(size), np.uint64)
