@@ -29,8 +29,11 @@ MAX_TERMS = 4_000
 NEIGHBOURS = 15
 FOLDS = 5
 BLOCK = 64
-PREFIXES = (4, 5, 6)
-_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+PREFIXES = (4, 5, 6, 7, 8)
+#: A term that occurs this often in a text counts as a term of its own as well (marked with a number).
+OFTEN = (2, 4)
+#: Whatever is no letter of a lowered text becomes a separator.
+_WORDS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def held_out(doc_id) -> bool:
@@ -38,13 +41,17 @@ def held_out(doc_id) -> bool:
 
 
 def terms_of(text: str | None) -> Counter:
-    """Counts of words, and of prefixes of longer words (marked with a star)."""
-    words = Counter((text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split())
+    """Counts of words, of prefixes of longer words (marked with a star), and terms for what occurs often."""
+    words = Counter((text or "").lower().encode("utf-8", "surrogatepass").translate(_WORDS).split())
     out = Counter(words)
     for w, n in words.items():
         for k in PREFIXES:
             if len(w) > k:
                 out[w[:k] + b"*"] += n
+    for t, n in list(out.items()):
+        for often in OFTEN:
+            if n >= often:
+                out[t + b"#%d" % often] = 1
     return out
 
 
@@ -73,17 +80,27 @@ class Lexicon:
 
     def __init__(self, terms: list[bytes]) -> None:
         self.ids = {t: k for k, t in enumerate(terms)}
-        self.heads = {t[:4] for t in terms}
+        self.heads = {t.partition(b"*")[0].partition(b"#")[0][:4] for t in terms}
+        base = {t.rpartition(b"#")[0] for t in terms if b"#" in t}
+        for t in base - set(terms):  # counted for their sake, but no term
+            self.ids[t] = len(self.ids)
+        self.n_terms = len(terms)
+        self.often = {self.ids[t]: [(n, self.ids[t + b"#%d" % n]) for n in OFTEN if t + b"#%d" % n in self.ids] for t in base}
 
     def counts(self, text: str | None) -> dict[int, int]:
         out: dict[int, int] = {}
         heads, ids = self.heads, self.ids
-        for w in (text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split():
+        for w in (text or "").lower().encode("utf-8", "surrogatepass").translate(_WORDS).split():
             if w[:4] in heads:
                 for term in (w, *(w[:k] + b"*" for k in PREFIXES if len(w) > k)):
                     if term in ids:
                         out[ids[term]] = out.get(ids[term], 0) + 1
-        return out
+        for t, marks in self.often.items():
+            n = out.get(t, 0)
+            for often, mark in marks:
+                if n >= often:
+                    out[mark] = 1
+        return {t: n for t, n in out.items() if t < self.n_terms}
 
 
 class BlockMaxIndex:
@@ -93,7 +110,7 @@ class BlockMaxIndex:
         self.idf = idf
         empty = [k for k, b in enumerate(bags) if not b]
         tox = sum(labels[k] for k in empty)
-        self.base = (tox + 0.5) / (len(empty) + 1 + 0.5 * len(bags) ** 0.5)  # of documents without a chosen term
+        self.base = min(0.49, (tox + 0.5) / (len(empty) + 2))  # of documents without a chosen term: no evidence, no verdict
         # Examples with alike leading terms stand together, which makes block maxima tight.
         order = sorted((k for k, b in enumerate(bags) if b), key=lambda k: (sorted(bags[k]), ids[k]))
         self.ids = np.array([ids[k] for k in order], np.int64)
@@ -178,7 +195,7 @@ def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) ->
     lexicon = Lexicon(terms)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(len(lexicon.ids), np.int64), 0
+        df, n = np.zeros(lexicon.n_terms, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 n += 1
