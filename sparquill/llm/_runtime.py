@@ -1,72 +1,16 @@
-"""Session helpers shared by the operators of this subpackage."""
+"""Helpers shared by the operators of this subpackage."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_tables: list[tuple[SparkSession, str]] = []
+from sparquill.runtime import drop_table, read, write_table
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, set here only where it is unset (tests)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not named:
-        current = sc._jsc.sc().getCheckpointDir()
-        named = current.get() if current.isDefined() else None
-    if not named:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        named = "file://" + os.path.join(tempfile.gettempdir(), f"sparquill-{os.getpid()}")
-        sc.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def write_table(df: DataFrame, label: str) -> DataFrame:
-    """Materialise ``df`` as Parquet in the shared folder and read it back, which cuts its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sparquill/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    if not _tables:
-        atexit.register(_drop_all)
-    _tables.append((spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
-    out._sparquill_path = path
-    return out
-
-
-def drop_table(df: DataFrame | None) -> None:
-    """Delete a table of :func:`write_table` that nothing will read again."""
-    path = getattr(df, "_sparquill_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    _tables[:] = [x for x in _tables if x[1] != path]
-
-
-def _drop_all() -> None:
-    for spark, path in list(_tables):
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session has ended; its folder goes with it
-            return
-
-
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+__all__ = ["drop_table", "read", "sliced", "text_columns", "write_table"]
 
 
 def text_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -85,7 +29,3 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
         step = n if size <= most_bytes else max(1, int(n * most_bytes / size))
         for at in range(0, n, step):
             yield batch.slice(at, min(step, n - at))
-
-
-def partitions_for(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
