@@ -24,14 +24,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays (one row of it, if rows repeat).
+    """Of each group of near copies the document with the smallest id stays; rows equal in id and text are one.
 
     Documents with a null id stay: they cannot be named as copies.
     """
-    found = near_duplicates(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    found = near_duplicates(docs).where("doc_id IS NOT NULL")
+    stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    gone = stays.where(~F.col("stays")).select("doc_id")
     named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
