@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparquill.runtime import drop_table, read, write_table
 
-__all__ = ["drop_table", "read", "sliced", "text_columns", "write_table"]
+__all__ = ["drop_table", "labelled_texts", "read", "sliced", "text_columns", "write_table"]
 
 
 def text_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -29,3 +29,23 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
         step = n if size <= most_bytes else max(1, int(n * most_bytes / size))
         for at in range(0, n, step):
             yield batch.slice(at, min(step, n - at))
+
+
+def labelled_texts(docs: DataFrame, chosen: DataFrame, label: str, most_bytes: int) -> list[tuple[int, int, str]]:
+    """(doc_id, label, text) of the rows that ``chosen(doc_id, label)`` names, a bounded table in order of the id's hash.
+
+    Texts are taken whole, in that order, while they fit ``most_bytes`` together; their lengths are asked for
+    first, so that what the driver receives is bounded.  ``chosen`` goes to the documents: no text is shuffled.
+    """
+    rows = text_columns(docs, "doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    sizes = rows.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    take, total = [], 0
+    for r in sizes:
+        if total + r["n"] > most_bytes and take:
+            break
+        take.append((r["doc_id"],))
+        total += r["n"]
+    if not take:
+        return []
+    fit = docs.sparkSession.createDataFrame(take, "doc_id long")
+    return sorted((r["doc_id"], r[label], r["text"]) for r in rows.join(F.broadcast(fit), "doc_id").select("doc_id", label, "text").collect())

@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import read, sliced, text_columns
+from sparquill.llm._runtime import labelled_texts, read, sliced, text_columns
 
 #: Rated documents that the fit sees at most.
 MAX_RATED = 5_000
+#: Bytes of their texts at most.
+MAX_BYTES = 64 << 20
 WORD_BITS, SHAPE_BITS = 15, 12
 N_DENSE = 5
 _SHAPE = bytes(ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90 else ord("9") if 48 <= c <= 57 else c for c in range(256))
@@ -112,9 +114,8 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, grade: str = "quality", mo
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    rows = text_columns(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
-    return [r["text"] for r in rows], [r["grade"] for r in rows]
+    rows = labelled_texts(docs, chosen, "grade", MAX_BYTES)
+    return [r[2] for r in rows], [r[1] for r in rows]
 
 
 def train(docs: DataFrame, ratings: DataFrame, grade: str = "quality", most: int = MAX_RATED) -> Ordinal:

@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import read, sliced, text_columns
+from sparquill.llm._runtime import labelled_texts, read, sliced, text_columns
 
 #: Labelled rows that are examples at most, by hash of the id.
 MAX_EXAMPLES = 8_000
+#: Bytes of their texts at most.
+MAX_BYTES = 64 << 20
 MAX_TERMS = 4_000
 NEIGHBOURS = 15
 FOLDS = 5
@@ -183,8 +185,7 @@ def examples(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> li
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    rows = text_columns(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text").collect()
-    return sorted((r["doc_id"], r["toxic"], r["text"]) for r in rows)
+    return labelled_texts(docs, chosen, "toxic", MAX_BYTES)
 
 
 def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tuple[list[bytes], BlockMaxIndex]:

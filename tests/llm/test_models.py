@@ -137,7 +137,7 @@ def test_fixed_patterns():
     ]
     for text, kept in cases:
         assert pii.base_spans(text)[0] == kept
-    assert pii.base_spans("+1 2")[1] == [(3, 0, 4)]
+    assert (3, 0, 4) in pii.base_spans("+1 2")[1]
 
 
 def test_field_on_fresh_rows(field):
