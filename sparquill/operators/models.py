@@ -1,7 +1,8 @@
 """Interfaces of external models, with deterministic stand-ins.
 
 The stand-ins make every stage runnable and testable; they claim no agreement with any real model.
-A real model is a class with the same method; it loads once per worker and sees Arrow batches.
+A real model is another ``load`` function: it runs once per task and its result sees Arrow batches.
+Models run in ``mapInArrow``, a barrier to the optimiser: calls are neither repeated nor moved.
 """
 
 from __future__ import annotations
@@ -10,34 +11,42 @@ from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _appended(rows: DataFrame, inputs: list[str], to: str, kind: T.DataType, arrow: pa.DataType, load: Callable, batch: int, call: Callable) -> DataFrame:
+    """``rows`` with a column of ``call(model, *texts)``, texts of the input columns with null as empty."""
+    rows = rows.drop(to)
+    places = [rows.columns.index(c) for c in inputs]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load()
+        for part in batches:
+            for at in range(0, part.num_rows, batch):
+                own = part.slice(at, batch)
+                texts = [[t or "" for t in own.column(p).to_pylist()] for p in places]
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(call(model, *texts), arrow)], names=[*own.schema.names, to])
+
+    return rows.mapInArrow(scan, T.StructType([*rows.schema.fields, T.StructField(to, kind)]))
 
 
 class Encoder:
-    """Text to unit vectors.  ``load`` returns a function from a list of texts to a matrix; it runs once per worker and task."""
+    """Text to unit vectors.  ``load`` returns a function from a list of texts to a matrix."""
 
     def __init__(self, load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = 64) -> None:
         self.load, self.batch = load, batch
 
     def with_vector(self, rows: DataFrame, text: str, to: str = "embedding") -> DataFrame:
-        load, batch = self.load, self.batch
-
-        @F.pandas_udf("array<float>")
-        def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = load()
-            for part in parts:
-                texts = part.fillna("").tolist()
-                out: list[np.ndarray] = []
-                for at in range(0, len(texts), batch):
-                    x = np.asarray(model(texts[at : at + batch]), np.float32)
-                    norm = np.linalg.norm(x, axis=1, keepdims=True)
-                    norm[norm == 0] = 1
-                    out += list(x / norm)
-                yield pd.Series(out)
+        def call(model: Callable, texts: list[str]) -> list:
+            x = np.asarray(model(texts), np.float32)
+            norm = np.linalg.norm(x, axis=1, keepdims=True)
+            norm[norm == 0] = 1
+            return list(x / norm)
 
-        return rows.withColumn(to, encode.asNondeterministic()(F.col(text)))
+        return _appended(rows, [text], to, T.ArrayType(T.FloatType()), pa.list_(pa.float32()), self.load, self.batch, call)
 
 
 def hashing_encoder(dim: int = 64) -> Encoder:
@@ -58,26 +67,17 @@ def hashing_encoder(dim: int = 64) -> Encoder:
 
 
 class YesNoScorer:
-    """Probability of yes for a text, or for a (query, document) pair; ``load`` returns texts to (yes, no) logits."""
+    """Probability of yes for a text; ``load`` returns a function from texts to (yes, no) logits."""
 
     def __init__(self, load: Callable[[], Callable[[list[str]], tuple[np.ndarray, np.ndarray]]]) -> None:
         self.load = load
 
     def with_score(self, rows: DataFrame, text: str, to: str, batch: int = 64) -> DataFrame:
-        load = self.load
+        def call(model: Callable, texts: list[str]) -> np.ndarray:
+            yes, no = model(texts)
+            return 1 / (1 + np.exp(np.asarray(no, float) - np.asarray(yes, float)))
 
-        @F.pandas_udf("double")
-        def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = load()
-            for part in parts:
-                texts = part.fillna("").tolist()
-                out: list[float] = []
-                for at in range(0, len(texts), batch):
-                    yes, no = model(texts[at : at + batch])
-                    out += (1 / (1 + np.exp(np.asarray(no, float) - np.asarray(yes, float)))).tolist()
-                yield pd.Series(out, dtype=float)
-
-        return rows.withColumn(to, score.asNondeterministic()(F.col(text)))
+        return _appended(rows, [text], to, T.DoubleType(), pa.float64(), self.load, batch, call)
 
 
 def keyword_scorer(*words: str) -> YesNoScorer:
@@ -98,19 +98,11 @@ def overlap_score(query, document):
 class Entailment:
     """Verdict 1 or 0 for (premise, claim); ``load`` returns a function from lists of both to raw outputs, and "1" means entailed."""
 
-    def __init__(self, load: Callable[[], Callable[[list[str], list[str]], list[str]]]) -> None:
-        self.load = load
+    def __init__(self, load: Callable[[], Callable[[list[str], list[str]], list[str]]], batch: int = 64) -> None:
+        self.load, self.batch = load, batch
 
     def with_verdict(self, pairs: DataFrame, premise: str, claim: str) -> DataFrame:
-        load = self.load
-
-        @F.pandas_udf("string")
-        def ask(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            model = load()
-            for p, c in parts:
-                yield pd.Series(model(p.fillna("").tolist(), c.fillna("").tolist()), dtype=object)
-
-        raw = pairs.withColumn("joint_raw_output", ask.asNondeterministic()(F.col(premise), F.col(claim)))
+        raw = _appended(pairs, [premise, claim], "joint_raw_output", T.StringType(), pa.string(), self.load, self.batch, lambda model, p, c: model(p, c))
         return raw.withColumn("joint_entailment", (F.trim("joint_raw_output") == "1").cast("int"))
 
 

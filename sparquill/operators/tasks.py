@@ -68,11 +68,13 @@ def _lines(*pairs: tuple[str, Column]) -> Column:
 
 
 def seed_prompt() -> Column:
-    return F.concat_ws("\n", _lines(*((c, text(c)) for c in ("passage_id", "guideline_id", "section_title", "page_start", "page_end", "word_count", "reference_list_score"))), F.lit("\nPassage text:"), text("text"))
+    """A passage with its source fields; null without an id or a text (the row is skipped)."""
+    whole = F.concat_ws("\n", _lines(*((c, text(c)) for c in ("passage_id", "guideline_id", "section_title", "page_start", "page_end", "word_count", "reference_list_score"))), F.lit("\nPassage text:"), text("text"))
+    return F.when((F.length(norm_ws("passage_id")) > 0) & (F.length(norm_ws("text")) > 0), whole)
 
 
-def pool_prompt(max_source_chars: int = 1000, most: int = 30, first_only: bool = False) -> Column:
-    """Pool hints and numbered passages (up to ``most``); ``first_only`` lists just the first one but states the full number."""
+def pool_prompt(max_source_chars: int = 1000, most: int = 30, first_only: bool = False, min_passages: int = 5) -> Column:
+    """Pool hints and numbered passages (up to ``most``); null for pools without an id or with too few passages; ``first_only`` lists just the first one but states the full number."""
     given = F.slice(F.coalesce("passages", F.array()), 1, most)
     block = lambda p, i: F.concat_ws(
         "\n", F.concat(F.lit("["), (i + 1).cast("string"), F.lit("]")),
@@ -83,7 +85,8 @@ def pool_prompt(max_source_chars: int = 1000, most: int = 30, first_only: bool =
         ("pool_id", norm_ws("group_id")), ("guideline_id", norm_ws("guideline_id")), ("candidate_topic_hint", norm_ws("group_topic_hint")), ("candidate_summary_hint", norm_ws("group_summary_hint")),
         ("candidate_question_angles_hint", compact_list("group_question_angles_hint")), ("candidate_patient_keywords_hint", compact_list("group_patient_keywords_hint")), ("num_candidate_passages", F.size(given).cast("string")),
     )
-    return F.when(F.size(given) > 0, F.concat_ws("\n", head, F.lit("\nCandidate passages:"), F.array_join(blocks, "\n")))
+    enough = (F.size(F.coalesce("passages", F.array())) >= max(1, min_passages)) & (F.length(norm_ws("group_id")) > 0)
+    return F.when(enough, F.concat_ws("\n", head, F.lit("\nCandidate passages:"), F.array_join(blocks, "\n")))
 
 
 def chosen_passages(top_n: int = 5) -> Column:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparquill.runtime import write_table
+
 #: Vectors per block of a group.
 BLOCK = 2048
 #: Queries that go to the tasks at once.
@@ -72,7 +74,7 @@ def search(corpus: DataFrame, queries: DataFrame, k: int, chunk: int = QUERY_CHU
     k may exceed the corpus.  Null vectors are left out; ties by id.
     """
     corpus = corpus.where("vector IS NOT NULL").select(F.col("id").cast("long"), F.col("vector").cast("array<double>"))
-    asked = queries.where("vector IS NOT NULL").select("query_id", F.col("vector").cast("array<double>"))
+    asked = write_table(queries.select("query_id", F.col("vector").cast("array<double>")), "queries").where("vector IS NOT NULL")  # a model behind them runs once
     n_chunks = max(1, -(-asked.count() // chunk))
     found = None
     for c in range(n_chunks):
