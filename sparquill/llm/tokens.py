@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 
@@ -96,11 +97,12 @@ class CachedTokenizer:
         if len(self.index) > self.most:
             self._clear()
         index = self.index
-        try:
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            self._add([w for w in dict.fromkeys(words) if w not in index])
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
+            self._add(list(dict.fromkeys(new)))
+            at[missing] = np.fromiter(map(index.__getitem__, new), np.int64, len(new))
         first, size = self.ends[at], self.ends[at + 1] - self.ends[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
