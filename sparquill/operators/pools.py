@@ -26,8 +26,9 @@ def members(passages: DataFrame, min_passages: int, max_passages: int, min_simil
     Of the ``max_passages`` nearest in the group those at ``min_similarity`` or more stay, the anchor always;
     ranks run without gaps.  Groups and pools below ``min_passages`` go.
     """
-    large = Window.partitionBy("group")
-    rows = passages.withColumn("n", F.count("*").over(large)).where(F.col("n") >= min_passages).drop("n")
+    passages = passages.withColumn("group", F.coalesce(F.col("group").cast("string"), F.lit("")))
+    large = passages.groupBy("group").count().where(F.col("count") >= min_passages).select("group")
+    rows = passages.join(large, "group", "left_semi")
     near = neighbours_in_group(rows, max_passages).where((F.col("score") >= min_similarity) | (F.col("id") == F.col("anchor")))
     pool = Window.partitionBy("group", "anchor")
     return (

@@ -47,8 +47,8 @@ def index_rows(seeds: DataFrame, only_usable: bool = True, keep_text: bool = Fal
         seeds = seeds.where(F.coalesce(F.col("usable"), F.lit(False)))
     pid = _field(seeds, "passage_id", "id", "chunk_id")
     rows = seeds.withColumn("_pid", F.when(F.length(pid) > 0, pid).otherwise(padded_id("passage_", "row_idx")))
-    first = Window.partitionBy("_pid").orderBy("row_idx")
-    rows = rows.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    first = rows.groupBy("_pid").agg(F.min("row_idx").alias("row_idx"))  # partial: a hot id is one row per task
+    rows = rows.join(first, ["_pid", "row_idx"], "left_semi")
     keywords = [clean_list(c) for c in _have(rows, "patient_language_keywords", "patient_keywords", "keywords", "question_angles", "angles")]
     merged = F.array_join(F.slice(distinct_ignoring_case(F.concat(*keywords)), 1, 20), "; ") if keywords else F.lit("")
     source = norm_ws(_field(rows, "source_text", "text", "passage_text", "content", "chunk_text"))
