@@ -57,19 +57,27 @@ def terms_of(text: str | None) -> Counter:
     return out
 
 
-def choose_terms(bags: list[Counter], toxic: np.ndarray, most: int = MAX_TERMS) -> list[bytes]:
-    """Terms at least four times as likely in toxic examples, in four of them or more, by chi-square."""
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
+def choose_terms(texts: list[str], toxic: list[bool], most: int = MAX_TERMS) -> list[bytes]:
+    """Terms at least four times as likely in toxic examples, in four of them or more, by chi-square.
+
+    Only terms of four toxic examples are counted in the others, so memory follows the toxic ones.
+    """
+    n1, n0 = sum(toxic), len(toxic) - sum(toxic)
     if not n1 or not n0:
         return []
     in1: Counter = Counter()
+    for text, t in zip(texts, toxic, strict=True):
+        if t:
+            in1.update(terms_of(text).keys())
+    in1 = Counter({term: a for term, a in in1.items() if a >= 4})
     in0: Counter = Counter()
-    for bag, t in zip(bags, toxic.tolist(), strict=True):
-        (in1 if t else in0).update(bag.keys())
+    for text, t in zip(texts, toxic, strict=True):
+        if not t:
+            in0.update(terms_of(text).keys() & in1.keys())
     scored = []
     for term, a in in1.items():
         b = in0[term]
-        if a >= 4 and a / n1 >= 4 * (b + 0.5) / n0:
+        if a / n1 >= 4 * (b + 0.5) / n0:
             c, d = n1 - a, n0 - b
             chi = (a * d - b * c) ** 2 * (n1 + n0) / max(1, (a + b) * (c + d) * n1 * n0)
             if chi >= 20:
@@ -191,8 +199,7 @@ def examples(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> li
 def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tuple[list[bytes], BlockMaxIndex]:
     """Chosen terms and the index; document frequencies come from all documents."""
     rows = examples(docs, labels, most)
-    bags = [terms_of(t) for _, _, t in rows]
-    terms = choose_terms(bags, np.array([t == 1 for _, t, _ in rows], bool))
+    terms = choose_terms([t for _, _, t in rows], [t == 1 for _, t, _ in rows])
     lexicon = Lexicon(terms)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
