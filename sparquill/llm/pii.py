@@ -251,7 +251,7 @@ class Crf:
         return out
 
     def fit(self, chains: list[list[list[str]]], labels: list[list[int]], rounds: int = 70, rate: float = 0.12, decay: float = 1e-3) -> Crf:
-        """Maximum likelihood by Adam over all chains at once, forward-backward in log space."""
+        """Maximum likelihood by Adam over all chains at once, scaled forward-backward."""
         idx, lengths = self.index(chains)
         n, t = idx.shape[:2]
         live = np.arange(t) < lengths[:, None]
@@ -268,27 +268,26 @@ class Crf:
         moment = [np.zeros_like(self.emit), np.zeros_like(self.trans)]
         second = [np.zeros_like(self.emit), np.zeros_like(self.trans)]
 
-        def lse(x: np.ndarray, axis: int) -> np.ndarray:
-            m = x.max(axis=axis, keepdims=True)
-            return np.squeeze(m, axis) + np.log(np.exp(x - m).sum(axis=axis))
-
+        start = np.exp(self.first)
         for step in range(1, rounds + 1):
             scores = self.emit[idx].sum(axis=2)
-            trans = self.trans + self.banned
-            alpha, beta = np.zeros((n, t, s)), np.zeros((n, t, s))
-            alpha[:, 0] = scores[:, 0] + self.first
-            for k in range(1, t):
-                new = lse(alpha[:, k - 1, :, None] + trans, 1) + scores[:, k]
-                alpha[:, k] = np.where(live[:, k, None], new, alpha[:, k - 1])
+            like = np.exp(scores - scores.max(axis=2, keepdims=True))
+            hop = np.exp(self.trans + self.banned)
+            alpha, beta, norm = np.zeros((n, t, s)), np.ones((n, t, s)), np.ones((n, t, 1))
+            for k in range(t):
+                new = like[:, k] * (alpha[:, k - 1] @ hop if k else start)
+                size = new.sum(axis=1, keepdims=True)
+                alpha[:, k] = np.where(live[:, k, None], new / size, alpha[:, k - 1])
+                norm[:, k] = np.where(live[:, k, None], size, 1.0)
             for k in range(t - 2, -1, -1):
-                new = lse(trans + (scores[:, k + 1] + beta[:, k + 1])[:, None, :], 2)
-                beta[:, k] = np.where(live[:, k + 1, None], new, 0.0)
-            logz = lse(alpha[:, -1], 1)
-            post = np.exp(alpha + beta - logz[:, None, None]) * live[..., None]
-            both = np.exp(alpha[:, :-1, :, None] + trans + (scores + beta)[:, 1:, None, :] - logz[:, None, None, None]) * live[:, 1:, None, None]
+                new = (like[:, k + 1] * beta[:, k + 1] / norm[:, k + 1]) @ hop.T
+                beta[:, k] = np.where(live[:, k + 1, None], new, 1.0)
+            post = alpha * beta * live[..., None]
+            into = (like * beta / norm * live[..., None])[:, 1:]
+            pairs = alpha[:, :-1].reshape(-1, s).T @ into.reshape(-1, s) * hop
             grad_e = np.zeros_like(self.emit)
             grad_e[flat[by_feature][heads]] = np.add.reduceat((post - hot).reshape(-1, s)[token], heads, axis=0)
-            grads = [grad_e / n + decay * self.emit, (both.sum(axis=(0, 1)) - hot_t) / n + decay * self.trans]
+            grads = [grad_e / n + decay * self.emit, (pairs - hot_t) / n + decay * self.trans]
             for w, g, m, v in zip((self.emit, self.trans), grads, moment, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
