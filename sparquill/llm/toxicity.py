@@ -148,7 +148,7 @@ class BlockMaxIndex:
         """Positions and cosines of the k nearest examples, ties by position; those without a common term never count."""
         key = (k, *sorted(bag.items()))
         if key not in self.cache:
-            if len(self.cache) > 50_000:
+            if len(self.cache) > 4_000:
                 self.cache.clear()
             self.cache[key] = self._nearest(*self.vector(bag), k)
         return self.cache[key]
@@ -204,7 +204,7 @@ def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) ->
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(lexicon.n_terms, np.int64), 0
-        for batch in batches:
+        for batch in sliced(batches, "text", 4 << 20):
             for text in batch.column(0).to_pylist():
                 n += 1
                 for t in lexicon.counts(text):
@@ -229,7 +229,7 @@ def scored(docs: DataFrame, terms: list[bytes], index: BlockMaxIndex, k: int = N
     struct = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", 4 << 20):
             ids = batch.column(0).to_pylist()
             found = [index.score(lexicon.counts(t), k, d) for d, t in zip(ids, batch.column(1).to_pylist(), strict=True)]
             scores = np.array([f[0] for f in found])
