@@ -43,16 +43,21 @@ class CachedTokenizer:
         self.ends = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _put(self, word: str, ids) -> None:
-        n = len(self.index)
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-        if n + 1 >= len(self.ends):
-            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.ends[n + 1] = self.used
-        self.index[word] = n
+    def _put(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Add new words whose ids stand in a row, each ending at its ``ends``."""
+        n, total = len(self.index), self.used + len(ids)
+        if total > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty(max(total, len(self.ids)), np.uint32)))
+        if n + len(words) >= len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros(max(n + len(words), len(self.ends)), np.int64)))
+        self.ids[self.used : total] = ids
+        self.ends[n + 1 : n + 1 + len(words)] = self.used + ends
+        self.used = total
+        self.index.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def _put_each(self, words: list[str]) -> None:
+        own = self._encoded(words)
+        self._put(words, np.array([i for x in own for i in x], np.uint32), np.cumsum([len(x) for x in own]))
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -67,19 +72,24 @@ class CachedTokenizer:
             ids = np.array(self._encoded([" ".join(chunk)])[0], np.uint32)
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(chunk) and ends[-1] == len(ids):
-                for word, a, b in zip(chunk, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                    self._put(word, ids[a:b])
+                self._put(chunk, ids, ends)
             else:
-                for word, own in zip(chunk, self._encoded(chunk), strict=True):
-                    self._put(word, own)
-        stops = dict(zip(",.", self._encoded([",", "."]), strict=True))
-        for word in stopped:
-            n = index[word[:-1]]
-            self._put(word, [*self.ids[self.ends[n] : self.ends[n + 1]].tolist(), *stops[word[-1]]])
+                self._put_each(chunk)
+        for stop in ",.":
+            own = [w for w in stopped if w[-1] == stop]
+            if own:
+                tail = np.array(self._encoded([stop])[0], np.uint32)
+                base = np.fromiter((index[w[:-1]] for w in own), np.int64, len(own))
+                size = self.ends[base + 1] - self.ends[base]
+                ends = np.cumsum(size + len(tail))
+                take = np.repeat(self.ends[base] - (ends - size - len(tail)), size + len(tail)) + np.arange(ends[-1])
+                ids = self.ids[np.minimum(take, self.used - 1)]
+                for k in range(len(tail)):
+                    ids[ends - len(tail) + k] = tail[k]
+                self._put(own, ids, ends)
         rest = [w for w in words if w not in index]
         for at in range(0, len(rest), 10_000):
-            for word, own in zip(rest[at : at + 10_000], self._encoded(rest[at : at + 10_000]), strict=True):
-                self._put(word, own)
+            self._put_each(rest[at : at + 10_000])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, length of each); null counts as empty."""
