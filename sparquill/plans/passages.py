@@ -144,10 +144,10 @@ SELECT doc_id, s <> '' AND (regexp_matches(s[1:80], '(?i)^\s*({_H})\s*$') OR len
     OR len(regexp_extract_all(regexp_replace(s, '[^\x00-\x7F\P{{L}}]', '_', 'g'), '\b[0-9A-Za-z][0-9A-Za-z''\-]*\b')) <= 10 AND length(s) <= 100 AND NOT ends_with(s, '.') AND regexp_matches(regexp_replace(s, '[^A-Za-z]', '', 'g')[1:10], '[A-Z]')) AS is_section
 FROM d
 """
-#: Pages with headings and, for some documents, a reference section in the middle.
+#: Pages with headings and, for some documents, a reference section in the middle; the last page holds all the rest of a text.
 PAGED = """
 SELECT doc_id, source, concat('Introduction. ', substr(text, 1, 900)) AS page1, concat(CASE WHEN doc_id % 4 = 0 THEN 'Methods? ' ELSE '' END, substr(text, 901, 2500)) AS page2,
-  concat(CASE WHEN doc_id % 6 = 1 THEN 'References! ' ELSE 'Results! ' END, substr(text, 3401, 4000)) AS page3 FROM documents
+  concat(CASE WHEN doc_id % 6 = 1 THEN 'References! ' ELSE 'Results! ' END, substr(text, 3401)) AS page3 FROM documents
 """
 
 
