@@ -96,11 +96,11 @@ def numbered_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
 NUMBERED_POOLS = f"""
 WITH {_POOLS} SELECT format('grp_{{:06d}}', row_number() OVER (ORDER BY round(avg_s, 9) DESC, num_passages DESC, "group", anchor)) AS group_id, "group", anchor FROM pool
 """
-#: Annotated passages: repeated ids, empty first occurrences, unusable ones, keywords that differ in case.
+#: Annotated passages of whole texts: ids repeated in pairs of neighbours, empty first occurrences, unusable ones, keywords that differ in case.
 SEEDS = """
-SELECT doc_id AS row_idx, CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat(source, '_p', CAST(doc_id % 700 AS VARCHAR(9))) END AS passage_id, doc_id % 6 <> 0 AS usable,
+SELECT doc_id AS row_idx, CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat('g', CAST(doc_id % 40 - doc_id % 2 AS VARCHAR(9)), '_p', CAST(doc_id - doc_id % 2 AS VARCHAR(20))) END AS passage_id, doc_id % 6 <> 0 AS usable,
   CASE WHEN doc_id % 10 = 3 THEN 'reference_like' WHEN doc_id % 10 = 4 THEN NULL ELSE 'mixed' END AS content_type, CASE WHEN doc_id % 9 = 0 THEN '  ' ELSE substr(text, 1, 20) END AS main_topic, substr(text, 21, 60) AS semantic_summary,
-  CASE WHEN doc_id % 13 = 5 THEN ' ' ELSE substr(text, 1, 300) END AS source_text, substr(text, 1, 5) AS w1, substr(text, 7, 5) AS w2, lower(substr(text, 1, 5)) AS w3, lower(substr(text, 7, 5)) AS w4 FROM documents
+  CASE WHEN doc_id % 13 = 5 THEN ' ' ELSE text END AS source_text, substr(text, 1, 5) AS w1, substr(text, 7, 5) AS w2, lower(substr(text, 1, 5)) AS w3, lower(substr(text, 7, 5)) AS w4 FROM documents
 """
 
 

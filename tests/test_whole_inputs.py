@@ -29,3 +29,13 @@ def test_reference_zone_runs_to_the_end(spark, tmp_path):
     text = "x" * 7500 + ". Then more. References. One work. Two works."
     table(spark, tmp_path, "documents", [(2, text, "s")], "doc_id long, text string, source string")
     assert Q["chunk_counts"](spark, str(tmp_path)).first().removed_by_ref_heading_zone == 3
+
+
+def test_index_holds_whole_texts_and_grows(spark, tmp_path):
+    text = " ".join(f"word{k}" for k in range(200))
+    table(spark, tmp_path, "documents", [(k, text, "s") for k in range(3000)], "doc_id long, text string, source string")
+    rows = Q["index_rows"](spark, str(tmp_path)).collect()
+    blank = sum(k % 11 == 0 for k in range(3000))
+    named = [r for r in rows if not r.passage_id.startswith("passage_")]
+    assert {r.text for r in rows} == {md5(text)}
+    assert len(rows) - len(named) <= blank and 1200 < len(named) <= 1500  # a pair of neighbours shares an id
