@@ -143,14 +143,16 @@ SELECT idx AS item_id, atomic_fact_id, len(l)::INT AS num_cited_passages, CASE W
   CASE WHEN len(l) > 0 THEN md5(array_to_string(list_transform(l, lambda p: {_PREMISE.format("p")}), chr(10) || chr(10))) END AS premise
 FROM (SELECT *, CASE WHEN passages = '' THEN [] ELSE string_split(passages, '.') END AS l FROM ({ATOMIC_FACTS}))
 """
-#: Claims of 150 items: verdicts for labelled documents, others skipped; 50 more items have no claims.
-CLAIMS = """
-SELECT d.doc_id % 150 AS item_id, CASE WHEN d.doc_id % 150 % 4 = 0 THEN 'eligibility' WHEN d.doc_id % 150 % 4 = 1 THEN NULL ELSE 'other' END AS question_type, d.doc_id AS ordinal, concat('s', CAST(d.doc_id AS VARCHAR(20)), '_a1') AS atomic_fact_id,
+#: Four documents make an item; every sixth item has no claims, its documents' claims go to the item before.
+_ITEM = "CAST(floor(doc_id / 4) AS BIGINT)"
+ITEMS = f"SELECT item_id, CASE WHEN item_id % 4 = 0 THEN 'eligibility' WHEN item_id % 4 = 1 THEN NULL ELSE 'other' END AS question_type FROM (SELECT DISTINCT {_ITEM} AS item_id FROM documents) i"
+#: Claims of the items: verdicts for labelled documents, others skipped.
+CLAIMS = f"""
+SELECT item_id, CASE WHEN item_id % 4 = 0 THEN 'eligibility' WHEN item_id % 4 = 1 THEN NULL ELSE 'other' END AS question_type, d.doc_id AS ordinal, concat('s', CAST(d.doc_id AS VARCHAR(20)), '_a1') AS atomic_fact_id,
   CASE WHEN d.doc_id % 5 = 0 THEN NULL WHEN d.doc_id % 5 < 3 THEN 'direct_answer' ELSE 'risk_or_safety' END AS source_sentence_role, l.doc_id IS NOT NULL AS filter_keep,
   CASE WHEN l.doc_id IS NOT NULL THEN 'kept' WHEN d.doc_id % 2 = 0 THEN 'empty_claim' ELSE 'no_cited_passage' END AS filter_reason, l.quality AS joint_entailment
-FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+FROM (SELECT doc_id, {_ITEM} - CASE WHEN {_ITEM} % 6 = 5 THEN 1 ELSE 0 END AS item_id FROM documents) d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
-ITEMS = "SELECT doc_id AS item_id, CASE WHEN doc_id % 4 = 0 THEN 'eligibility' WHEN doc_id % 4 = 1 THEN NULL ELSE 'other' END AS question_type FROM documents WHERE doc_id < 200"
 
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:

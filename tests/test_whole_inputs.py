@@ -39,3 +39,13 @@ def test_index_holds_whole_texts_and_grows(spark, tmp_path):
     named = [r for r in rows if not r.passage_id.startswith("passage_")]
     assert {r.text for r in rows} == {md5(text)}
     assert len(rows) - len(named) <= blank and 1200 < len(named) <= 1500  # a pair of neighbours shares an id
+
+
+def test_items_grow_with_the_table(spark, tmp_path):
+    table(spark, tmp_path, "documents", [(k,) for k in range(2400)], "doc_id long")
+    table(spark, tmp_path, "labels", [(k, 1) for k in range(0, 2400, 3)], "doc_id long, quality int")
+    rows = Q["item_rates"](spark, str(tmp_path)).collect()
+    assert len(rows) == 600 and sum(r.num_raw for r in rows) == 2400
+    assert sorted(r.item_id for r in rows if r.num_raw == 0) == list(range(5, 600, 6))
+    totals = Q["data_set_rates"](spark, str(tmp_path)).first()
+    assert (totals.num_items, totals.num_claims_raw, totals.num_claims_supported) == (600, 2400, 800)
