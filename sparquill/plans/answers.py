@@ -12,14 +12,14 @@ from sparquill.operators import tasks as K
 from sparquill.operators import validation as V
 from sparquill.plans.passages import derived
 
-#: Assistant turns as answers of up to three sentences with citations in many forms; no quotes, backslashes or line ends.
+#: Whole assistant turns as answers of three sentences, a third each, with citations in many forms; t1 and t2 hold the whole turn too; no quotes, backslashes or line ends.
 ANSWERED = """
 SELECT conv_id * 50 + turn AS idx, concat(p1, '. [1] ', p2, '! [2][3] ', p3) AS answer,
   concat(p1, CASE (conv_id + turn) % 5 WHEN 0 THEN '. [1]' WHEN 1 THEN '. [2][9]' WHEN 2 THEN '. [7]' WHEN 3 THEN '.' ELSE '. [3][3][1][2]' END) AS t1,
-  concat(p2, CASE (conv_id + 2 * turn) % 4 WHEN 0 THEN '. [2]' WHEN 1 THEN '' WHEN 2 THEN ' [0] x [4].' ELSE '. [1] [2]' END) AS t2,
+  concat('B ', p23, CASE (conv_id + 2 * turn) % 4 WHEN 0 THEN '. [2]' WHEN 1 THEN '' WHEN 2 THEN ' [0] x [4].' ELSE '. [1] [2]' END) AS t2,
   CASE WHEN conv_id % 3 = 0 THEN '' ELSE concat(p3, '. [5]') END AS t3, 1 + turn % 6 AS c1, conv_id % 7 AS c2, CASE WHEN conv_id % 2 = 0 THEN 'benefit_or_effectiveness' WHEN conv_id % 3 = 0 THEN 'unknown' ELSE '' END AS r1
-FROM (SELECT conv_id, turn, concat('A ', substr(t, 1, 30)) AS p1, concat('B ', substr(t, 31, 30)) AS p2, concat('C ', substr(t, 61, 30)) AS p3
-  FROM (SELECT conv_id, turn, translate(text, concat(chr(34), chr(92), chr(10), chr(9), chr(13), '.!?[]{}'), '            ') AS t FROM conversations WHERE role = 'assistant'))
+FROM (SELECT conv_id, turn, concat('A ', substr(t, 1, n)) AS p1, concat('B ', substr(t, n + 1, n)) AS p2, concat('C ', substr(t, 2 * n + 1)) AS p3, substr(t, n + 1) AS p23
+  FROM (SELECT *, CAST(floor(length(t) / 3) AS INT) AS n FROM (SELECT conv_id, turn, translate(text, concat(chr(34), chr(92), chr(10), chr(9), chr(13), '.!?[]{}'), '            ') AS t FROM conversations WHERE role = 'assistant') x))
 """
 #: The same as result lines of a batch: clean, wrapped, in parts, broken, with bad ids.
 LINES = f"""
@@ -265,7 +265,7 @@ SELECT doc_id AS sample_idx, CASE WHEN passage_id <> '' THEN passage_id ELSE 's'
 
 
 def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = derived(spark, sf_dir, "SELECT doc_id AS row_idx, substr(text, 1, 200) AS question, CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 201, 300) END AS t FROM documents", "documents")
+    d = derived(spark, sf_dir, "SELECT doc_id AS row_idx, substr(text, 1, 200) AS question, CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 201) END AS t FROM documents", "documents")
     p = F.struct(F.lit("p1").alias("passage_id"), F.lit("g").alias("guideline_id"), F.lit("m").alias("main_topic"), F.col("t").alias("text"))
     rows = K.requests(d.withColumn("retrieved_passages", F.array(p)), K.ANSWER, K.answer_prompt(max_chars=50), "model-x")
     at = lambda path: F.get_json_object("line", path)
@@ -273,7 +273,7 @@ def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REQUEST_LINES = rf"""
-WITH d AS (SELECT doc_id AS row_idx, {_WS.format("substr(text, 1, 200)")} AS q, {_WS.format("CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 201, 300) END")} AS t FROM documents)
+WITH d AS (SELECT doc_id AS row_idx, {_WS.format("substr(text, 1, 200)")} AS q, {_WS.format("CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 201) END")} AS t FROM documents)
 SELECT row_idx, 'answer-' || row_idx AS custom_id, 0.2::DOUBLE AS temperature, 'answer' AS schema_name,
   md5('Question: ' || q || chr(10) || chr(10) || 'Passages:' || chr(10) || '[1]' || chr(10) || 'passage_id: p1' || chr(10) || 'guideline_id: g' || chr(10) || 'main_topic: m' || chr(10) || 'text: ' || CASE WHEN length(t) > 50 THEN rtrim(t[1:50]) || ' ...[truncated]' ELSE t END || chr(10)) AS prompt
 FROM d WHERE q <> '' AND t <> ''

@@ -23,11 +23,11 @@ SELECT doc_id, source, text, concat(text,
   CASE WHEN doc_id % 6 = 4 THEN ' Ann Intern Med ' ELSE '' END) AS cited
 FROM documents
 """
-#: Short lines: headings, questions, references, numbers.
+#: Lines: headings, questions, references, numbers; whole texts for some, which give a line a sentence.
 TITLED = """
 SELECT doc_id, CASE doc_id % 9
-  WHEN 0 THEN substr(text, 1, 60) WHEN 1 THEN 'References' WHEN 2 THEN 'References are listed below.' WHEN 3 THEN 'Key Recommendations:' WHEN 4 THEN concat(CAST(doc_id % 30 AS VARCHAR(9)), '.2 Treatment of adults')
-  WHEN 5 THEN concat('what now', CAST(doc_id AS VARCHAR(20)), '?') WHEN 6 THEN substr(text, 1, 140) WHEN 7 THEN '' ELSE 'bibliography of all the works that we have cited here' END AS line
+  WHEN 0 THEN text WHEN 1 THEN 'References' WHEN 2 THEN 'References are listed below.' WHEN 3 THEN 'Key Recommendations:' WHEN 4 THEN concat(CAST(doc_id % 30 AS VARCHAR(9)), '.2 Treatment of adults')
+  WHEN 5 THEN concat('what now', CAST(doc_id AS VARCHAR(20)), '?') WHEN 6 THEN text WHEN 7 THEN '' ELSE 'bibliography of all the works that we have cited here' END AS line
 FROM documents
 """
 
@@ -133,12 +133,14 @@ FROM ({CITED}) WHERE ({_score_sql("cited")}) < 0.75 GROUP BY source
 
 def headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = derived(spark, sf_dir, TITLED, "documents")
+    d = d.select("doc_id", F.explode(F.when((F.col("doc_id") % 9).isin(0, 6), X.sentences("line")).otherwise(F.array("line"))).alias("line"))
     return d.select("doc_id", R.is_reference_heading("line").alias("is_reference"), R.is_section_heading("line").alias("is_section"))
 
 
 _H = "|".join(R.REFERENCE_HEADINGS.split("|"))
 HEADINGS = rf"""
-WITH d AS (SELECT doc_id, trim(regexp_replace(line, '\s+', ' ', 'g')) AS s FROM ({TITLED}))
+WITH d AS (SELECT doc_id, trim(regexp_replace(line, '\s+', ' ', 'g')) AS s FROM (
+  SELECT doc_id, unnest(CASE WHEN doc_id % 9 IN (0, 6) THEN {_SENTENCES.format("line")} ELSE [line] END) AS line FROM ({TITLED})))
 SELECT doc_id, s <> '' AND (regexp_matches(s[1:80], '(?i)^\s*({_H})\s*$') OR len(string_split(s, ' ')) <= 6 AND regexp_matches(s[1:80], '(?i)^\s*({_H})\b')) AS is_reference,
   s <> '' AND (trim(lower(s), ' :.-') IN ({", ".join(f"'{h}'" for h in R.SECTION_HEADINGS)}) OR regexp_matches(s, '^\d+(\.\d+)*\.?\s+[A-Z][A-Za-z ,/\-:]{{2,100}}$')
     OR len(regexp_extract_all(regexp_replace(s, '[^\x00-\x7F\P{{L}}]', '_', 'g'), '\b[0-9A-Za-z][0-9A-Za-z''\-]*\b')) <= 10 AND length(s) <= 100 AND NOT ends_with(s, '.') AND regexp_matches(regexp_replace(s, '[^A-Za-z]', '', 'g')[1:10], '[A-Z]')) AS is_section

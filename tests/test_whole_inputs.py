@@ -49,3 +49,23 @@ def test_items_grow_with_the_table(spark, tmp_path):
     assert sorted(r.item_id for r in rows if r.num_raw == 0) == list(range(5, 600, 6))
     totals = Q["data_set_rates"](spark, str(tmp_path)).first()
     assert (totals.num_items, totals.num_claims_raw, totals.num_claims_supported) == (600, 2400, 800)
+
+
+def test_answers_hold_whole_turns(spark, tmp_path):
+    turn = " ".join(f"word{k}" for k in range(300))
+    table(spark, tmp_path, "conversations", [(2, 0, "assistant", turn)], "conv_id long, turn long, role string, text string")
+    n = len(turn) // 3
+    second = "B " + turn[n:] + " [0] x [4]."  # the mark of conversation 2; its last citation stays visible
+    facts = Q["atomic_facts"](spark, str(tmp_path)).collect()
+    assert md5("A " + turn[:n] + ".") in {r.sentence for r in facts}
+    assert md5(second) in {r.sentence for r in facts}
+    answer = f"A {turn[:n]}. [1] B {turn[n : 2 * n]}! [2][3] C {turn[2 * n :]}"
+    assert Q["valid_answers"](spark, str(tmp_path)).first().answer_text == md5(" ".join(answer.split()))
+
+
+def test_prompts_and_headings_read_whole_texts(spark, tmp_path):
+    text = "q" * 200 + " " * 400 + "found after five hundred characters. More of it. Methods"
+    table(spark, tmp_path, "documents", [(6, text)], "doc_id long, text string")
+    assert Q["request_lines"](spark, str(tmp_path)).count() == 1
+    rows = Q["headings"](spark, str(tmp_path)).collect()
+    assert len(rows) == 3 and sum(r.is_section for r in rows) == 1
