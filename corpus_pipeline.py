@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.llm._runtime import read, write_table
-from sparquill.llm.decontam import contamination, digest
+from sparquill.llm.decontam import contamination, short_items
 from sparquill.llm.packing import pack
 from sparquill.llm.pii import redacted
 from sparquill.llm.quality import selected, train
@@ -36,10 +36,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which any window of a benchmark item occurs go: one leaked item is a leak."""
-    found = digest(contamination(docs, read(spark, sf_dir, "benchmark")), min_items=1)
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Documents in which any window of a benchmark item occurs go: one leaked item is a leak.
+
+    An item shorter than a window may be a common phrase: it counts only beside a further item.
+    The decision is each row's own, by its text: null ids are judged like others, and of rows that
+    share an id only those with a leak go.
+    """
+    benchmark = read(spark, sf_dir, "benchmark")
+    found = contamination(docs, benchmark, keep_row=True)
+    short = F.array(*map(F.lit, short_items(benchmark))).cast("array<long>")
+    leaked = (F.size("items") > 1) | (F.size(F.array_except("items", short)) > 0)
+    return found.where(~leaked).select(*("text" if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,8 +124,8 @@ def _stream(texts: list[str | None], vocab: dict[bytes, int], gap: int) -> tuple
 _DDL = "doc_id long, text string, n_words long, n_hit long, hits binary, items array<long>"
 
 
-def _scan(phrases: Phrases, last: bool) -> Callable:
-    """hits: sorted word positions of earlier passes and this one, little-endian uint32."""
+def _scan(phrases: Phrases, last: bool, keep_row: bool = False) -> Callable:
+    """hits: sorted word positions of earlier passes and this one, little-endian uint32; ``keep_row`` passes ``row`` and the text on."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -145,16 +145,17 @@ def _scan(phrases: Phrases, last: bool) -> Callable:
             items: list[list[int]] = [[] for _ in texts]
             for d, i in zip(*pairs.tolist(), strict=True):
                 items[d].append(i)
-            if batch.num_columns > 2:
+            if "hits" in batch.schema.names:
                 for k, (old, more) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                     hit[starts[k] + np.frombuffer(old, "<u4").astype(np.int64)] = True
                     items[k] = sorted({*items[k], *more})
             cum = np.concatenate(([0], np.cumsum(hit)))
             n_hit = cum[starts + n_words] - cum[starts]
             hits = [np.flatnonzero(hit[s : s + w]).astype("<u4").tobytes() if h else b"" for s, w, h in zip(starts.tolist(), n_words.tolist(), n_hit.tolist(), strict=True)]
+            row = [batch.column(batch.num_columns - 1)] if keep_row else []
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.nulls(len(texts), pa.string()) if last else batch.column(1), pa.array(n_words), pa.array(n_hit), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.int64()))],
-                names=["doc_id", "text", "n_words", "n_hit", "hits", "items"],
+                [batch.column(0), pa.nulls(len(texts), pa.string()) if last and not keep_row else batch.column(1), pa.array(n_words), pa.array(n_hit), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.int64())), *row],
+                names=["doc_id", "text", "n_words", "n_hit", "hits", "items", *["row"] * len(row)],
             )
 
     return scan
@@ -169,24 +170,37 @@ def _chunks(benchmark: DataFrame, chunk_bytes: int) -> Iterator[list[tuple[int,
         yield [(r[0], r[1]) for r in part.collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES, keep_row: bool = False) -> DataFrame:
     """Exact matches of benchmark windows: ``(doc_id, n_words, n_hit, hits, items)``, a row per document row.
 
     ``hits`` are the positions of hit words (little-endian uint32), ``items`` the ids of items with an
     occurring window.  Null and empty texts have no words; benchmark rows with a null id or text have
     no windows; an item of fewer words than a window is one window.  Repeated rows each get a row, an
-    empty benchmark gives no hits, empty documents an empty result.
+    empty benchmark gives no hits, empty documents an empty result.  ``keep_row`` adds the document's
+    ``text`` and its other columns as the struct ``row``.
     """
-    at = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")] if keep_row else []
+    own = docs if keep_row else text_columns(docs, "doc_id", "text")
+    at = own.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *row)
+    ddl = _DDL + "".join(f", row {at.schema['row'].dataType.simpleString()}" for _ in row)
     chunks = _chunks(benchmark, chunk_bytes)
     chunk = next(chunks)
     while chunk is not None:
         later = next(chunks, None)
-        at = at.mapInArrow(_scan(Phrases(chunk, window_words), later is None), _DDL)
+        at = at.mapInArrow(_scan(Phrases(chunk, window_words), later is None, keep_row), ddl)
         if later is not None:
-            at = write_table(at.select("doc_id", "text", "hits", "items"), "contamination")
+            at = write_table(at.select("doc_id", "text", "hits", "items", *["row"] * keep_row), "contamination")
         chunk = later
-    return at.drop("text")
+    return at if keep_row else at.drop("text")
+
+
+def short_items(benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> list[int]:
+    """Ids of items whose every text has fewer words than a window."""
+    longest: dict[int, int] = {}
+    for chunk in _chunks(benchmark, CHUNK_BYTES):
+        for item, text in chunk:
+            longest[item] = max(longest.get(item, 0), len(words_of(text)))
+    return sorted(i for i, n in longest.items() if n < window_words)
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int = 12, window_words: int = WINDOW_WORDS) -> DataFrame:
