@@ -11,6 +11,7 @@ chunk.  The token stream of the corpus is never shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -82,12 +83,14 @@ class Postings:
         pos = pos - order[found, 0]
         ok = pos >= 0
         found, pos = found[ok], pos[ok]
+        span = len(self.stream) + 1
+        keyed = np.repeat(np.arange(len(self.counts)), self.counts) * span + self.positions
         for k in range(1, windows.shape[1]):
             offset = order[found, k]
             want = windows[found, offset]
-            at = pos + offset
-            inside = at < len(self.stream)
-            ok = (want < 0) | inside & (self.stream[np.where(inside, at, 0)] == want)
+            keys = want * span + pos + offset
+            at = np.minimum(np.searchsorted(keyed, keys), len(keyed) - 1)
+            ok = (want < 0) | (pos + offset < span) & (keyed[at] == keys)
             found, pos = found[ok], pos[ok]
         return found, pos
 
@@ -203,14 +206,16 @@ def short_items(benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> list[
     return sorted(i for i, n in longest.items() if n < window_words)
 
 
-def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int = 12, window_words: int = WINDOW_WORDS) -> DataFrame:
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int = 12, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``(doc_id, item_id, position)``: places where all terms of an item's window lie within ``reach``
-    words of its rarest one.  For a benchmark of one chunk (:data:`CHUNK_BYTES`)."""
-    chunks = list(_chunks(benchmark, CHUNK_BYTES))
-    if len(chunks) > 1:
-        raise ValueError("the benchmark exceeds one chunk; split it")
-    phrases = Phrases(chunks[0], window_words)
+    words of its rarest one.  A benchmark of several chunks takes one pass over the documents per chunk;
+    rows are distinct within a batch of documents, as in one pass."""
+    rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = [rows.mapInArrow(_near(Phrases(chunk, window_words), reach), "doc_id long, item_id long, position long") for chunk in _chunks(benchmark, chunk_bytes)]
+    return reduce(DataFrame.unionAll, found)
 
+
+def _near(phrases: Phrases, reach: int) -> Callable:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
             ids = batch.column(0).to_pylist()
@@ -225,8 +230,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int = 12, wi
             cols = list(zip(*sorted(found, key=str), strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "position"])
 
-    rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(scan, "doc_id long, item_id long, position long")
+    return scan
 
 
 def postings_table(docs: DataFrame) -> DataFrame:
