@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparquill.runtime import drop_table, read, write_table
 
-__all__ = ["drop_table", "labelled_texts", "read", "sliced", "text_columns", "write_table"]
+__all__ = ["cuts", "drop_table", "labelled_texts", "read", "sliced", "text_columns", "write_table"]
 
 
 def text_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -31,6 +32,18 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             yield batch.slice(at, min(step, n - at))
 
 
+_BLANK = re.compile(r"[ \t\n\r]")
+
+
+def cuts(text: str, most: int = 1 << 20) -> list[str]:
+    """A text in pieces of ``most`` characters or a little more, cut after blanks, so that no word is cut."""
+    out, at = [], 0
+    while len(text) - at > most and (m := _BLANK.search(text, at + most)):
+        out.append(text[at : m.end()])
+        at = m.end()
+    return [*out, text[at:]] if out else [text]
+
+
 def labelled_texts(docs: DataFrame, chosen: DataFrame, label: str, most_bytes: int) -> list[tuple[int, int, str]]:
     """(doc_id, label, text) of the rows that ``chosen(doc_id, label)`` names, a bounded table in order of the id's hash.
 

@@ -1,19 +1,23 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and word prefixes.  A vocabulary of terms that training labels tie to toxicity is
-chosen by chi-square on a bounded sample of labelled rows (:data:`MAX_EXAMPLES`); document
-frequencies of those terms are counted over the whole corpus.  The examples' TF-IDF vectors form an
-inverted index in blocks of consecutive examples with the largest weight of each term per block.
-For a document, blocks are taken by descending bound (sum of query weight times block maximum) until
-the bound falls below the k-th best cosine, so the k nearest are exact.  Their votes, weighted by
-cosine and shrunk towards the base rate of documents without any chosen term, give the score;
-the examples themselves are the evidence.
+Terms are all words of a text and the prefixes of longer words, hashed to :data:`TERMS` numbers (words
+that share a number are one term).  A term weighs its logarithmic count times its inverse document
+frequency, counted over the whole corpus, times a relevance that the labelled examples give it: terms
+that their labels depend on (chi-square) weigh more, no term weighs nothing.  So every text with a word
+has a vector over all of its terms, and is compared with the examples.
+
+The examples (a bounded sample, :data:`MAX_EXAMPLES`) stand in blocks, alike ones together.  The index
+keeps posting lists per term; lists that a good part of the examples is on are stored dense, with the
+largest weight in each block.  A batch of documents gets a bound for every block, takes the blocks of
+highest bound first, and leaves out blocks whose bound is below the k-th best cosine: the k nearest are
+exact.  Their votes, weighted by squared cosine, go through a logistic calibration that was fitted on
+examples scored by an index of the other examples; the neighbours are the evidence.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -21,19 +25,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import labelled_texts, read, sliced, text_columns
+from sparquill.llm._runtime import cuts, labelled_texts, read, sliced, text_columns
 
-#: Labelled rows that are examples at most, by hash of the id.
-MAX_EXAMPLES = 8_000
+#: Labelled rows that are examples at most: half of them of each label, by hash of the id.
+MAX_EXAMPLES = 4_000
 #: Bytes of their texts at most.
 MAX_BYTES = 64 << 20
-MAX_TERMS = 4_000
+#: Numbers that terms are hashed to.
+TERMS = 1 << 18
 NEIGHBOURS = 15
 FOLDS = 5
 BLOCK = 64
 PREFIXES = (4, 5, 6, 7, 8)
-#: A term that occurs this often in a text counts as a term of its own as well (marked with a number).
-OFTEN = (2, 4)
+#: Terms with dense lists.
+DENSE = 1024
+#: Documents scored together, and characters of a text whose words are held at once.
+BATCH, PIECE = 256, 1 << 20
+#: Examples that are scored for the calibration at most, and the parts they are dealt into.
+CALIBRATED, PARTS = 1_500, 3
+#: Chi-square that chance explains, and the relevance of terms below it.
+CHANCE, PLAIN = 6.0, 0.5
 #: Whatever is no letter of a lowered text becomes a separator.
 _WORDS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -42,200 +53,313 @@ def held_out(doc_id) -> bool:
     return crc32(str(doc_id).encode()) % FOLDS == 0
 
 
-def terms_of(text: str | None) -> Counter:
-    """Counts of words, of prefixes of longer words (marked with a star), and terms for what occurs often."""
-    words = Counter((text or "").lower().encode("utf-8", "surrogatepass").translate(_WORDS).split())
-    out = Counter(words)
-    for w, n in words.items():
-        for k in PREFIXES:
-            if len(w) > k:
-                out[w[:k] + b"*"] += n
-    for t, n in list(out.items()):
-        for often in OFTEN:
-            if n >= often:
-                out[t + b"#%d" % often] = 1
-    return out
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_WORDS).split()
+
+
+def terms_of(word: bytes) -> list[int]:
+    """Numbers of a word and of its prefixes (marked with a star)."""
+    return [crc32(t) % TERMS for t in (word, *(word[:k] + b"*" for k in PREFIXES if len(word) > k))]
+
+
+def _summed(text: np.ndarray, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal (text, term) added up, in order of both."""
+    key = text * TERMS + term
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.diff(key, prepend=-1))
+    return *np.divmod(key[heads], TERMS), np.add.reduceat(count[order], heads) if len(heads) else np.empty(0, np.int64)
+
+
+class Bags:
+    """Term counts of whole texts; the terms of each distinct word are found once per worker (at most ``most`` are kept)."""
+
+    def __init__(self, most: int = 400_000) -> None:
+        self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.terms: list[int] = []
+        self.ends = [0]
+        self.arrays = np.empty(0, np.int64), np.zeros(1, np.int64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, count) of every term of every text, in order of text and term; long texts go piece by piece."""
+        if all(len(t or "") <= PIECE for t in texts):
+            return self._count(texts)
+        found = []
+        for k, text in enumerate(texts):
+            for piece in cuts(text or "", PIECE):
+                own = self._count([piece])
+                found.append((own[0] + k, *own[1:]))
+        return _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def _count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self.index) > self.most:
+            self._clear()
+        own = [words_of(t) for t in texts]
+        n = np.array([len(w) for w in own], np.int64)
+        words = [w for ws in own for w in ws]
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
+            for w in dict.fromkeys(new):
+                self.index[w] = len(self.index)
+                self.terms += terms_of(w)
+                self.ends.append(len(self.terms))
+            at[missing] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
+            done = len(self.arrays[1])
+            self.arrays = np.concatenate((self.arrays[0], self.terms[len(self.arrays[0]) :])), np.concatenate((self.arrays[1], self.ends[done:]))
+        terms, ends = (x.astype(np.int64, copy=False) for x in self.arrays)
+        key, count = np.unique(np.repeat(np.arange(len(texts)), n) * len(ends) + at, return_counts=True)
+        text, word = np.divmod(key, len(ends))
+        size = ends[word + 1] - ends[word]
+        stop = np.cumsum(size)
+        take = np.repeat(ends[word] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+        return _summed(np.repeat(text, size), terms[take], np.repeat(count, size))
+
+
+def relevance(text: np.ndarray, term: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Weight of each term by how far labels depend on it: the root of chi-square beyond chance, and :data:`PLAIN`."""
+    n1, n0 = float(toxic.sum()), float(len(toxic) - toxic.sum())
+    if not n1 or not n0:
+        return np.full(TERMS, PLAIN)
+    a = np.bincount(term, toxic[text].astype(np.float64), TERMS)
+    b = np.bincount(term, minlength=TERMS) - a
+    c, d = n1 - a, n0 - b
+    chi = (a * d - b * c) ** 2 * (n1 + n0) / np.maximum((a + b) * (c + d) * n1 * n0, 1.0)
+    return PLAIN + np.sqrt(np.maximum(chi - CHANCE, 0.0))
 
 
-def choose_terms(texts: list[str], toxic: list[bool], most: int = MAX_TERMS) -> list[bytes]:
-    """Terms at least four times as likely in toxic examples, in four of them or more, by chi-square.
-
-    Only terms of four toxic examples are counted in the others, so memory follows the toxic ones.
-    """
-    n1, n0 = sum(toxic), len(toxic) - sum(toxic)
-    if not n1 or not n0:
-        return []
-    in1: Counter = Counter()
-    for text, t in zip(texts, toxic, strict=True):
-        if t:
-            in1.update(terms_of(text).keys())
-    in1 = Counter({term: a for term, a in in1.items() if a >= 4})
-    in0: Counter = Counter()
-    for text, t in zip(texts, toxic, strict=True):
-        if not t:
-            in0.update(terms_of(text).keys() & in1.keys())
-    scored = []
-    for term, a in in1.items():
-        b = in0[term]
-        if a / n1 >= 4 * (b + 0.5) / n0:
-            c, d = n1 - a, n0 - b
-            chi = (a * d - b * c) ** 2 * (n1 + n0) / max(1, (a + b) * (c + d) * n1 * n0)
-            if chi >= 20:
-                scored.append((-chi, term))
-    return [t for _, t in sorted(scored)[:most]]
-
-
-class Lexicon:
-    """Looks terms of whole texts up by word, each distinct word resolved once per worker."""
-
-    def __init__(self, terms: list[bytes]) -> None:
-        self.ids = {t: k for k, t in enumerate(terms)}
-        self.heads = {t.partition(b"*")[0].partition(b"#")[0][:4] for t in terms}
-        base = {t.rpartition(b"#")[0] for t in terms if b"#" in t}
-        for t in base - set(terms):  # counted for their sake, but no term
-            self.ids[t] = len(self.ids)
-        self.n_terms = len(terms)
-        self.often = {self.ids[t]: [(n, self.ids[t + b"#%d" % n]) for n in OFTEN if t + b"#%d" % n in self.ids] for t in base}
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
-        heads, ids = self.heads, self.ids
-        for w in (text or "").lower().encode("utf-8", "surrogatepass").translate(_WORDS).split():
-            if w[:4] in heads:
-                for term in (w, *(w[:k] + b"*" for k in PREFIXES if len(w) > k)):
-                    if term in ids:
-                        out[ids[term]] = out.get(ids[term], 0) + 1
-        for t, marks in self.often.items():
-            n = out.get(t, 0)
-            for often, mark in marks:
-                if n >= often:
-                    out[mark] = 1
-        return {t: n for t, n in out.items() if t < self.n_terms}
+def unit(bag: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors as (text, term, weight) from counts."""
+    text, term, count = bag
+    w = (1 + np.log(count)) * weight[term]
+    norm = np.sqrt(np.bincount(text, w * w, n))
+    return text, term, w / np.where(norm > 0, norm, 1.0)[text]
 
 
 class BlockMaxIndex:
-    """Unit TF-IDF vectors of labelled examples, postings in blocks with maxima."""
-
-    def __init__(self, idf: np.ndarray, bags: list[dict[int, int]], labels: list[int], ids: list[int]) -> None:
-        self.idf = idf
-        empty = [k for k, b in enumerate(bags) if not b]
-        tox = sum(labels[k] for k in empty)
-        self.base = min(0.49, (tox + 0.5) / (len(empty) + 2))  # of documents without a chosen term: no evidence, no verdict
-        # Examples with alike leading terms stand together, which makes block maxima tight.
-        order = sorted((k for k, b in enumerate(bags) if b), key=lambda k: (sorted(bags[k]), ids[k]))
-        self.ids = np.array([ids[k] for k in order], np.int64)
-        self.labels = np.array([labels[k] for k in order], np.float64)
-        self.vectors = [self.vector(bags[k]) for k in order]
-        n_blocks = -(-len(order) // BLOCK)
-        self.maxima = np.zeros((len(idf), n_blocks), np.float64)
-        self.postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
-        for b in range(n_blocks):
-            lists: dict[int, list[tuple[int, float]]] = {}
-            for at, (terms, weights) in enumerate(self.vectors[b * BLOCK : (b + 1) * BLOCK]):
-                for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                    lists.setdefault(t, []).append((at, w))
-            self.postings.append({t: (np.array([x for x, _ in p]), np.array([w for _, w in p])) for t, p in lists.items()})
-            for t, p in lists.items():
-                self.maxima[t, b] = max(w for _, w in p)
-        self.cache: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
-
-    def vector(self, bag: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(bag), np.int64)
-        w = (1 + np.log([bag[t] for t in terms.tolist()])) * self.idf[terms]
-        return terms, w / np.linalg.norm(w)
-
-    def nearest(self, bag: dict[int, int], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest examples, ties by position; those without a common term never count."""
-        key = (k, *sorted(bag.items()))
-        if key not in self.cache:
-            if len(self.cache) > 4_000:
-                self.cache.clear()
-            self.cache[key] = self._nearest(*self.vector(bag), k)
-        return self.cache[key]
-
-    def _nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        bounds = weights @ self.maxima[terms]
-        at, cos = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(cos) == k and bounds[b] < cos[-1] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                if t in self.postings[b]:
-                    rows, values = self.postings[b][t]
-                    scores[rows] += w * values
-            own = np.flatnonzero(scores > 0)
-            at, cos = np.concatenate((at, own + b * BLOCK)), np.concatenate((cos, scores[own]))
-            top = np.lexsort((at, -np.round(cos, 12)))[:k]
-            at, cos = at[top], cos[top]
-        return at, cos
-
-    def score(self, bag: dict[int, int], k: int, own: int | None = None) -> tuple[float, list[int], list[float]]:
-        """(score, ids of the nearest examples, cosines); a document is no neighbour of itself."""
-        if not bag:
-            return self.base, [], []
-        at, cos = self.nearest(bag, k + 1)
-        other = self.ids[at] != (-1 if own is None else own)
-        at, cos = at[other][:k], cos[other][:k]
-        votes = cos * cos
-        score = (votes @ self.labels[at] + self.base) / (votes.sum() + 1.0)
-        return float(score), self.ids[at].tolist(), cos.tolist()
-
-
-def examples(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> list[tuple[int, int, str]]:
-    """(doc_id, toxic, text) of at most ``most`` labelled rows outside the held-out fold, by hash of the id."""
-    chosen = (
+    """Unit vectors of the examples: posting lists, dense ones with their maxima per block of examples."""
+
+    def __init__(self, bag: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> None:
+        n = len(ids)
+        text, term, w = unit(bag, n, weight)
+        # Examples whose heaviest terms are the same stand together, which makes block maxima tight.
+        lead = np.full(n, -1, np.int64)
+        heavy = np.lexsort((term, w, text))
+        last = np.flatnonzero(np.diff(text[heavy], append=n))
+        lead[text[heavy[last]]] = term[heavy[last]]
+        common = np.full(n, -1, np.int64)
+        many = np.bincount(term, minlength=TERMS)
+        often = np.lexsort((term, many[term], text))
+        common[text[often[last]]] = term[often[last]]
+        order = np.lexsort((ids, lead, common))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.weight, self.ids, self.labels, self.n = weight, ids[order], labels[order].astype(np.float64), n
+        self.n_blocks = -(-n // BLOCK)
+        self.dense_terms = np.argsort(-many, kind="stable")[: min(DENSE, int((many > 0).sum()))]
+        self.slot = np.full(TERMS, -1, np.int32)
+        self.slot[self.dense_terms] = np.arange(len(self.dense_terms))
+        self.dense = np.zeros((len(self.dense_terms), self.n_blocks * BLOCK))
+        at, thick = place[text], self.slot[term] >= 0
+        self.dense[self.slot[term[thick]], at[thick]] = w[thick]
+        self.maxima = self.dense.reshape(len(self.dense_terms), self.n_blocks, BLOCK).max(axis=2, initial=0.0)
+        lists = np.lexsort((at[~thick], term[~thick]))
+        self.rows, self.values = at[~thick][lists].astype(np.int32), w[~thick][lists]
+        self.ends = np.concatenate(([0], np.cumsum(np.bincount(term[~thick], minlength=TERMS)))).astype(np.int32)
+
+    def nearest(self, bag: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Positions and cosines of the k nearest examples of each of ``n`` texts, ties by position (-1: none with a common term left), and how many blocks were scored."""
+        k = min(k, self.n)
+        if not self.n or not n:
+            return np.full((n, k), -1), np.zeros((n, k)), 0
+        text, term, w = unit(bag, n, self.weight)
+        slot = self.slot[term]
+        q = np.zeros((n, len(self.dense_terms)))
+        q[text[slot >= 0], slot[slot >= 0]] = w[slot >= 0]
+        first, size = self.ends[term], self.ends[term + 1] - self.ends[term]
+        stop = np.cumsum(size)
+        take = np.repeat(first - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+        width = self.n_blocks * BLOCK
+        score = np.bincount(np.repeat(text * width, size) + self.rows[take], np.repeat(w, size) * self.values[take], n * width).astype(np.float64, copy=False).reshape(n, self.n_blocks, BLOCK)
+        bound = score.max(axis=2) + q @ self.maxima
+        floor, scored = np.zeros(n), np.zeros((n, self.n_blocks), bool)
+        first_blocks = -(-k // BLOCK)
+        top = np.argpartition(-bound, first_blocks - 1, axis=1)[:, :first_blocks] if first_blocks < self.n_blocks else np.tile(np.arange(self.n_blocks), (n, 1))
+        wanted = np.zeros((n, self.n_blocks), bool)
+        np.put_along_axis(wanted, top, True, axis=1)
+        for _ in range(2):  # blocks of the highest bounds give a floor; then all blocks that could pass it
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                rows = np.flatnonzero(wanted[:, b])
+                score[rows, b] += q[rows] @ self.dense[:, b * BLOCK : (b + 1) * BLOCK]
+            scored |= wanted
+            have = np.where(scored[:, :, None], score, 0.0).reshape(n, width)
+            floor = -np.partition(-have, k - 1, axis=1)[:, k - 1]
+            wanted = ~scored & (bound >= floor[:, None] - 1e-9) & (bound > 0)
+        have = np.round(have, 12)
+        least = -np.partition(-have, k - 1, axis=1)[:, k - 1]
+        row, at = np.nonzero((have >= least[:, None]) & (have > 0))
+        order = np.lexsort((at, -have[row, at], row))
+        row, at = row[order], at[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        row, at, rank = row[rank < k], at[rank < k], rank[rank < k]
+        position, cosine = np.full((n, k), -1), np.zeros((n, k))
+        position[row, rank], cosine[row, rank] = at, have[row, at]
+        return position, cosine, int(scored.sum())
+
+    def neighbours(self, bag: tuple[np.ndarray, np.ndarray, np.ndarray], own: list[int | None], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(positions, cosines, counted): the k nearest of each text; a document is no neighbour of itself."""
+        position, cosine, _ = self.nearest(bag, len(own), k + 1)
+        ids = np.array([np.iinfo(np.int64).min if i is None else i for i in own], np.int64)
+        counted = position >= 0
+        if counted.size:
+            counted &= self.ids[position] != ids[:, None]
+        counted &= np.cumsum(counted, axis=1) <= k
+        return position, cosine, counted
+
+    def votes(self, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """Per text: votes for toxic, votes against, their share of toxic ones, each weighted by squared cosine."""
+        position, cosine, counted = found
+        if not self.n:
+            return np.zeros((len(position), 3))
+        weight = cosine * cosine * counted
+        toxic = (weight * self.labels[position]).sum(axis=1)
+        total = weight.sum(axis=1)
+        return np.stack((toxic, total - toxic, toxic / np.where(total > 0, total, 1.0)), axis=1)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
+    """Coefficients of (1, x) by Newton steps on the weighted likelihood."""
+    x = np.hstack((np.ones((len(x), 1)), x))
+    b, pull = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + pull, x.T @ (weight * (y - p)) - ridge * b)
+        b = b + np.clip(step, -4, 4)
+        if np.abs(step).max() < 1e-8:
+            break
+    return b
+
+
+class Scorer:
+    """The index, the calibration and the base rate, as the tasks get them."""
+
+    def __init__(self, rows: list[tuple[int, int, str]], idf: np.ndarray, counts: tuple[int, int] | None = None, k: int = NEIGHBOURS) -> None:
+        """``rows`` are (doc_id, toxic, text); ``counts`` the numbers of labelled rows (not toxic, toxic) that they stand for."""
+        self.k = k
+        ids = np.array([r[0] for r in rows], np.int64)
+        labels = np.array([r[1] == 1 for r in rows], bool)
+        bag = Bags()([r[2] for r in rows])
+        n0, n1 = counts or (int((~labels).sum()), int(labels.sum()))
+        self.base = (n1 + 0.5) / (n0 + n1 + 2)
+        share = np.where(labels, n1 / max(1, labels.sum()), n0 / max(1, (~labels).sum())) if len(rows) else np.empty(0)
+        part = np.array([crc32(b"part%d" % i) % PARTS for i in ids.tolist()], np.int64)
+        some = np.zeros(len(rows), bool)
+        for label in (False, True):
+            some[np.flatnonzero(labels == label)[: CALIBRATED // 2]] = True
+        x, y, w = [], [], []
+        for p in range(PARTS) if 0 < labels.sum() < len(labels) else ():
+            asked, rest = part == p, part != p
+            index = self._index(bag, rest, labels, ids, idf)
+            for at in np.array_split(np.flatnonzero(asked & some), -(-int((asked & some).sum()) // BATCH) or 1):
+                x.append(index.votes(index.neighbours(self._rows(bag, at), ids[at].tolist(), k)))
+                y.append(labels[at])
+                w.append(share[at])
+        self.calibration = logistic(np.concatenate(x), np.concatenate(y).astype(np.float64), np.concatenate(w)) if x else None
+        self.index = self._index(bag, np.ones(len(rows), bool), labels, ids, idf)
+
+    @staticmethod
+    def _rows(bag: tuple[np.ndarray, np.ndarray, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bags of the texts ``at``, numbered from 0."""
+        if not len(at):
+            return tuple(b[:0] for b in bag)
+        new = np.full(max(int(at.max()), int(bag[0].max(initial=0))) + 1, -1)
+        new[at] = np.arange(len(at))
+        own = new[bag[0]] >= 0
+        return new[bag[0][own]], bag[1][own], bag[2][own]
+
+    def _index(self, bag: tuple, rows: np.ndarray, labels: np.ndarray, ids: np.ndarray, idf: np.ndarray) -> BlockMaxIndex:
+        own = self._rows(bag, np.flatnonzero(rows))
+        return BlockMaxIndex(own, labels[rows], ids[rows], idf * relevance(own[0], own[1], labels[rows]))
+
+    def score(self, bag: tuple[np.ndarray, np.ndarray, np.ndarray], own: list[int | None]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Scores, and the neighbours behind them; without a neighbour the score is the base rate."""
+        found = self.index.neighbours(bag, own, self.k)
+        votes = self.index.votes(found)
+        score = np.full(len(own), self.base)
+        if self.calibration is not None:
+            z = self.calibration[0] + votes @ self.calibration[1:]
+            score = np.where(found[2].any(axis=1), 1 / (1 + np.exp(-np.clip(z, -30, 30))), score)
+        return score, found
+
+
+def labelled(labels: DataFrame) -> DataFrame:
+    """``(doc_id, toxic)`` of labelled rows outside the held-out fold, one row per id (toxic if any of its rows is)."""
+    return (
         text_columns(labels, "doc_id", "toxic")
         .where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != 0)
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
     )
-    return labelled_texts(docs, chosen, "toxic", MAX_BYTES)
-
-
-def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> tuple[list[bytes], BlockMaxIndex]:
-    """Chosen terms and the index; document frequencies come from all documents."""
-    rows = examples(docs, labels, most)
-    terms = choose_terms([t for _, _, t in rows], [t == 1 for _, t, _ in rows])
-    lexicon = Lexicon(terms)
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(lexicon.n_terms, np.int64), 0
-        for batch in sliced(batches, "text", 4 << 20):
-            for text in batch.column(0).to_pylist():
-                n += 1
-                for t in lexicon.counts(text):
-                    df[t] += 1
+
+
+def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Documents that hold each term, and all documents, counted over the whole table."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, df, n = Bags(), np.zeros(TERMS, np.int64), 0
+        for batch in sliced(batches, "text", 1 << 20):
+            df += np.bincount(bags(batch.column(0).to_pylist())[1], minlength=TERMS)
+            n += batch.num_rows
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([-1], seen))), pa.array(np.concatenate(([n], df[seen])))], names=["term", "n"])
 
-    counted = text_columns(docs, "text").select(F.col("text").cast("string")).mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    by = {r["term"]: r["n"] for r in counted}
-    idf = np.log((1 + by.get(-1, 0)) / (1 + np.array([by.get(k, 0) for k in range(len(terms))]))) + 1
-    return terms, BlockMaxIndex(idf, [lexicon.counts(t) for _, _, t in rows], [t for _, t, _ in rows], [d for d, _, _ in rows])
+    counted = text_columns(docs, "text").select(F.col("text").cast("string")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = (counted.column(c).to_numpy() for c in ("term", "n"))
+    df = np.zeros(TERMS, np.int64)
+    df[term[term >= 0]] = n[term >= 0]
+    return df, int(n[term < 0].sum())
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, k: int = NEIGHBOURS) -> Scorer:
+    """The scorer from at most ``most`` labelled rows; document frequencies come from all documents."""
+    known = labelled(labels)
+    sides = [known.where(F.col("toxic") == t if t else F.col("toxic") != 1) for t in (0, 1)]
+    chosen = [s.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most // 2) for s in sides]
+    rows = labelled_texts(docs, chosen[0].unionAll(chosen[1]), "toxic", MAX_BYTES)
+    total = {bool(r["t"]): r["n"] for r in known.groupBy((F.col("toxic") == 1).alias("t")).agg(F.count("*").alias("n")).collect()}
+    df, n = document_frequencies(docs)
+    return Scorer(rows, np.log((1 + n) / (1 + df)), (total.get(False, 0), total.get(True, 0)), k)
 
 
-def scored(docs: DataFrame, terms: list[bytes], index: BlockMaxIndex, k: int = NEIGHBOURS) -> DataFrame:
+def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, held_out, score, predicted, evidence)``, one row per input row.
 
-    ``evidence`` lists the nearest examples with their cosines.  Null and empty texts, and texts without
-    a chosen term, get the base rate and no evidence.  Without labelled rows of both kinds every score
-    is that base.  Repeated rows each get a row; a null doc_id counts as not held out.
+    ``evidence`` lists the nearest examples with their cosines.  Null and empty texts, and texts that share
+    no term with an example, get the base rate and no evidence.  Without labelled rows of both kinds every
+    score is that base.  Repeated rows each get a row; a null doc_id counts as not held out; extra columns
+    are ignored; an empty table gives an empty result.
     """
-    lexicon = Lexicon(terms)
     struct = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded by MAX_EXAMPLES and MAX_BYTES
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 4 << 20):
-            ids = batch.column(0).to_pylist()
-            found = [index.score(lexicon.counts(t), k, d) for d, t in zip(ids, batch.column(1).to_pylist(), strict=True)]
-            scores = np.array([f[0] for f in found])
-            evidence = [[{"doc_id": d, "cosine": c} for d, c in zip(f[1], f[2], strict=True)] for f in found]
-            cols = [batch.column(0), pa.array([d is not None and held_out(d) for d in ids]), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(evidence, struct)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "score", "predicted", "evidence"])
+        own, bags = shared.value, Bags()
+        for part in sliced(batches, "text", 1 << 20):
+            for at in range(0, part.num_rows, BATCH):
+                batch = part.slice(at, BATCH)
+                ids = batch.column(0).to_pylist()
+                scores, (position, cosine, counted) = own.score(bags(batch.column(1).to_pylist()), ids)
+                near = own.index.ids[position] if own.index.n else position
+                ends = np.concatenate(([0], np.cumsum(counted.sum(axis=1)))).astype(np.int32)
+                evidence = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(near[counted]), pa.array(cosine[counted])], names=["doc_id", "cosine"]))
+                cols = [batch.column(0), pa.array([d is not None and held_out(d) for d in ids]), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), evidence.cast(struct)]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
     rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(scan, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id:long,cosine:double>>")
@@ -243,4 +367,4 @@ def scored(docs: DataFrame, terms: list[bytes], index: BlockMaxIndex, k: int = N
 
 def op2_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return scored(docs, *build_index(docs, read(spark, sf_dir, "labels")))
+    return scored(docs, train(docs, read(spark, sf_dir, "labels")))

@@ -1,13 +1,12 @@
 """Operators with trained parts: held-out accuracy, exactness against brute force, edges."""
 
 import random
-from zlib import crc32
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparquill.llm import edit_counts, pii, quality, secrets, toxicity
+from sparquill.llm import edit_counts, pii, quality, secrets
 from sparquill.llm.tokens import tokenizer
 from tests.conftest import SMALL
 from tests.llm.helpers import docs, documents
@@ -20,42 +19,6 @@ def labels(spark, folder):
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
-# --- toxicity ---------------------------------------------------------------------------------
-def test_toxicity_on_held_out_rows(spark):
-    folder = SMALL.replace("sf0.001", "sf0.1")  # the smaller tables hold out six toxic rows
-    d = documents(spark, folder)
-    rows = toxicity.scored(d, *toxicity.build_index(d, labels(spark, folder))).join(labels(spark, folder), "doc_id").where("held_out").collect()
-    assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
-    pos, neg = ([r.score for r in rows if r.toxic == t] for t in (1, 0))
-    auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
-    assert auc > 0.95 and all(r.predicted == int(r.score >= 0.5) for r in rows)
-
-
-def test_nearest_are_exact():
-    r = random.Random(1)
-    bags = [{r.randrange(40): r.randint(1, 5) for _ in range(r.randint(1, 6))} for _ in range(700)]
-    index = toxicity.BlockMaxIndex(np.linspace(1, 3, 40), bags, [r.randint(0, 1) for _ in bags], list(range(700)))
-    dense = np.zeros((700, 40))
-    for k, (terms, w) in enumerate(index.vectors):
-        dense[k, terms] = w
-    for _ in range(60):
-        q = {r.randrange(40): r.randint(1, 4) for _ in range(4)}
-        terms, w = index.vector(q)
-        cos = dense[:, terms] @ w
-        at, got = index.nearest(q, 11)
-        order = np.lexsort((np.arange(700), -np.round(cos, 12)))[: len(at)]
-        assert np.allclose(np.sort(cos[order])[::-1], got) and at.tolist() == order.tolist()
-
-
-def test_toxicity_edges(spark):
-    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    rows = toxicity.scored(docs(spark, EDGES), *toxicity.build_index(docs(spark, EDGES), none)).collect()
-    assert len(rows) == len(EDGES) and all(0 <= r.score < 0.5 and r.predicted == 0 and not r.evidence for r in rows)
-    some = spark.createDataFrame([(4, None, 1), (3, 1, 0), (None, 1, 1), (9, 0, None)], "doc_id long, quality int, toxic int")
-    assert toxicity.scored(docs(spark, EDGES), *toxicity.build_index(docs(spark, EDGES), some)).count() == len(EDGES)
-    assert toxicity.scored(docs(spark, []), *toxicity.build_index(docs(spark, []), none)).count() == 0
-
-
 # --- quality ----------------------------------------------------------------------------------
 def test_quality_on_held_out_rows(spark):
     rated = labels(spark, BIG).where("quality IS NOT NULL")
