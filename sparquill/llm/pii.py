@@ -3,9 +3,9 @@
 The patterns (email, IP address, payment card, phone) are checked (octets, Luhn sum, digit
 counts) and always kept.  The field labels tokens B/I per kind from word-shape features of the
 token and its neighbours.  It is trained here, from a small labelled table that
-:func:`training_rows` writes by rule, and decoded by Viterbi in padded numpy batches.  Only
-neighbourhoods of trigger tokens (digits, ``@``, spelled-out "at"/"dot") can hold a span; the
-chain runs over those neighbourhoods of the whole text, in training as in use.
+:func:`training_rows` writes by rule, and decoded by Viterbi in padded numpy batches.  A span of any
+kind holds a digit, an ``@`` or a spelled-out "at"/"dot"; a chain is the whole neighbourhood of such
+tokens, however long, in training as in use.  Work and memory are linear in the text.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,20 +26,20 @@ from sparquill.llm._runtime import read, sliced, text_columns
 
 KINDS = ("email", "ip", "card", "phone")
 STATES = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
-_PATTERNS = (
-    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
-    re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
-    re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
-)
+#: The domain of an email, an IP address, a card, a phone number.  Digit runs are taken whole: no match can start inside one.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+_PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|[^\W_]|_")
 _SPELLED = re.compile(r"[(\[{<]\s?(?:at|dot)\s?[)\]}>]|\sdot\s", re.IGNORECASE)
 _TRIGGER = re.compile(r"[0-9]+|@|[(\[{<]\s?(?:at|dot)\s?[)\]}>]|(?<=\s)dot(?=\s)", re.IGNORECASE)
 #: Characters around a trigger that its neighbourhood holds, moved out to token ends.
 REACH = 48
-#: Longest chain; a longer neighbourhood (an unbroken run of triggers) is decoded in pieces that overlap by half.
-MAX_TOKENS = 256
+#: Tokens whose features are held at once, and scores of a batch of chains, padded.
+PIECE, PADDED = 4096, 1 << 16
 
 
 # --- fixed patterns -------------------------------------------------------------------------
@@ -59,18 +60,32 @@ def _holds(kind: int, found: str) -> bool:
     return 16 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 8 <= len(digits) <= 15
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping emails: from each ``@`` to the left over local characters, to the right over a domain."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        found = _DOMAIN.match(text, at + 1) if start < at else None
+        if found:
+            done = found.end()
+            yield start, done
+        at = text.find("@", max(at + 1, done))
+
+
 def has_digit(text: str) -> bool:
     return any(d in text for d in "0123456789")
 
 
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(kind, start, end) of what the patterns find and the checks keep, and of what they drop."""
-    kept, dropped = [], []
-    digit = has_digit(text)
-    for kind, need in enumerate(("@" in text, digit, digit, "+" in text and digit)):
-        if need:
-            for m in _PATTERNS[kind].finditer(text):
-                (kept if _holds(kind, m.group()) else dropped).append((kind, *m.span()))
+    kept, dropped = [(0, a, b) for a, b in emails(text)], []
+    if has_digit(text):
+        for kind, pattern, need in ((1, _IP, "."), (2, _CARD, ""), (3, _PHONE, "+")):
+            if need in text:
+                for m in pattern.finditer(text):
+                    (kept if _holds(kind, m.group()) else dropped).append((kind, *m.span()))
     return kept, dropped
 
 
@@ -86,26 +101,29 @@ def neighbourhoods(text: str) -> Iterator[list[tuple[int, int]]]:
         else:
             runs.append([lo, hi])
     for lo, hi in runs:
+        if hi <= at:  # within the unbroken text that the last one was moved out to
+            continue
         while lo > at and not text[lo - 1].isspace():
             lo -= 1
         while hi < len(text) and not text[hi].isspace():
             hi += 1
-        lo = max(lo, at)
-        at = max(at, hi)
-        tokens = [m.span() for m in _TOKEN.finditer(text, lo, hi)]
-        if len(tokens) <= MAX_TOKENS:
-            yield tokens
-        else:
-            for k in range(0, len(tokens), MAX_TOKENS // 2):
-                yield tokens[k : k + MAX_TOKENS]
-                if k + MAX_TOKENS >= len(tokens):
-                    break
+        yield [m.span() for m in _TOKEN.finditer(text, max(lo, at), hi)]
+        at = hi
 
 
-@lru_cache(65536)
 def shape(token: str) -> str:
     """Case pattern or digit count of a token; punctuation stands for itself."""
-    if token.isdigit():
+    return _shape(token if len(token) <= 24 else token[:24] + token[-1] if token.isdecimal() else _brief(token))
+
+
+def _brief(token: str) -> str:
+    """A short token of the same shape."""
+    return "aaaa" if token.islower() else "AAAA" if token.isupper() else "Aaaa" if token.istitle() else "aAaa" if token[0].isalpha() else token[0]
+
+
+@lru_cache(65536)
+def _shape(token: str) -> str:
+    if token.isdecimal():
         return f"d{min(len(token), 20)}" + ("<256" if len(token) <= 3 and int(token) < 256 else "")
     if not token[0].isalpha():
         return token
@@ -116,17 +134,21 @@ def shape(token: str) -> str:
 _CUES = frozenset("at dot com org net de fr es edu io email mail tel phone call fax card visa ip host version".split())
 
 
-def features(text: str, tokens: list[tuple[int, int]]) -> list[list[str]]:
-    words = [text[a:b] for a, b in tokens]
-    shapes = ["<<", "<", *map(shape, words), ">", ">>"]
-    cues = ["", "", *(w.lower() if w.lower() in _CUES else "" for w in words), "", ""]
-    glued = [k > 0 and tokens[k - 1][1] == tokens[k][0] for k in range(len(tokens))] + [False]
+def features(text: str, tokens: list[tuple[int, int]], begin: int = 0, end: int | None = None) -> list[list[str]]:
+    """Features of the chain's tokens from ``begin`` to ``end``."""
+    end = len(tokens) if end is None else min(end, len(tokens))
+    low, high = max(0, begin - 2), min(len(tokens), end + 2)
+    words = [text[a:b] if b - a < 4096 else text[a : a + 4095] + text[b - 1] for a, b in tokens[low:high]]
+    edge = lambda marks, n: marks[len(marks) - n :] if n else []
+    shapes = [*edge(["<<", "<"], 2 - (begin - low)), *map(shape, words), *[">", ">>"][: 2 - (high - end)]]
+    cues = [*edge(["", ""], 2 - (begin - low)), *(w.lower() if len(w) < 10 and w.lower() in _CUES else "" for w in words), "", ""]
+    glued = [k > 0 and tokens[k - 1][1] == tokens[k][0] for k in range(begin, end)] + [end < len(tokens) and tokens[end - 1][1] == tokens[end][0]]
     return [
         [
             "0" + shapes[k + 2], "-" + shapes[k + 1], "+" + shapes[k + 3], "=" + shapes[k] + " " + shapes[k + 1], "#" + shapes[k + 3] + " " + shapes[k + 4],
             "b" + shapes[k + 1] + " " + shapes[k + 2], "f" + shapes[k + 2] + " " + shapes[k + 3], f"g{glued[k]}{glued[k + 1]}", "c" + cues[k + 2], "p" + cues[k + 1], "n" + cues[k + 3], f"s{glued[k]}{shapes[k + 2]}",
         ]
-        for k in range(len(tokens))
+        for k in range(end - begin)
     ]
 
 
@@ -227,12 +249,22 @@ class Crf:
             out[k, : len(chain)] = [[get(f, none) for f in token] for token in chain]
         return out, lengths
 
-    def viterbi(self, chains: list[list[list[str]]]) -> list[np.ndarray]:
-        """Best state sequence of every chain, all chains of the batch at once."""
-        idx, lengths = self.index(chains)
-        scores = self.emit[idx].sum(axis=2)
+    def emissions(self, text: str, tokens: list[tuple[int, int]]) -> np.ndarray:
+        """Score of every state at every token of a chain, worked out piece by piece."""
+        out = []
+        for at in range(0, len(tokens), PIECE):
+            idx, _ = self.index([features(text, tokens, at, at + PIECE)])
+            out.append(self.emit[idx[0]].sum(axis=1))
+        return np.concatenate(out)
+
+    def viterbi(self, chains: list[np.ndarray]) -> list[np.ndarray]:
+        """Best state sequence of every chain of state scores, all chains of the batch at once."""
+        lengths = np.array([len(c) for c in chains])
         trans = self.trans + self.banned
-        n, t, s = scores.shape
+        n, t, s = len(chains), int(lengths.max()), len(STATES)
+        scores = np.zeros((n, t, s))
+        for k, chain in enumerate(chains):
+            scores[k, : len(chain)] = chain
         best = scores[:, 0] + self.first
         back = np.zeros((n, t, s), np.int8)
         for k in range(1, t):
@@ -334,6 +366,37 @@ def _plausible(kind: int, text: str) -> bool:
     return 10 <= digits <= 15
 
 
+class _Taken:
+    """Character ranges, asked whether a span meets one."""
+
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        k = bisect_left(self.starts, b) - 1
+        return k >= 0 and self.ends[k] > a
+
+
+def _decoded(path: list[int], tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(kind, start, end) of the labelled runs of a chain."""
+    t = 0
+    while t < len(path):
+        kind, first = path[t] // 2, t
+        odd = path[t] % 2
+        t += 1
+        if odd:
+            while t < len(path) and path[t] == 2 + 2 * kind:
+                t += 1
+            yield kind, tokens[first][0], tokens[t - 1][1]
+
+
 def find(texts: list[str | None], crf: Crf) -> list[tuple[list, list]]:
     """(base spans, spans the field adds) per text; added spans overlap no kept one and no match of their own kind that the checks dropped."""
     out: list[tuple[list, list]] = []
@@ -343,28 +406,23 @@ def find(texts: list[str | None], crf: Crf) -> list[tuple[list, list]]:
         kept, dropped = base_spans(text)
         out.append((kept, []))
         if "@" in text or has_digit(text) or _SPELLED.search(text):
-            taken = [[(a, b) for j, a, b in (*kept, *(d for d in dropped if d[0] == kind))] for kind in range(len(KINDS))]
+            taken = [_Taken([(a, b) for j, a, b in (*kept, *(d for d in dropped if d[0] == kind))]) for kind in range(len(KINDS))]
             for tokens in neighbourhoods(text):
                 if tokens:
-                    chains.append(features(text, tokens))
+                    chains.append(crf.emissions(text, tokens))
                     owner.append((k, tokens, taken))
     order = sorted(range(len(chains)), key=lambda c: len(chains[c]))
-    for at in range(0, len(order), 512):
-        part = order[at : at + 512]
+    at = 0
+    while at < len(order):
+        stop = at + 1
+        while stop < len(order) and (stop + 1 - at) * len(chains[order[stop]]) <= PADDED:
+            stop += 1
+        part = order[at:stop]
+        at = stop
         for c, path in zip(part, crf.viterbi([chains[c] for c in part]), strict=True):
             k, tokens, taken = owner[c]
-            text = texts[k] or ""
-            t = 0
-            while t < len(path):
-                if path[t] % 2 == 0:
-                    t += 1
-                    continue
-                kind, first = int(path[t]) // 2, t
-                t += 1
-                while t < len(path) and path[t] == 2 + 2 * kind:
-                    t += 1
-                a, b = tokens[first][0], tokens[t - 1][1]
-                if _plausible(kind, text[a:b]) and all(b <= x or a >= y for x, y in taken[kind]) and all(b <= x or a >= y for _, x, y in out[k][1]):
+            for kind, a, b in _decoded(path.tolist(), tokens):
+                if not taken[kind].meets(a, b) and _plausible(kind, (texts[k] or "")[a:b]):
                     out[k][1].append((kind, a, b))
     return out
 
@@ -377,7 +435,8 @@ def personal_data(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, base, added)``, one row per input row, no shuffle.
 
     Offsets are code points, ends exclusive; kinds index :data:`KINDS`; spans are sorted by kind and
-    start.  Null and empty texts have none.  Repeated rows each get a row.
+    start.  Null and empty texts have none.  Repeated rows each get a row; ids are not looked at; extra
+    columns are ignored; an empty table gives an empty result.
     """
     crf = crf or trained()
 
@@ -405,7 +464,10 @@ def redact(text: str | None, crf: Crf) -> str | None:
 
 
 def redacted(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
-    """All columns of ``docs`` as they are, ``text`` redacted and ``n_chars`` (if there) counted anew."""
+    """All columns of ``docs`` as they are, ``text`` redacted and ``n_chars`` (if there) counted anew.
+
+    One row per input row, repeated rows too; null texts stay null, empty ones empty; an empty table stays empty.
+    """
     crf = crf or trained()
     names = docs.columns
     at = names.index("text")
@@ -427,7 +489,8 @@ def _joined(spans) -> F.Column:
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(read(spark, sf_dir, "documents"))
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(KINDS)]
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    count = [of(k).alias(f"n_{n}") for k, n in enumerate(KINDS)]
     return found.select("doc_id", *count, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
 
