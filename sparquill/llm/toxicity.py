@@ -40,7 +40,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 #: Terms with dense lists.
 DENSE = 1024
 #: Documents scored together, and characters of a text whose words are held at once.
-BATCH, PIECE = 256, 1 << 20
+BATCH, PIECE = 64, 1 << 20
 #: Examples that are scored for the calibration at most, and the parts they are dealt into.
 CALIBRATED, PARTS = 1_500, 3
 #: Chi-square that chance explains, and the relevance of terms below it.
@@ -86,6 +86,9 @@ class Bags:
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, count) of every term of every text, in order of text and term; long texts go piece by piece."""
+        if len(texts) > 4 * BATCH:
+            parts = [self(texts[at : at + 4 * BATCH]) for at in range(0, len(texts), 4 * BATCH)]
+            return np.concatenate([p[0] + k * 4 * BATCH for k, p in enumerate(parts)]), *(np.concatenate([p[c] for p in parts]) for c in (1, 2))
         if all(len(t or "") <= PIECE for t in texts):
             return self._count(texts)
         found = []
