@@ -64,11 +64,12 @@ def terms_of(word: bytes) -> list[int]:
 
 def _summed(text: np.ndarray, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of equal (text, term) added up, in order of both."""
-    key = text * TERMS + term
+    key = text.astype(np.int64) * TERMS + term
     order = np.argsort(key, kind="stable")
     key = key[order]
     heads = np.flatnonzero(np.diff(key, prepend=-1))
-    return *np.divmod(key[heads], TERMS), np.add.reduceat(count[order], heads) if len(heads) else np.empty(0, np.int64)
+    total = np.add.reduceat(count[order], heads) if len(heads) else np.empty(0, np.int64)
+    return (key[heads] // TERMS).astype(np.int32), (key[heads] % TERMS).astype(np.int32), total.astype(np.int32)
 
 
 class Bags:
@@ -88,14 +89,14 @@ class Bags:
         """(text, term, count) of every term of every text, in order of text and term; long texts go piece by piece."""
         if len(texts) > 4 * BATCH:
             parts = [self(texts[at : at + 4 * BATCH]) for at in range(0, len(texts), 4 * BATCH)]
-            return np.concatenate([p[0] + k * 4 * BATCH for k, p in enumerate(parts)]), *(np.concatenate([p[c] for p in parts]) for c in (1, 2))
+            return np.concatenate([p[0] + np.int32(k * 4 * BATCH) for k, p in enumerate(parts)]), *(np.concatenate([p[c] for p in parts]) for c in (1, 2))
         if all(len(t or "") <= PIECE for t in texts):
             return self._count(texts)
         found = []
         for k, text in enumerate(texts):
             for piece in cuts(text or "", PIECE):
                 own = self._count([piece])
-                found.append((own[0] + k, *own[1:]))
+                found.append((own[0] + np.int32(k), *own[1:]))
         return _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     def _count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +161,7 @@ class BlockMaxIndex:
         often = np.lexsort((term, many[term], text))
         common[text[often[last]]] = term[often[last]]
         order = np.lexsort((ids, lead, common))
-        place = np.empty(n, np.int64)
+        place = np.empty(n, np.int32)
         place[order] = np.arange(n)
         self.weight, self.ids, self.labels, self.n = weight, ids[order], labels[order].astype(np.float64), n
         self.n_blocks = -(-n // BLOCK)
@@ -280,7 +281,7 @@ class Scorer:
         """The bags of the texts ``at``, numbered from 0."""
         if not len(at):
             return tuple(b[:0] for b in bag)
-        new = np.full(max(int(at.max()), int(bag[0].max(initial=0))) + 1, -1)
+        new = np.full(max(int(at.max()), int(bag[0].max(initial=0))) + 1, -1, np.int32)
         new[at] = np.arange(len(at))
         own = new[bag[0]] >= 0
         return new[bag[0][own]], bag[1][own], bag[2][own]
