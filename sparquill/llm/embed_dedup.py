@@ -23,14 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.llm._runtime import read, write_table
-from sparquill.llm.components import connected_components
+from sparquill.llm.components import connected_components, joined_with_least
 
 THRESHOLD = 0.95
 TREES = 4
 MARGIN = 0.03
-LEAF = 1024
+LEAF = 256
 BLOCK = 4096
-SAMPLE = 16_384
+#: Vectors that the forest is fitted on at most, and their bytes.
+SAMPLE, SAMPLE_BYTES = 16_384, 32 << 20
 SEED = 7
 
 
@@ -78,6 +79,7 @@ class Forest:
 
 def _unit(raw: list[bytes], kind: str) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of the components can neither over- nor underflow
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -93,8 +95,7 @@ def _packed(kind: str):
                     out.append(None)
                     continue
                 x = x.to_numpy(zero_copy_only=False).astype(kind) + np.array(0, kind)  # -0.0 becomes 0.0
-                norm = np.linalg.norm(x.astype(np.float64))
-                out.append(x.tobytes() if np.isfinite(x).all() and norm > 0 and np.isfinite(norm) else None)
+                out.append(x.tobytes() if np.isfinite(x).all() and x.any() else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["vec_id", "v"])
 
     return scan
@@ -213,7 +214,7 @@ def near_duplicates(
     found = None
     for r in classes.groupBy(F.length("v").alias("size")).count().orderBy("size").collect():
         part = classes.where(F.length("v") == r["size"]).select("cid", "m", "v")
-        chosen = part.orderBy(F.xxhash64("v"), "cid").limit(sample).select("v").collect()
+        chosen = part.orderBy(F.xxhash64("v"), "cid").limit(max(1, min(sample, SAMPLE_BYTES // r["size"]))).select("v").collect()
         forest = Forest(_unit([c[0] for c in chosen], kind), r["count"], trees, margin, leaf)
         large = part.mapInArrow(_assigned(forest, kind, False), "tree int, leaf long").groupBy("tree", "leaf").count().where(F.col("count") > block)
         assigned = part.mapInArrow(_assigned(forest, kind, True), "tree int, leaf long, cid long, m long, v binary").join(large, ["tree", "leaf"], "left")
@@ -232,8 +233,7 @@ def near_duplicates(
     counts = found.where("n IS NOT NULL").groupBy("cid").agg(F.sum("n").alias("n"))
     labels = connected_components(found.where("other IS NOT NULL").select(F.col("cid").alias("a"), F.col("other").alias("b")))
     named = classes.join(counts, "cid", "left").join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    per_class = named.join(least, "component").select("v", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
+    per_class = joined_with_least(write_table(named, "named"), "component", "rep", "component_id").select("v", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
     return rows.join(per_class, "v", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -63,8 +63,10 @@ class Ordinal:
         return self.first + np.concatenate(([0.0], np.cumsum(np.exp(self.gaps))))
 
     def raw(self, cols: np.ndarray, ends: np.ndarray, scale: np.ndarray, dense: np.ndarray) -> np.ndarray:
-        cum = np.concatenate(([0.0], np.cumsum(self.w[cols])))
-        return (cum[ends[1:]] - cum[ends[:-1]]) * scale + dense @ self.d
+        sums, some = np.zeros(len(scale)), np.flatnonzero(ends[1:] > ends[:-1])
+        if len(some):  # row by row, so that a score does not depend on the rows beside it
+            sums[some] = np.add.reduceat(self.w[cols], ends[some])
+        return sums * scale + (dense * self.d).sum(axis=1)
 
     def tails(self, raw: np.ndarray) -> np.ndarray:
         """P(grade > k) for each threshold, columns descending."""

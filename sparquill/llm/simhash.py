@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.llm._runtime import read, sliced, text_columns, write_table
-from sparquill.llm.components import connected_components
+from sparquill.llm.components import connected_components, joined_with_least
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -267,8 +267,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     labelled = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("component")
     )
-    least = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = labelled.join(least, "component").select("fp", "component_id")
+    named = joined_with_least(write_table(labelled, "labelled"), "component", "rep", "component_id").select("fp", "component_id")
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
