@@ -1,30 +1,39 @@
-"""Benchmark decontamination over a document-partitioned positional inverted index.
-
-Every task indexes its own block of documents: for each test term the sorted positions at which
-the block's token stream has it.  A test window (8 consecutive words) starts from the shortest
-of its terms' posting lists, shifts it by the term's offset and intersects it with the other
-lists, shortest first; what remains are exact occurrences.  The test side is small and goes to
-the tasks in chunks of checked size; a larger test side takes one pass over the documents per
-chunk.  The token stream of the corpus is never shuffled.
+"""Benchmark decontamination over a stored, document-partitioned positional inverted index.
+
+Documents are indexed in blocks of about :data:`BLOCK_BYTES`: a block's row holds its terms, the sorted
+positions of each, and where its documents begin.  The index knows nothing of the test side, is written
+once to the shared folder, and serves any number of searches (:func:`build_index`).
+
+A test window (8 consecutive words) starts from the shortest of its terms' posting lists, shifts it by
+the term's offset and intersects it with the other lists, shortest first; what remains are exact
+occurrences.  Windows are taken in groups whose lists are bounded together, so memory does not grow with
+windows times positions.  The test side goes to the tasks in chunks of checked size; a larger test side
+takes one pass over the index per chunk, and only the occurrences of the passes are brought together.
+Neither texts nor postings are ever shuffled in a single pass; a block is at home in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import read, sliced, text_columns, write_table
+from sparquill.llm._runtime import cuts, read, sliced, text_columns, write_table
 
 WINDOW_WORDS = 8
 MIN_ITEMS = 2
+#: Bytes of text in a block (a longer text is a block of its own).
+BLOCK_BYTES = 4 << 20
 #: Bytes of test text in one chunk, the bound of what a pass sends to the tasks.
 CHUNK_BYTES = 16 << 20
+#: Positions that are intersected at once (one window's shortest list at least).
+EXPANDED = 1 << 20
 #: A-Z lowered; bytes outside [0-9a-z] and UTF-8's high bytes become separators.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -51,115 +60,236 @@ class Phrases:
         self.items = np.array([i for s in rows.values() for i in sorted(s)], np.int64)
 
 
-class Postings:
-    """Positions of each test term in a token stream (-1: no test term or a document's end)."""
-
-    def __init__(self, stream: np.ndarray, n_terms: int) -> None:
-        self.stream = stream
-        at = np.flatnonzero(stream >= 0)
-        terms = stream[at]
-        self.positions = at[np.argsort(terms, kind="stable")]
-        self.counts = np.bincount(terms, minlength=n_terms)
-        self.ends = np.concatenate(([0], np.cumsum(self.counts)))
+# --- the index ------------------------------------------------------------------------------
+_INDEX_DDL = "block long, doc_ids binary, n_words binary, terms binary, counts binary, positions binary, rows binary"
+
+
+def _posted(texts: list[str | None]) -> tuple[np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """(words per text, terms in a row, list lengths, positions of the lists in a row) of texts one after another."""
+    vocab: dict[bytes, int] = {}
+    parts, n_words = [], np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        for piece in cuts(text) if text else ():
+            own = words_of(piece)
+            for w in dict.fromkeys(own):
+                vocab.setdefault(w, len(vocab))
+            parts.append(np.fromiter(map(vocab.__getitem__, own), np.int32, len(own)))
+            n_words[k] += len(own)
+    stream = np.concatenate(parts) if parts else np.empty(0, np.int32)
+    return n_words, b" ".join(vocab), np.bincount(stream, minlength=len(vocab)), np.argsort(stream, kind="stable")
+
+
+def _index(keep_rows: bool) -> Callable:
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, block = zstandard.ZstdCompressor(1), TaskContext.get().partitionId() << 32
+        for batch in sliced(batches, "text", BLOCK_BYTES):
+            n_words, terms, counts, positions = _posted(batch.column(1).to_pylist())
+            steps = np.diff(positions, prepend=0)
+            heads = np.cumsum(counts) - counts
+            steps[heads[counts > 0]] = positions[heads[counts > 0]]  # every list starts anew
+            ids = batch.column(0)
+            known = pa.array([-1 if v is None else 1 for v in ids.to_pylist()], pa.int8()).to_numpy()
+            ids = ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + (known < 0).astype(np.uint8).tobytes()
+            rows = None
+            if keep_rows:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, pa.schema([("row", batch.schema.field("row").type)])) as out:
+                    out.write_batch(pa.RecordBatch.from_arrays([batch.column(2)], names=["row"]))
+                rows = packer.compress(sink.getvalue())
+            cols = [n_words.astype("<u4").tobytes(), packer.compress(terms), counts.astype("<u4").tobytes(), packer.compress(steps.astype("<u4").tobytes()), rows]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([ids], pa.binary()), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "doc_ids", "n_words", "terms", "counts", "positions", "rows"])
+            block += 1
+
+    return index
+
+
+def build_index(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
+    """The stored index of ``docs(doc_id, text)``: one row per block of documents, with the postings of all their terms.
+
+    Null texts have no words, null ids stay null, repeated rows are documents of their own; an empty table
+    gives an empty index.  ``keep_rows`` stores the documents' columns with the block, compressed.
+    """
+    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if keep_rows else []
+    at = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *row)
+    return write_table(at.mapInArrow(_index(keep_rows), _INDEX_DDL), "postings")
 
-    def _expand(self, rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = self.counts[terms]
-        ends = np.cumsum(n)
-        take = np.repeat(self.ends[terms] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        return np.repeat(rows, n), self.positions[take]
 
-    def _rarest(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Postings:
+    """A block's lists of the test terms."""
+
+    def __init__(self, n_words: np.ndarray, terms: list[bytes], counts: np.ndarray, positions: np.ndarray, vocab: dict[bytes, int]) -> None:
+        self.n_words = n_words
+        self.starts = np.cumsum(n_words) - n_words
+        self.span = int(n_words.sum()) + 1
+        pairs = [(k, v) for k, v in enumerate(map(vocab.get, terms)) if v is not None]
+        own = np.array(sorted(pairs, key=lambda p: p[1]), np.int64).reshape(-1, 2)
+        self.counts = np.zeros(len(vocab), np.int64)
+        self.counts[own[:, 1]] = counts[own[:, 0]]
+        self.ends = np.concatenate(([0], np.cumsum(self.counts)))
+        heads = np.cumsum(counts) - counts
+        size = counts[own[:, 0]]
+        stop = np.cumsum(size)
+        take = np.repeat(heads[own[:, 0]] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+        self.positions = positions[take]
+        self.keyed = np.repeat(np.arange(len(self.counts)), self.counts) * self.span + self.positions
+
+    @classmethod
+    def stored(cls, n_words: bytes, terms: bytes, counts: bytes, positions: bytes, vocab: dict[bytes, int]) -> Postings:
+        unpack = zstandard.ZstdDecompressor()
+        sizes = np.frombuffer(counts, "<u4").astype(np.int64)
+        at = np.cumsum(np.frombuffer(unpack.decompress(positions), "<u4").astype(np.int64))
+        if len(sizes):  # undo the steps list by list
+            heads = np.cumsum(sizes) - sizes
+            before = np.concatenate(([0], at))[heads]
+            at = at - np.repeat(before, sizes)
+        return cls(np.frombuffer(n_words, "<u4").astype(np.int64), unpack.decompress(terms).split(), sizes, at, vocab)
+
+    def documents(self, pos: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, pos, side="right") - 1
+
+    def _groups(self, windows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(window, position of its rarest term, its terms' places from the rarest on) in bounded groups; windows without all terms are left out."""
         counts = np.where(windows >= 0, self.counts[windows], np.iinfo(np.int64).max)
-        return np.argsort(counts, axis=1, kind="stable"), counts.min(axis=1, initial=np.iinfo(np.int64).max)
-
-    def phrases(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, start) of all exact occurrences."""
-        if not len(windows) or not len(self.positions):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        order, least = self._rarest(windows)
-        rows = np.flatnonzero(least > 0)
-        first = order[rows, 0]
-        found, pos = self._expand(rows, windows[rows, first])
-        pos = pos - order[found, 0]
-        ok = pos >= 0
-        found, pos = found[ok], pos[ok]
-        span = len(self.stream) + 1
-        keyed = np.repeat(np.arange(len(self.counts)), self.counts) * span + self.positions
-        for k in range(1, windows.shape[1]):
-            offset = order[found, k]
-            want = windows[found, offset]
-            keys = want * span + pos + offset
-            at = np.minimum(np.searchsorted(keyed, keys), len(keyed) - 1)
-            ok = (want < 0) | (pos + offset < span) & (keyed[at] == keys)
+        rows = np.flatnonzero(counts.min(axis=1, initial=np.iinfo(np.int64).max) > 0) if len(self.positions) else np.empty(0, np.int64)
+        order = np.argsort(counts[rows], axis=1, kind="stable")
+        n = counts[rows, order[:, 0]] if len(rows) else np.empty(0, np.int64)
+        total = np.cumsum(n)
+        at = 0
+        while at < len(rows):
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + EXPANDED, side="right")))
+            own, size = rows[at:stop], n[at:stop]
+            ends = np.cumsum(size)
+            take = np.repeat(self.ends[windows[own, order[at:stop, 0]]] - (ends - size), size) + np.arange(ends[-1])
+            yield np.repeat(own, size), self.positions[take], np.repeat(order[at:stop], size, axis=0).astype(np.int8)
+            at = stop
+
+    def phrases(self, windows: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, start) of all exact occurrences, group by group."""
+        for found, pos, order in self._groups(windows):
+            pos = pos - order[:, 0]
+            ok = pos >= 0
+            for k in range(1, windows.shape[1]):
+                found, pos, order = found[ok], pos[ok], order[ok]
+                want = windows[found, order[:, k]]
+                keys = want * self.span + pos + order[:, k]
+                at = np.minimum(np.searchsorted(self.keyed, keys), len(self.keyed) - 1)
+                ok = (want < 0) | (pos + order[:, k] < self.span) & (self.keyed[at] == keys)
             found, pos = found[ok], pos[ok]
-        return found, pos
-
-    def near(self, windows: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, position of its rarest term) where every term occurs within ``reach`` words of it."""
-        if not len(windows) or not len(self.positions):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        order, least = self._rarest(windows)
-        rows = np.flatnonzero(least > 0)
-        found, pos = self._expand(rows, windows[rows, order[rows, 0]])
-        span = len(self.stream) + 1
-        keyed = np.repeat(np.arange(len(self.counts)), self.counts) * span + self.positions
-        for k in range(1, windows.shape[1]):
-            want = windows[found, order[found, k]]
-            low = np.searchsorted(keyed, want * span + np.maximum(pos - reach, 0))
-            high = np.searchsorted(keyed, want * span + np.minimum(pos + reach, span - 1), side="right")
-            ok = (want < 0) | (low < high)
-            found, pos = found[ok], pos[ok]
-        return found, pos
+            doc = self.documents(pos)
+            ok = pos + sizes[found] <= self.starts[doc] + self.n_words[doc]
+            yield found[ok], pos[ok]
+
+    def near(self, windows: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, position of its rarest term) where every term occurs within ``reach`` words of it in the document."""
+        for found, pos, order in self._groups(windows):
+            doc = self.documents(pos)
+            low = np.maximum(pos - reach, self.starts[doc])
+            high = np.minimum(pos + reach, self.starts[doc] + self.n_words[doc] - 1)
+            ok = np.ones(len(pos), bool)
+            for k in range(1, windows.shape[1]):
+                found, pos, order, low, high = found[ok], pos[ok], order[ok], low[ok], high[ok]
+                want = windows[found, order[:, k]]
+                a = np.searchsorted(self.keyed, want * self.span + low)
+                b = np.searchsorted(self.keyed, want * self.span + high, side="right")
+                ok = (want < 0) | (a < b)
+            yield found[ok], pos[ok]
+
+
+def _items_at(phrases: Phrases, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``window``, item) of every item of every window."""
+    n = phrases.item_ends[window + 1] - phrases.item_ends[window]
+    ends = np.cumsum(n)
+    take = np.repeat(phrases.item_ends[window] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+    return np.repeat(np.arange(len(window)), n), phrases.items[take]
+
+
+def _occurring(index: Postings, phrases: Phrases) -> tuple[np.ndarray, list[list[int]]]:
+    """Hit words of the block, and per document the items with an occurring window."""
+    delta = np.zeros(index.span, np.int64)
+    items: list[list[int]] = [[] for _ in index.n_words]
+    pairs = [np.empty((2, 0), np.int64)]
+    for window, pos in index.phrases(phrases.windows, phrases.sizes):
+        np.add.at(delta, pos, 1)
+        np.subtract.at(delta, pos + phrases.sizes[window], 1)
+        # Windows are asked once a document and group, however often they occur in it.
+        asked = np.unique(index.documents(pos) * len(phrases.windows) + window)
+        place, item = _items_at(phrases, asked % len(phrases.windows))
+        pairs.append(np.unique(np.stack((asked[place] // len(phrases.windows), item)), axis=1))
+    for d, i in zip(*np.unique(np.concatenate(pairs, axis=1), axis=1).tolist(), strict=True):
+        items[d].append(i)
+    return np.cumsum(delta[:-1]) > 0, items
+
+
+# --- searches -------------------------------------------------------------------------------
+_POSTINGS = ("block", "n_words", "terms", "counts", "positions")
+_FOUND_DDL = "block long, doc int, hits binary, items array<long>"
+
+
+def _positions_of(hit: np.ndarray, index: Postings) -> list[bytes]:
+    """Hit word positions of each document, little-endian uint32."""
+    return [np.flatnonzero(hit[s : s + w]).astype("<u4").tobytes() for s, w in zip(index.starts.tolist(), index.n_words.tolist(), strict=True)]
+
+
+def _rows(batch: pa.RecordBatch, k: int, hits: list[bytes], items: list[list[int]], keep_rows: bool) -> pa.RecordBatch:
+    """Result rows of a block's documents."""
+    named = batch.schema.get_field_index
+    raw = batch.column(named("doc_ids"))[k].as_py()
+    n = len(raw) // 9
+    ids = pa.array(np.frombuffer(raw, "<i8", n), mask=np.frombuffer(raw, np.uint8, n, 8 * n) > 0)
+    words = np.frombuffer(batch.column(named("n_words"))[k].as_py(), "<u4").astype(np.int64)
+    cols = [ids, pa.array(words), pa.array([len(h) // 4 for h in hits], pa.int64()), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.int64()))]
+    row = []
+    if keep_rows:
+        row = [pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(batch.column(named("rows"))[k].as_py())).read_next_batch().column(0)]
+    return pa.RecordBatch.from_arrays([*cols, *row], names=["doc_id", "n_words", "n_hit", "hits", "items", *["row"] * len(row)])
+
+
+def _block(batch: pa.RecordBatch, k: int, vocab: dict[bytes, int]) -> Postings:
+    return Postings.stored(*(batch.column(batch.schema.get_field_index(c))[k].as_py() for c in _POSTINGS[1:]), vocab)
+
+
+def _search(phrases: Phrases, keep_rows: bool) -> Callable:
+    """One pass that settles the result: the test side is one chunk."""
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                index = _block(batch, k, phrases.vocab)
+                hit, items = _occurring(index, phrases)
+                yield _rows(batch, k, _positions_of(hit, index), items, keep_rows)
+
+    return scan
 
-def _stream(texts: list[str | None], vocab: dict[bytes, int], gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token stream with ``gap`` blanks after each document, document starts in it, and word counts."""
-    parts, n_words = [], np.zeros(len(texts), np.int64)
-    blank = np.full(gap, -1, np.int64)
-    for k, text in enumerate(texts):
-        own = words_of(text)
-        n_words[k] = len(own)
-        parts += [np.fromiter(map(vocab.get, own, repeat(-1)), np.int64, len(own)), blank]
-    starts = np.concatenate(([0], np.cumsum(n_words + gap)))[:-1]
-    return np.concatenate(parts) if parts else np.empty(0, np.int64), starts, n_words
 
+def _search_part(phrases: Phrases) -> Callable:
+    """Occurrences of one chunk's windows: a row per document that has any."""
 
-_DDL = "doc_id long, text string, n_words long, n_hit long, hits binary, items array<long>"
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                index = _block(batch, k, phrases.vocab)
+                hit, items = _occurring(index, phrases)
+                some = [d for d, own in enumerate(items) if own]
+                hits = _positions_of(hit, index) if some else []
+                block = batch.column(0)[k].as_py()
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([hits[d] for d in some], pa.binary()), pa.array([items[d] for d in some], pa.list_(pa.int64()))], names=["block", "doc", "hits", "items"])
+
+    return scan
 
 
-def _scan(phrases: Phrases, last: bool, keep_row: bool = False) -> Callable:
-    """hits: sorted word positions of earlier passes and this one, little-endian uint32; ``keep_row`` passes ``row`` and the text on."""
+def _united(keep_rows: bool) -> Callable:
+    """Blocks with the occurrences of all passes (column ``found``) to result rows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
-            texts = batch.column(1).to_pylist()
-            stream, starts, n_words = _stream(texts, phrases.vocab, 1)
-            index = Postings(stream, len(phrases.vocab))
-            window, pos = index.phrases(phrases.windows)
-            delta = np.zeros(len(stream) + 1, np.int64)
-            np.add.at(delta, pos, 1)
-            np.subtract.at(delta, pos + phrases.sizes[window], 1)
-            hit = np.cumsum(delta[:-1]) > 0
-            doc = np.searchsorted(starts, pos, side="right") - 1
-            n = phrases.item_ends[window + 1] - phrases.item_ends[window]
-            ends = np.cumsum(n)
-            item = phrases.items[np.repeat(phrases.item_ends[window] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-            pairs = np.unique(np.stack((np.repeat(doc, n), item)), axis=1)
-            items: list[list[int]] = [[] for _ in texts]
-            for d, i in zip(*pairs.tolist(), strict=True):
-                items[d].append(i)
-            if "hits" in batch.schema.names:
-                for k, (old, more) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                    hit[starts[k] + np.frombuffer(old, "<u4").astype(np.int64)] = True
-                    items[k] = sorted({*items[k], *more})
-            cum = np.concatenate(([0], np.cumsum(hit)))
-            n_hit = cum[starts + n_words] - cum[starts]
-            hits = [np.flatnonzero(hit[s : s + w]).astype("<u4").tobytes() if h else b"" for s, w, h in zip(starts.tolist(), n_words.tolist(), n_hit.tolist(), strict=True)]
-            row = [batch.column(batch.num_columns - 1)] if keep_row else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.nulls(len(texts), pa.string()) if last and not keep_row else batch.column(1), pa.array(n_words), pa.array(n_hit), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.int64())), *row],
-                names=["doc_id", "text", "n_words", "n_hit", "hits", "items", *["row"] * len(row)],
-            )
+        for batch in batches:
+            for k in range(batch.num_rows):
+                n = len(batch.column(batch.schema.get_field_index("n_words"))[k].as_py()) // 4
+                hits: list[set[int]] = [set() for _ in range(n)]
+                items: list[set[int]] = [set() for _ in range(n)]
+                for f in batch.column(batch.schema.get_field_index("found"))[k].as_py() or ():
+                    hits[f["doc"]].update(np.frombuffer(f["hits"], "<u4").tolist())
+                    items[f["doc"]].update(f["items"])
+                yield _rows(batch, k, [np.array(sorted(h), "<u4").tobytes() for h in hits], [sorted(i) for i in items], keep_rows)
 
     return scan
 
@@ -173,28 +303,35 @@ def _chunks(benchmark: DataFrame, chunk_bytes: int) -> Iterator[list[tuple[int,
         yield [(r[0], r[1]) for r in part.collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES, keep_row: bool = False) -> DataFrame:
-    """Exact matches of benchmark windows: ``(doc_id, n_words, n_hit, hits, items)``, a row per document row.
+def search(index: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES, row_type: str | None = None) -> DataFrame:
+    """Exact matches of benchmark windows in a stored index: ``(doc_id, n_words, n_hit, hits, items[, row])``, a row per document row.
 
     ``hits`` are the positions of hit words (little-endian uint32), ``items`` the ids of items with an
-    occurring window.  Null and empty texts have no words; benchmark rows with a null id or text have
-    no windows; an item of fewer words than a window is one window.  Repeated rows each get a row, an
-    empty benchmark gives no hits, empty documents an empty result.  ``keep_row`` adds the document's
-    ``text`` and its other columns as the struct ``row``.
+    occurring window.  Benchmark rows with a null id or text have no windows; rows of one id are one item;
+    an item of fewer words than a window is one window; an empty benchmark gives no hits.
     """
-    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")] if keep_row else []
-    own = docs if keep_row else text_columns(docs, "doc_id", "text")
-    at = own.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *row)
-    ddl = _DDL + "".join(f", row {at.schema['row'].dataType.simpleString()}" for _ in row)
+    keep = row_type is not None
+    ddl = "doc_id long, n_words long, n_hit long, hits binary, items array<long>" + (f", row {row_type}" if keep else "")
+    columns = [*_POSTINGS, "doc_ids", *["rows"] * keep]
     chunks = _chunks(benchmark, chunk_bytes)
-    chunk = next(chunks)
-    while chunk is not None:
-        later = next(chunks, None)
-        at = at.mapInArrow(_scan(Phrases(chunk, window_words), later is None, keep_row), ddl)
-        if later is not None:
-            at = write_table(at.select("doc_id", "text", "hits", "items", *["row"] * keep_row), "contamination")
-        chunk = later
-    return at if keep_row else at.drop("text")
+    first, second = next(chunks), next(chunks, None)
+    if second is None:
+        return index.select(*columns).mapInArrow(_search(Phrases(first, window_words), keep), ddl)
+    parts = [index.select(*_POSTINGS).mapInArrow(_search_part(Phrases(c, window_words)), _FOUND_DDL) for c in (first, second, *chunks)]
+    found = reduce(DataFrame.unionAll, parts).groupBy("block").agg(F.collect_list(F.struct("doc", "hits", "items")).alias("found"))  # a block's documents are bounded
+    return index.select("block", "doc_ids", "n_words", *["rows"] * keep).join(found, "block", "left").mapInArrow(_united(keep), ddl)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES, keep_row: bool = False) -> DataFrame:
+    """:func:`search` over the index of ``docs``, a row per document row.
+
+    Null and empty texts have no words.  Repeated rows each get a row, empty documents an empty result.
+    ``keep_row`` adds all columns of the document as the struct ``row``.
+    """
+    kind = None
+    if keep_row:
+        kind = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).schema["row"].dataType.simpleString()
+    return search(build_index(docs, keep_row), benchmark, window_words, chunk_bytes, kind)
 
 
 def short_items(benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> list[int]:
@@ -206,50 +343,52 @@ def short_items(benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> list[
     return sorted(i for i, n in longest.items() if n < window_words)
 
 
-def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int = 12, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``(doc_id, item_id, position)``: places where all terms of an item's window lie within ``reach``
-    words of its rarest one.  A benchmark of several chunks takes one pass over the documents per chunk;
-    rows are distinct within a batch of documents, as in one pass."""
-    rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = [rows.mapInArrow(_near(Phrases(chunk, window_words), reach), "doc_id long, item_id long, position long") for chunk in _chunks(benchmark, chunk_bytes)]
-    return reduce(DataFrame.unionAll, found)
-
-
-def _near(phrases: Phrases, reach: int) -> Callable:
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
-            ids = batch.column(0).to_pylist()
-            stream, starts, _ = _stream(batch.column(1).to_pylist(), phrases.vocab, reach + 1)
-            window, pos = Postings(stream, len(phrases.vocab)).near(phrases.windows, reach)
-            doc = np.searchsorted(starts, pos, side="right") - 1
-            found = {
-                (ids[d], int(i), int(p - starts[d]))
-                for d, w, p in zip(doc.tolist(), window.tolist(), pos.tolist(), strict=True)
-                for i in phrases.items[phrases.item_ends[w] : phrases.item_ends[w + 1]]
-            }
-            cols = list(zip(*sorted(found, key=str), strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "position"])
-
-    return scan
-
-
-def postings_table(docs: DataFrame) -> DataFrame:
-    """The index as a table: ``(term, doc_id, positions)``, one row per term of a document row."""
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 1 << 20):
-            out: tuple[list, list, list] = ([], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own: dict[bytes, list[int]] = {}
-                for at, word in enumerate(words_of(text)):
-                    own.setdefault(word, []).append(at)
-                out[0].extend(w.decode("utf-8", "replace") for w in own)
-                out[1].extend([doc_id] * len(own))
-                out[2].extend(own.values())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int64()))], names=["term", "doc_id", "positions"])
-
-    rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(index, "term string, doc_id long, positions array<long>")
+def proximity_matches(index: DataFrame, benchmark: DataFrame, reach: int = 12, window_words: int = WINDOW_WORDS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``(doc_id, item_id, position)`` from a stored index: places where all terms of an item's window lie within
+    ``reach`` words of its rarest one (rarest in the block).  Rows are distinct within a document row."""
+
+    def scan(phrases: Phrases) -> Callable:
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    own = _block(batch, k, phrases.vocab)
+                    raw = batch.column(batch.schema.get_field_index("doc_ids"))[k].as_py()
+                    n = len(raw) // 9
+                    ids, null = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, np.uint8, n, 8 * n) > 0
+                    for window, pos in own.near(phrases.windows, reach):
+                        place, item = _items_at(phrases, window)
+                        rows = np.unique(np.stack((pos[place], item)), axis=1)
+                        doc = own.documents(rows[0])
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[doc], mask=null[doc]), pa.array(rows[1]), pa.array(rows[0] - own.starts[doc]), pa.array(np.full(rows.shape[1], batch.column(0)[k].as_py())), pa.array(doc)], names=["doc_id", "item_id", "position", "block", "doc"])
+
+        return near
+
+    ddl = "doc_id long, item_id long, position long, block long, doc long"
+    found = [index.select(*_POSTINGS, "doc_ids").mapInArrow(scan(Phrases(chunk, window_words)), ddl) for chunk in _chunks(benchmark, chunk_bytes)]
+    return reduce(DataFrame.unionAll, found).distinct().drop("block", "doc")
+
+
+def postings_table(index: DataFrame) -> DataFrame:
+    """The stored index unfolded: ``(term, doc_id, positions)``, one row per term of a document row."""
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                terms = zstandard.ZstdDecompressor().decompress(batch.column(batch.schema.get_field_index("terms"))[k].as_py()).split()
+                own = _block(batch, k, {t: i for i, t in enumerate(terms)})
+                raw = batch.column(batch.schema.get_field_index("doc_ids"))[k].as_py()
+                n = len(raw) // 9
+                ids, null = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, np.uint8, n, 8 * n) > 0
+                doc = own.documents(own.positions)
+                term = np.repeat(np.arange(len(terms)), own.counts)
+                heads = np.flatnonzero(np.diff(term * (n + 1) + doc, prepend=-1))
+                for at in range(0, len(heads), 50_000):
+                    part = heads[at : at + 50_000]
+                    last = heads[at + 50_000] if at + 50_000 < len(heads) else len(term)
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(part, last) - part[0], pa.int32()), pa.array((own.positions - own.starts[doc])[part[0] : last]))
+                    yield pa.RecordBatch.from_arrays([pa.array([terms[t].decode("utf-8", "replace") for t in term[part].tolist()], pa.string()), pa.array(ids[doc[part]], mask=null[doc[part]]), lists], names=["term", "doc_id", "positions"])
+
+    return index.select(*_POSTINGS, "doc_ids").mapInArrow(unfold, "term string, doc_id long, positions array<long>")
 
 
 def digest(found: DataFrame, min_items: int = MIN_ITEMS) -> DataFrame:

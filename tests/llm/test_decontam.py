@@ -66,5 +66,6 @@ def test_digest(spark):
 def test_proximity(spark):
     d = docs(spark, [(1, "alpha x beta y y gamma"), (2, "alpha beta"), (3, "alpha " + "z " * 30 + "beta gamma")])
     b = spark.createDataFrame([(9, "gamma alpha beta")], "item_id long, text string")
-    assert [(r.doc_id, r.item_id) for r in D.proximity_matches(d, b, reach=6).collect()] == [(1, 9)]
-    assert {(r.term, tuple(r.positions)) for r in D.postings_table(d).where("doc_id = 1").collect()} == {("alpha", (0,)), ("x", (1,)), ("beta", (2,)), ("y", (3, 4)), ("gamma", (5,))}
+    index = D.build_index(d)
+    assert [(r.doc_id, r.item_id) for r in D.proximity_matches(index, b, reach=6).collect()] == [(1, 9)]
+    assert {(r.term, tuple(r.positions)) for r in D.postings_table(index).where("doc_id = 1").collect()} == {("alpha", (0,)), ("x", (1,)), ("beta", (2,)), ("y", (3, 4)), ("gamma", (5,))}
