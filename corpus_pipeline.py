@@ -23,16 +23,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return selected(docs, train(docs, read(spark, sf_dir, "labels")))
 
 
+def _distinct(docs: DataFrame) -> DataFrame:
+    """One row per id and text: of the rows of repeated ids alone, which are few, the texts are moved."""
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = F.min(F.struct(*(F.col(f"`{c}`") for c in rest))) if rest else F.lit(None)
+    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(least.alias("least"))
+    one = one.select(*(F.col(c) if c in ("doc_id", "text") else F.col("least").getField(c).alias(c) for c in docs.columns))
+    return docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; rows equal in id and text are one.
+    """Of each group of near copies the document with the smallest id stays.
 
-    Documents with a null id stay: they cannot be named as copies.
+    Of rows that share the id that stays, all whose fingerprint links them to the group stay if their
+    texts differ; of rows equal in id and text one stays, the smallest by its other columns.
+    Documents with a null id stay: they cannot be named as copies.  Null and empty texts have
+    fingerprint zero and are copies of each other.
     """
     found = near_duplicates(docs).where("doc_id IS NOT NULL")
     stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
     gone = stays.where(~F.col("stays")).select("doc_id")
     named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    return _distinct(named).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +59,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = contamination(docs, benchmark, keep_row=True)
     short = F.array(*map(F.lit, short_items(benchmark))).cast("array<long>")
     leaked = (F.size("items") > 1) | (F.size(F.array_except("items", short)) > 0)
-    return found.where(~leaked).select(*("text" if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
+    return found.where(~leaked).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
