@@ -9,14 +9,18 @@ belong to the bucket of its anchor.
 1. Documents are written as compressed segments.  Every segment sends the hashes of its anchors,
    once each, to their buckets and learns which of them occur in another document.
 2. Super strings of those anchors go to the buckets, equal ones of a segment once, with the smallest
-   id.  Each bucket keeps a logarithmic family: a batch of new strings gets a sorted suffix array
-   (suffixes cut at ``width``), is merged into the level of its size, and equal-sized levels merge
-   upwards, keeping the smallest id of equal suffixes.  The batches are then merge-scanned against all
-   levels for the first document of each string.
+   id.  A bucket takes its strings in batches by ascending document.  Each batch gets a suffix array
+   (suffixes cut at ``width``, in the order of their bytes), is merge-scanned against the existing levels
+   for the first document of each string, and what it has anew becomes a level; levels of equal size
+   merge geometrically.  Strings are equal if their bytes are.
 3. Segments get back, per super string, its first document and which of its strings occur in a still
    smaller one, and cut the bytes out.
 
 A hot passage is one entry per segment in steps 1 and 2, whatever the number of its copies.
+
+:class:`SuffixFamily` keeps the same structure between batches of documents: every batch leaves a level
+(its segments and their anchors, as tables in the shared folder), a later batch is scanned against all
+levels without taking their texts apart again, and levels of equal size merge.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from sparquill.llm._runtime import drop_table, read, sliced, text_columns, write
 
 WIDTH = 50
 K = 20
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 4 << 20
 #: Anchors per bucket aimed at, and strings of one suffix array batch.
 BUCKET_ANCHORS = 1 << 18
 BATCH = 1 << 17
@@ -113,29 +117,34 @@ class Segment:
         return runs(self.bytes, self.ends, self.width)
 
 
-def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seg, packer = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(3)
-    ids: list[int] = []
-    texts: list[bytes] = []
-    held = 0
+def _segmented(since: int):
+    """Segments of documents, numbered from ``since`` on by task."""
 
-    def row() -> pa.RecordBatch:
-        blob = packer.compress(b"".join(texts))
-        lengths = np.array([len(t) for t in texts], "<i8")
-        cols = [pa.array([seg]), pa.array([int(lengths.sum())]), *(pa.array([x], pa.binary()) for x in (np.array(ids, "<i8").tobytes(), lengths.tobytes(), blob))]
-        return pa.RecordBatch.from_arrays(cols, names=["seg", "n_bytes", "ids", "lengths", "blob"])
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seg, packer = since + (TaskContext.get().partitionId() << 24), zstandard.ZstdCompressor(3)
+        ids: list[int] = []
+        texts: list[bytes] = []
+        held = 0
+
+        def row() -> pa.RecordBatch:
+            blob = packer.compress(b"".join(texts))
+            lengths = np.array([len(t) for t in texts], "<i8")
+            cols = [pa.array([seg]), pa.array([int(lengths.sum())]), *(pa.array([x], pa.binary()) for x in (np.array(ids, "<i8").tobytes(), lengths.tobytes(), blob))]
+            return pa.RecordBatch.from_arrays(cols, names=["seg", "n_bytes", "ids", "lengths", "blob"])
+
+        for batch in sliced(batches, "text", SEGMENT_BYTES):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = (text or "").encode("utf-8", "surrogatepass")
+                if ids and held + len(raw) > SEGMENT_BYTES:
+                    yield row()
+                    seg, ids, texts, held = seg + 1, [], [], 0
+                ids.append(_NULL_ID if doc_id is None else doc_id)
+                texts.append(raw)
+                held += len(raw)
+        if ids:
+            yield row()
 
-    for batch in sliced(batches, "text", SEGMENT_BYTES):
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            if ids and held + len(raw) > SEGMENT_BYTES:
-                yield row()
-                seg, ids, texts, held = seg + 1, [], [], 0
-            ids.append(_NULL_ID if doc_id is None else doc_id)
-            texts.append(raw)
-            held += len(raw)
-    if ids:
-        yield row()
+    return scan
 
 
 # --- step 1: anchors in several documents ----------------------------------------------------
@@ -179,7 +188,7 @@ def _announce(bits: int, width: int):
 
 
 def _shared(key: tuple, table: pa.Table) -> pa.Table:
-    """Flags of each segment's anchors in this bucket: whether another row holds them as well."""
+    """Flags of each segment's anchors in this bucket: whether a new row holds them, and another row as well."""
     segs, grams, several = (table.column(c).to_pylist() for c in ("seg", "grams", "several"))
     sizes = np.array([len(g) // 5 for g in grams])
     wide = np.zeros((int(sizes.sum()), 8), np.uint8)
@@ -190,6 +199,9 @@ def _shared(key: tuple, table: pa.Table) -> pa.Table:
     ordered = values[order]
     same = np.concatenate(([False], ordered[1:] == ordered[:-1], [False]))
     many[order] |= same[:-1] | same[1:]
+    fresh = np.repeat(table.column("fresh").to_numpy(zero_copy_only=False), sizes)[order]
+    group = np.cumsum(~same[:-1]) - 1
+    many[order] &= (np.bincount(group, fresh) > 0)[group] if len(group) else False
     bounds = np.concatenate(([0], np.cumsum(sizes))).tolist()
     rows = [(s, np.packbits(many[a:b]).tobytes()) for s, a, b in zip(segs, bounds, bounds[1:], strict=False) if many[a:b].any()]
     # Anchors that look alike in 40 bits within a segment are flagged too: they only cost work.
@@ -198,65 +210,67 @@ def _shared(key: tuple, table: pa.Table) -> pa.Table:
 
 # --- step 2: families of suffix arrays -------------------------------------------------------
 class LevelFamily:
-    """Sorted suffix arrays of geometrically growing sizes, each suffix with its smallest document.
-
-    Suffixes are ordered by their leading eight bytes and then by a 64-bit digest of all ``width``
-    bytes, so equal strings are neighbours.
-    """
+    """Suffix arrays of geometrically growing sizes: distinct strings in byte order, each with its smallest document."""
 
     def __init__(self, base: int = BATCH) -> None:
         self.base = base
-        self.levels: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-    @staticmethod
-    def suffix_array(lead: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((digest, lead))
-        lead, digest, doc = lead[order], digest[order], doc[order]
-        heads = np.flatnonzero(np.concatenate(([True], (lead[1:] != lead[:-1]) | (digest[1:] != digest[:-1]))))
-        return lead[heads], digest[heads], np.minimum.reduceat(doc, heads)
-
-    def insert(self, lead: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> None:
-        if not len(lead):
-            return
-        new = self.suffix_array(lead, digest, doc)
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def take(self, strings: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Smallest document so far of each string of a batch, the batch included; the batch joins the family."""
+        order = np.argsort(strings, kind="stable")
+        ordered = strings[order]
+        heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        own, least = ordered[heads], np.minimum.reduceat(doc[order], heads)
+        new = np.ones(len(own), bool)
+        for held, first in self.levels.values():  # both sides are in byte order
+            at = np.minimum(np.searchsorted(held, own), len(held) - 1)
+            hit = held[at] == own
+            least = np.where(hit, np.minimum(least, first[at]), least)
+            np.minimum.at(first, at[hit], least[hit])
+            new &= ~hit
+        out = np.empty(len(strings), np.int64)
+        out[order] = np.repeat(least, np.diff(np.append(heads, len(strings))))
+        if new.any():
+            self._insert(own[new], least[new])
+        return out
+
+    def _insert(self, own: np.ndarray, least: np.ndarray) -> None:
         while True:
-            size = max(0, (len(new[0]) - 1) // self.base).bit_length()
+            size = max(0, (len(own) - 1) // self.base).bit_length()
             if size not in self.levels:
-                self.levels[size] = new
+                self.levels[size] = own, least
                 return
-            old = self.levels.pop(size)
-            new = self.suffix_array(*(np.concatenate(x) for x in zip(old, new, strict=True)))
-
-    def first(self, lead: np.ndarray, digest: np.ndarray) -> np.ndarray:
-        """Smallest document of each string, by a merge scan of its sorted batch against every level."""
-        n = len(lead)
-        best = np.full(n, _NULL_ID)
-        for level in self.levels.values():
-            order = np.lexsort((np.concatenate((digest, level[1])), np.concatenate((lead, level[0]))))
-            from_level = order >= n
-            at = np.where(from_level, order - n, -1)
-            both_lead, both_digest = np.concatenate((lead, level[0]))[order], np.concatenate((digest, level[1]))[order]
-            heads = np.concatenate(([True], (both_lead[1:] != both_lead[:-1]) | (both_digest[1:] != both_digest[:-1])))
-            group = np.cumsum(heads) - 1
-            held = np.maximum.reduceat(at, np.flatnonzero(heads))[group]
-            ask = ~from_level & (held >= 0)
-            np.minimum.at(best, order[ask], level[2][held[ask]])
-        return best
-
-
-def _digests(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Leading eight bytes (big-endian) and digest of the ``width`` bytes from every byte on."""
-    n = len(raw) - width + 1
-    v = _words(raw, len(raw) - 7)
-    h = np.full(n, 0x2545F4914F6CDD1D, np.uint64)
-    for at in (*range(0, width - 8, 8), width - 8):
-        h = _mix(h, v[at : at + n], 0x9E3779B97F4A7C15)
-        h = h * np.uint64(0xD6E8FEB86659FD93) ^ (h >> np.uint64(32))
-    return v[:n].byteswap(), h
+            held, first = self.levels.pop(size)
+            own, least = np.concatenate((held, own)), np.concatenate((first, least))
+            order = np.argsort(own, kind="stable")  # two sorted runs without a common string: a merge
+            own, least = own[order], least[order]
+
 
+def _strings(raw: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` bytes from each place on, as strings that compare by their bytes."""
+    rows = np.lib.stride_tricks.as_strided(raw, (len(raw) - width + 1, width), (1, 1), writeable=False)
+    return np.ascontiguousarray(rows[at]).view(f"S{width}").ravel()
 
-def _offer(bits: int, width: int):
-    """Super strings of flagged anchors by bucket, and per segment where they occur (bucket null)."""
+
+def _alike(raw: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Group number of each stretch of bytes; equal stretches have equal numbers."""
+    most = int(length.max())
+    padded = np.concatenate((raw, np.zeros(most, np.uint8)))
+    rows = np.lib.stride_tricks.as_strided(padded, (len(raw) + 1, most), (1, 1), writeable=False)[begin]
+    rows[np.arange(most) >= length[:, None]] = 0
+    strings = np.ascontiguousarray(rows).view(f"S{most}").ravel()
+    order = np.argsort(length, kind="stable")
+    order = order[np.argsort(strings[order], kind="stable")]  # by bytes, then length: padding can't be taken for zeros
+    new = np.ones(len(order), bool)
+    new[1:] = (strings[order[1:]] != strings[order[:-1]]) | (length[order[1:]] != length[order[:-1]])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group
+
+
+def _offer(bits: int, width: int, since: int):
+    """Super strings of flagged anchors by bucket, and where they occur in each segment from ``since`` on (bucket below 0)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(3)
@@ -298,17 +312,18 @@ def _offer(bits: int, width: int):
                         lens = np.array([len(s) - width + 1 for s in strings[a:b]], np.uint8)
                         for col, v in zip(cols, (bucket, number, lens.tobytes(), packer.compress(b"".join(strings[a:b])), np.array(first[a:b], "<i8").tobytes()), strict=True):
                             col.append(v)
-                places = np.stack((start[keep], size[keep], ordinal)).astype("<u4").tobytes()
-                for col, v in zip(cols, (-1 - number, number, None, packer.compress(places), None), strict=True):
-                    col.append(v)
+                if number >= since:
+                    places = np.stack((start[keep], size[keep], ordinal)).astype("<u4").tobytes()
+                    for col, v in zip(cols, (-1 - number, number, None, packer.compress(places), None), strict=True):
+                        col.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["bucket", "seg", "sizes", "strings", "docs"])
 
     return scan
 
 
-def _resolve(width: int, base: int):
-    """First document of each super string, and the strings of it that a still smaller document has."""
+def _resolve(width: int, base: int, since: int):
+    """First document of each super string, and the strings of it that a still smaller document has; answers for segments from ``since`` on."""
     out = pa.schema([("seg", pa.int64()), ("bucket", pa.int64()), ("firsts", pa.binary()), ("masks", pa.binary())])
 
     def resolve(key: tuple, table: pa.Table) -> pa.Table:
@@ -319,39 +334,34 @@ def _resolve(width: int, base: int):
         unpack = zstandard.ZstdDecompressor()
         segs = table.column("seg").to_pylist()
         sizes = [np.frombuffer(s, np.uint8).astype(np.int64) for s in table.column("sizes").to_pylist()]
-        raw = [unpack.decompress(s) for s in table.column("strings").to_pylist()]
-        size = np.concatenate(sizes)
+        text = np.frombuffer(b"".join(unpack.decompress(s) for s in table.column("strings").to_pylist()), np.uint8)
         doc = np.frombuffer(b"".join(table.column("docs").to_pylist()), "<i8")
-        text = np.frombuffer(b"".join(raw), np.uint8)
-        begin = np.concatenate(([0], np.cumsum(size + width - 1)))[:-1]
-        of = np.repeat(np.arange(len(size)), size)
-        step = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-        lead, digest = np.empty(len(of), np.uint64), np.empty(len(of), np.uint64)
-        for a in range(0, len(size), 1 << 15):  # in slices, as digests are made for every byte
-            b = min(len(size), a + (1 << 15))
-            lo, hi = int(begin[a]), int(begin[b - 1] + size[b - 1] + width - 1)
-            own = slice(int(np.searchsorted(of, a)), int(np.searchsorted(of, b)))
-            l, d = _digests(text[lo:hi], width)
-            at = begin[of[own]] + step[own] - lo
-            lead[own], digest[own] = l[at], d[at]
-        # Sub-families by digest bound the sorted arrays, whatever the bucket's size.
+        table = None
+        size = np.concatenate(sizes)
+        begin = np.cumsum(size + width - 1) - (size + width - 1)
+        # Strings by ascending document: what a batch meets in the levels is from documents no larger.
+        rank = np.argsort(doc, kind="stable")
+        of = np.repeat(rank, size[rank])
+        step = np.arange(len(of)) - np.repeat(np.cumsum(size[rank]) - size[rank], size[rank])
+        # Sub-families by the strings' ends bound the sorted arrays, whatever the bucket's size.
         parts = max(1, -(-len(of) // (4 * base)))
-        part = ((digest >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
         first = np.empty(len(of), np.int64)
+        if parts > 1:
+            part = np.empty(len(of), np.uint16 if parts < 1 << 16 else np.uint32)
+            for a in range(0, len(of), base):
+                at = begin[of[a : a + base]] + step[a : a + base]
+                ends = np.zeros(len(at), np.uint64)
+                for k in (*range(4), *range(width - 4, width)):
+                    ends = (ends + text[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+                part[a : a + base] = (ends >> np.uint64(32)) % np.uint64(parts)
         for p in range(parts):
-            rows = np.flatnonzero(part == p)
+            rows = np.flatnonzero(part == p) if parts > 1 else np.arange(len(of))
             family = LevelFamily(base)
             for a in range(0, len(rows), base):
                 own = rows[a : a + base]
-                family.insert(lead[own], digest[own], doc[of[own]])
-            for a in range(0, len(rows), base):
-                own = rows[a : a + base]
-                first[own] = family.first(lead[own], digest[own])
+                first[own] = family.take(_strings(text, begin[of[own]] + step[own], width), doc[of[own]])
         # Equal super strings of different segments: the first document of all is that of the whole string.
-        whole = np.zeros(len(size), np.uint64)
-        np.add.at(whole, of, (digest * np.uint64(0x9E3779B97F4A7C15)) ^ (step.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
-        _, group = np.unique(np.stack((whole, size.astype(np.uint64), lead[np.cumsum(size) - size])), axis=1, return_inverse=True)
-        group = group.ravel()
+        group = _alike(text, begin, size + width - 1)
         least = np.full(int(group.max()) + 1, _NULL_ID)
         np.minimum.at(least, group, doc)
         start = least[group]
@@ -359,7 +369,7 @@ def _resolve(width: int, base: int):
         earlier = first < start[of]
         np.bitwise_or.at(mask, of[earlier], np.uint32(1) << step[earlier].astype(np.uint32))
         bounds = np.concatenate(([0], np.cumsum([len(s) for s in sizes]))).tolist()
-        rows = list(zip(segs, bounds, bounds[1:], strict=False))
+        rows = [r for r in zip(segs, bounds, bounds[1:], strict=False) if r[0] >= since]
         return pa.table([[r[0] for r in rows], [bucket] * len(rows), [start[a:b].astype("<i8").tobytes() for _, a, b in rows], [mask[a:b].astype("<u4").tobytes() for _, a, b in rows]], schema=out)
 
     return resolve
@@ -405,38 +415,98 @@ def _cut(width: int, keep_text: bool):
     return scan
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = False) -> DataFrame:
+class SuffixFamily:
+    """Levels that earlier batches of documents left: (segments, their anchors, bucket bits of those, bytes).
+
+    A level's tables lie in the shared folder.  Sizes of levels are powers of two of ``base`` bytes apart;
+    two of one size merge into one of the next, so there are logarithmically many.
+    """
+
+    def __init__(self, width: int = WIDTH, base: int = 64 << 20) -> None:
+        self.width, self.base = width, base
+        self.batches = 0
+        self.levels: dict[int, tuple[DataFrame, DataFrame, int, int]] = {}
+
+    @property
+    def n_bytes(self) -> int:
+        return sum(level[3] for level in self.levels.values())
+
+    def anchors(self, bits: int) -> list[DataFrame]:
+        """Anchors of every level by buckets of ``bits``; a level that has them by other buckets makes them anew."""
+        return [a if b == bits else s.select(*_SEGMENT).mapInArrow(_announce(bits, self.width), _ANCHORS) for s, a, b, _ in self.levels.values()]
+
+    def insert(self, segments: DataFrame, anchors: DataFrame, bits: int, n_bytes: int) -> None:
+        self.batches += 1
+        while True:
+            size = max(0, (n_bytes - 1) // self.base).bit_length()
+            if size not in self.levels:
+                self.levels[size] = segments, anchors, bits, n_bytes
+                return
+            old = self.levels.pop(size)
+            both = write_table(old[0].unionByName(segments), "segments")
+            near = old[1] if old[2] == bits else old[0].select(*_SEGMENT).mapInArrow(_announce(bits, self.width), _ANCHORS)
+            named = write_table(near.unionByName(anchors), "anchors")
+            for table in (old[0], segments, old[1], anchors):
+                drop_table(table)
+            segments, anchors, n_bytes = both, named, n_bytes + old[3]
+
+
+_SEGMENT = ("seg", "ids", "lengths", "blob")
+_ANCHORS = "bucket long, seg long, grams binary, several binary"
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = False, family: SuffixFamily | None = None) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, rest)``, one row per input row.
 
     Every byte covered by a ``width``-byte string that also starts in a document with a smaller id is
     removed; strings are judged on the input and never cross documents.  ``rest`` (with ``keep_text``)
     holds the remaining bytes, which may cut a character.  Null texts are empty.  Rows of one id lose
-    nothing to each other; rows with a null id count as larger than all ids.  ``width`` is 28 to 51.
+    nothing to each other; rows with a null id count as larger than all ids.  Extra columns are ignored; an
+    empty table gives an empty result.  ``width`` is 28 to 51.
+
+    With a ``family``, documents of its earlier batches count as well (their own results stay as they
+    were given), and this batch becomes a level of it.  Batches in order of their ids together give the
+    same rows as one batch of all.
     """
     if not K + 8 <= width <= K + 31:
         raise ValueError(f"width must lie in {K + 8}..{K + 31}")
+    if family is not None and family.width != width:
+        raise ValueError("the family holds strings of another width")
+    since = (family.batches if family else 0) << 48
     rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    segments = write_table(rows.mapInArrow(_segmented, "seg long, n_bytes long, ids binary, lengths binary, blob binary"), "segments")
-    total = segments.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first()["n"]
+    segments = write_table(rows.mapInArrow(_segmented(since), "seg long, n_bytes long, ids binary, lengths binary, blob binary"), "segments")
+    own = segments.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first()["n"]
+    total = own + (family.n_bytes if family else 0)
     bits = max(0, (total // 16 // BUCKET_ANCHORS).bit_length())
-    base = segments.select("seg", "ids", "lengths", "blob")
-    flags = write_table(
-        base.mapInArrow(_announce(bits, width), "bucket long, seg long, grams binary, several binary").groupBy("bucket").applyInArrow(_shared, "seg long, bucket long, flags binary"), "flags"
-    )
+    base = segments.select(*_SEGMENT)
+    anchors = base.mapInArrow(_announce(bits, width), _ANCHORS)
+    named, every = anchors.withColumn("fresh", F.lit(True)), base
+    if family is not None:
+        anchors = write_table(anchors, "anchors")
+        named = anchors.withColumn("fresh", F.lit(True))
+        for level in family.anchors(bits):
+            named = named.unionByName(level.withColumn("fresh", F.lit(False)))
+        for level in family.levels.values():
+            every = every.unionByName(level[0].select(*_SEGMENT))
+    flags = write_table(named.groupBy("bucket").applyInArrow(_shared, "seg long, bucket long, flags binary"), "flags")
     by_segment = flags.groupBy("seg").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags"))
     found = write_table(
-        base.join(by_segment, "seg")
-        .select("seg", "ids", "lengths", "blob", "flags")
-        .mapInArrow(_offer(bits, width), "bucket long, seg long, sizes binary, strings binary, docs binary")
+        every.join(by_segment, "seg")
+        .select(*_SEGMENT, "flags")
+        .mapInArrow(_offer(bits, width, since), "bucket long, seg long, sizes binary, strings binary, docs binary")
         .groupBy("bucket")
-        .applyInArrow(_resolve(width, BATCH), "seg long, bucket long, firsts binary, masks binary"),
+        .applyInArrow(_resolve(width, BATCH, since), "seg long, bucket long, firsts binary, masks binary"),
         "firsts",
     )
     drop_table(flags)
     answers = found.groupBy("seg").agg(F.collect_list(F.struct("bucket", "firsts", "masks")).alias("found"))
-    return base.join(answers, "seg", "left").select("seg", "ids", "lengths", "blob", "found").mapInArrow(
+    cut = base.join(answers, "seg", "left").select(*_SEGMENT, "found").mapInArrow(
         _cut(width, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, rest binary"
     )
+    if family is not None:  # the level may be merged and its tables deleted before the result is read
+        cut = write_table(cut, "cut")
+        family.insert(segments, anchors, bits, own)
+    return cut
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

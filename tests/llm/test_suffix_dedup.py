@@ -45,23 +45,71 @@ def table():
     return rows
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_against_brute_force(spark, parts, monkeypatch):
+def small(monkeypatch, on):
+    if on:
+        monkeypatch.setattr(S, "SEGMENT_BYTES", 700)
+        monkeypatch.setattr(S, "BUCKET_ANCHORS", 200)
+        monkeypatch.setattr(S, "BATCH", 64)
+
+
+@pytest.mark.parametrize(("parts", "forced"), [(1, False), (5, False), (5, True)])
+def test_against_brute_force(spark, parts, forced, monkeypatch):
+    """``forced``: many segments, buckets, batches and levels."""
+    small(monkeypatch, forced)
     rows = table()
     got = S.remove_repeats(docs(spark, rows).repartition(parts)).drop("rest").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
-def test_small_segments_and_batches(monkeypatch):
-    rows = np.sort(np.random.default_rng(1).integers(0, 50, 400).astype(np.uint64))
-    doc = np.random.default_rng(2).integers(0, 99, 400)
-    family = S.LevelFamily(base=16)
-    for a in range(0, 400, 16):
-        family.insert(rows[a : a + 16], rows[a : a + 16] * np.uint64(3), doc[a : a + 16])
-    assert max(len(x[0]) for x in family.levels.values()) <= 50
-    least = {v: doc[rows == v].min() for v in np.unique(rows)}
-    asked = np.array([3, 77, 3, 20], np.uint64)
-    assert family.first(asked, asked * np.uint64(3)).tolist() == [int(least.get(v, S._NULL_ID)) for v in asked]
+@pytest.mark.parametrize("forced", [False, True])
+def test_batches_of_a_family_equal_one_batch(spark, forced, monkeypatch):
+    small(monkeypatch, forced)
+    rows = table()
+    family = S.SuffixFamily(base=4000)
+    got = []
+    for a, b in ((0, 20), (20, 30), (30, 45), (45, 81), (81, 1 << 70)):
+        own = [r for r in rows if a <= (1 << 60 if r[0] is None else r[0]) < b]
+        got += S.remove_repeats(docs(spark, own), family=family).drop("rest").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    assert family.batches == 5 and 1 < len(family.levels) < 5 and family.n_bytes == sum(len((t or "").encode()) for _, t in rows)
+
+
+def test_later_batches_meet_all_levels(spark):
+    rows = [(k, "z" * k + " a passage of more than fifty bytes that is in all of the documents " + "y" * k) for k in (5, 3, 9, 7)]
+    family = S.SuffixFamily(base=1)
+    for k, row in enumerate(rows):  # ids in no order: a result stays as it was given
+        got = tuple(S.remove_repeats(docs(spark, [row]), family=family).drop("rest").first())
+        assert got in brute(rows[: k + 1])
+
+
+def test_levels_are_suffix_arrays():
+    r = np.random.default_rng(1)
+    raw = r.choice(np.frombuffer(b"ab\0", np.uint8), 3000)
+    at, doc = r.integers(0, 2900, 2000), np.sort(r.integers(0, 99, 2000))
+    family, least = S.LevelFamily(base=64), {}
+    for a in range(0, 2000, 64):
+        own = S._strings(raw, at[a : a + 64], 8)
+        for k, d in zip(at[a : a + 64], doc[a : a + 64], strict=True):
+            least.setdefault(raw[k : k + 8].tobytes(), d)
+        assert family.take(own, doc[a : a + 64]).tolist() == [least[raw[k : k + 8].tobytes()] for k in at[a : a + 64]]
+    assert len(family.levels) > 1 and sum(len(x) for x, _ in family.levels.values()) == len(least)
+    for held, _ in family.levels.values():
+        strings = [bytes(x).ljust(8, b"\0") for x in held.tolist()]
+        assert strings == sorted(set(strings))
+
+
+def test_alike_tells_padding_from_zeros():
+    raw = np.frombuffer(b"ab\0ab\0\0abab\0", np.uint8)
+    begin, length = np.array([0, 0, 3, 3, 7, 9]), np.array([2, 3, 3, 4, 2, 3])
+    assert [list(S._alike(raw, begin, length)).index(g) for g in S._alike(raw, begin, length)] == [0, 1, 1, 3, 0, 1]
+
+
+def test_long_texts(spark):
+    r = random.Random(5)
+    shared = "".join(r.choice("abcdefgh ") for _ in range(400_000))
+    rows = [(1, shared), (2, "x" + shared[1000:] + "y"), (3, "q" * 300_000), (4, "q" * 100)]
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans) for x in S.remove_repeats(docs(spark, rows)).collect()}
+    assert got == {1: (400_000, 0, 0), 2: (399_002, 399_000, 1), 3: (300_000, 0, 0), 4: (100, 100, 1)}
 
 
 def test_text_is_kept_on_demand(spark):
