@@ -4,9 +4,11 @@ Every task packs its own documents in one pass.  A document's full windows go ou
 rest is an item, placed into the fill level for which the sum over levels of (open windows at
 that level)^2 ends up smallest (an exact fit or the fuller level on ties).  The counts are a
 level array of the window's length, so a placement is one vectorised scan of it.  Open windows
-are bounded: beyond ``max_open`` they are run together and cut at window ends, which pads
-nothing.  What a task leaves over is less than one window; those tails are packed again by the
-same rule in groups of ``fan_in`` tasks, so about one window in every ``fan_in`` tasks is padded.
+are bounded in memory (:data:`MAX_OPEN`, 64 MB of ids): with that many open, an item first fills up
+and closes the fullest one, and what is left of it is placed by the rule, so there are never more.
+At the end of a task's documents its open windows are run together; less than one window is left,
+and those tails are packed again by the same rule in groups of ``fan_in`` tasks, so about one window
+in every ``fan_in`` tasks is padded.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from sparquill.llm.tokens import TOKENIZER, tokenizer
 
 WINDOW = 2048
 END_ID = 1
-MAX_OPEN = 512
+#: Open windows at most; sizes that pair up stay far below (see the README for figures).
+MAX_OPEN = 8192
 FAN_IN = 256
 _SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]
@@ -52,11 +55,23 @@ class SumOfSquares:
             self._place((doc_id, start + whole, ids[whole:], total), len(ids) - whole)
 
     def _place(self, piece: tuple, size: int) -> None:
-        n, room = self.levels, self.window - size
+        n = self.levels
+        if self.n_open >= self.max_open:
+            doc_id, start, ids, total = piece
+            gap = self.window - int(np.flatnonzero(n)[-1])  # of the fullest
+            if size > gap:
+                bin_ = self.open[self.window - gap].pop()
+                n[self.window - gap] -= 1
+                self.n_open -= 1
+                self.closed.append([*bin_, (doc_id, start, ids[:gap], total)])
+                piece, size = (doc_id, start + gap, ids[gap:], total), size - gap
+        room = self.window - size
         # Change of the sum of squares if a window moves from level h to h + size; level 0 opens one.
         cost = 2 * n[size : self.window + 1] + 1
         cost[room] = 0  # a full window is closed and counts no more
         cost[1:] += np.where(n[1 : room + 1] > 0, 1 - 2 * n[1 : room + 1], np.int64(1) << 60)
+        if self.n_open >= self.max_open:  # the fullest has room for it: no new one
+            cost[0] = np.int64(1) << 60
         h = room - int(np.argmin(cost[::-1]))
         if h:
             bin_ = self.open[h].pop()
@@ -71,9 +86,6 @@ class SumOfSquares:
         self.open[h + size].append(bin_)
         n[h + size] += 1
         self.n_open += 1
-        if self.n_open > self.max_open:
-            for p in self.run_together():
-                self._place(p, len(p[2]))
 
     def run_together(self) -> list[tuple]:
         """Empty the open windows, fullest first, into full ones; returns what is left, less than a window."""

@@ -80,10 +80,27 @@ def test_places_by_sum_of_squares():
     assert sum(len(x[2]) for x in left) == 9 and p.n_open == 0
 
 
-def test_open_windows_stay_bounded():
+@pytest.mark.parametrize("sizes", [[60], [60, 1, 99, 35, 70]])
+def test_open_windows_stay_bounded(sizes):
+    """Beyond the bound an item fills the fullest window and the rest of it goes by the rule."""
     p = packing.SumOfSquares(100, max_open=8)
     for k in range(200):
-        p.add(k, np.zeros(60, np.uint32))
-        assert p.n_open <= 9
+        p.add(k, np.arange(sizes[k % len(sizes)], dtype=np.uint32))
+        assert p.n_open <= 8 and p.n_open == p.levels.sum() and all(sum(len(x[2]) for x in w) == 100 for w in p.closed)
+    windows = p.take()
     left = p.run_together()
-    assert sum(len(x[2]) for w in p.closed for x in w) + sum(len(x[2]) for x in left) == 200 * 60
+    pieces = sorted((x[0], x[1], x[2].tolist()) for w in [*windows, *p.closed, left] for x in w)
+    for k in range(200):
+        assert [i for d, _, ids in pieces if d == k for i in ids] == list(range(sizes[k % len(sizes)]))
+
+
+def test_the_bound_is_not_met_by_the_documents(spark):
+    """Forty times the documents in one packer: every placement is by the rule."""
+    sizes = [r.n for r in documents(spark, SMALL.replace("sf0.001", "sf0.01")).selectExpr("size(split(text, ' ')) + 1 AS n").collect()]
+    p, most = packing.SumOfSquares(), 0
+    for k in range(40):
+        for j, n in enumerate(sizes):
+            p.add(k * len(sizes) + j, np.zeros(max(1, n), np.uint8))
+            most = max(most, p.n_open)
+        p.take()
+    assert most < packing.MAX_OPEN
