@@ -7,6 +7,9 @@ the boundary context and joins the region.  The tree keeps characters and tokens
 descends by characters to its segments, re-encodes that region alone and adds the differences on
 the way to the root.  A region that has grown is cut again and the tree rebuilt over counts, without
 encoding anything else.
+
+Trees are kept: :func:`count_trees` writes a table of texts with their trees, :func:`edited` applies
+edits to such a table and returns the next one, and only what the edits touch is ever encoded again.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import read, sliced, text_columns
+from sparquill.llm._runtime import read, sliced, text_columns, write_table
 from sparquill.llm.tokens import TOKENIZER, CachedTokenizer, tokenizer
 
 SEGMENT = 512
@@ -45,6 +48,22 @@ class CountTree:
         self.segments, self.encoded_chars = segments, 0
         self._build(tokens)
 
+    @classmethod
+    def kept(cls, text: str, tree: bytes, encoder: CachedTokenizer, size: int = SEGMENT) -> CountTree:
+        """The tree that :meth:`state` wrote, over its text; nothing is encoded."""
+        self = cls.__new__(cls)
+        self.encoder, self.size, self.encoded_chars = encoder, size, 0
+        raw = np.frombuffer(tree, "<u4").astype(np.int64)
+        self.sums = raw[1:].reshape(-1, 2).copy()
+        self.leaves = len(self.sums) // 2
+        ends = np.cumsum(self.sums[self.leaves : self.leaves + int(raw[0]), 0]).tolist()
+        self.segments = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return self
+
+    def state(self) -> bytes:
+        """Number of segments and the sums of all nodes, little-endian uint32."""
+        return np.concatenate(([len(self.segments)], self.sums.ravel())).astype("<u4").tobytes()
+
     def _build(self, tokens: list[int]) -> None:
         n = len(self.segments)
         self.leaves = 1 << max(0, n - 1).bit_length()
@@ -114,46 +133,74 @@ class CountTree:
 _EDITS = "array<struct<start:long,removed:long,inserted:string>>"
 
 
-def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
-    """Documents with their edits ``(doc_id, seq, start, removed, inserted)`` in order of ``seq``."""
+def with_edits(kept: DataFrame, edits: DataFrame) -> DataFrame:
+    """A table of trees with its edits ``(doc_id, seq, start, removed, inserted)`` in order of ``seq``.
+
+    Edits with a null doc_id or of no document go; rows that share a doc_id all get its edits; rows
+    without edits get null.  The edits of one document go to one task, which applies them in turn.
+    """
     lists = (
         text_columns(edits, "doc_id", "seq", "start", "removed", "inserted")
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_list(F.struct("seq", "start", "removed", "inserted"))).alias("edits"))
         .withColumn("edits", F.transform("edits", lambda e: F.struct(e["start"].cast("long").alias("start"), e["removed"].cast("long").alias("removed"), e["inserted"].alias("inserted"))))
     )
-    return text_columns(docs, "doc_id", "text").join(lists, "doc_id", "left")
+    return text_columns(kept, "doc_id", "text", "tree").join(lists, "doc_id", "left")
 
 
-def edited_counts(docs: DataFrame, tokenizer_name: str = TOKENIZER, size: int = SEGMENT) -> DataFrame:
-    """``docs(doc_id, text, edits)`` to token counts before and after the edits, one row per input row.
+def count_trees(docs: DataFrame, tokenizer_name: str = TOKENIZER, size: int = SEGMENT) -> DataFrame:
+    """``docs(doc_id, text)`` to the kept table ``(doc_id, text, tree)``, one row per input row.
 
-    Edits apply one after another, each to the text as the earlier ones left it, positions in code points.
-    Null texts are empty; null edits are none; null fields of an edit are 0 or empty.  The counts equal
-    those of encoding the whole text before and after.  Columns: doc_id, n_segments, tokens_before,
-    tokens_after, chars_after, chars_encoded_again.
+    Null texts become empty.  Repeated rows and null ids each keep a tree of their own; extra columns are
+    left out; an empty table gives an empty one.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(tokenizer_name)
         for batch in sliced(batches, "text", 2 << 20):
-            parts = [segments_of(t or "", size) for t in batch.column(1).to_pylist()]
-            _, counts = encoder.encode([s for p in parts for s in p])
-            cols: list[list[int]] = [[], [], [], [], []]
-            at = 0
-            for part, edits in zip(parts, batch.column(2).to_pylist(), strict=True):
-                tree = CountTree(part, counts[at : at + len(part)].tolist(), encoder, size)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            parts = [segments_of(t, size) for t in texts]
+            counts = encoder.encode([s for p in parts for s in p])[1].tolist()
+            trees, at = [], 0
+            for part in parts:
+                trees.append(CountTree(part, counts[at : at + len(part)], encoder, size).state())
                 at += len(part)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(trees, pa.binary())], names=["doc_id", "text", "tree"])
+
+    rows = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return write_table(rows.mapInArrow(scan, "doc_id long, text string, tree binary"), "trees")
+
+
+_EDITED = "n_segments long, tokens_before long, tokens_after long, chars_after long, chars_encoded_again long"
+
+
+def edited(kept: DataFrame, tokenizer_name: str = TOKENIZER, size: int = SEGMENT) -> DataFrame:
+    """``kept(doc_id, text, tree, edits)`` to ``(doc_id, text, tree)`` after the edits, and the counts, one row per input row.
+
+    Edits apply one after another, each to the text as the earlier ones left it, positions in code points.
+    Null edits are none; null fields of an edit are 0 or empty.  The counts equal those of encoding the
+    whole text before and after: tokens_before, tokens_after; n_segments and chars_after are after the
+    edits, chars_encoded_again is what was encoded.  The result can be kept and edited again.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = tokenizer(tokenizer_name)
+        for batch in sliced(batches, "text", 2 << 20):
+            cols: list[list] = [[], [], [], [], [], [], []]
+            for text, state, edits in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                tree = CountTree.kept(text, state, encoder, size)
                 before = tree.n_tokens
                 for e in edits or ():
                     tree.edit(e["start"] or 0, e["removed"] or 0, e["inserted"] or "")
-                for col, v in zip(cols, (len(tree.segments), before, tree.n_tokens, tree.n_chars, tree.encoded_chars), strict=True):
+                row = (tree.text, tree.state(), len(tree.segments), before, tree.n_tokens, tree.n_chars, tree.encoded_chars) if edits else (text, state, len(tree.segments), before, before, tree.n_chars, 0)
+                for col, v in zip(cols, row, strict=True):
                     col.append(v)
-            names = ["doc_id", "n_segments", "tokens_before", "tokens_after", "chars_after", "chars_encoded_again"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols)], names=names)
+            kinds = (pa.string(), pa.binary(), *[pa.int64()] * 5)
+            names = ["doc_id", "text", "tree", "n_segments", "tokens_before", "tokens_after", "chars_after", "chars_encoded_again"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("edits").cast(_EDITS))
-    return rows.mapInArrow(scan, "doc_id long, n_segments long, tokens_before long, tokens_after long, chars_after long, chars_encoded_again long")
+    rows = kept.select(F.col("doc_id").cast("long"), "text", "tree", F.col("edits").cast(_EDITS))
+    return rows.mapInArrow(scan, f"doc_id long, text string, tree binary, {_EDITED}")
 
 
 def drill(docs: DataFrame) -> DataFrame:
@@ -161,8 +208,8 @@ def drill(docs: DataFrame) -> DataFrame:
     at = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.coalesce(F.length("text"), F.lit(0)) + 1)
     word = F.concat(F.lit("ed"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("it "))
     edit = lambda k, n, s: F.struct(at(k).alias("start"), F.lit(n).cast("long").alias("removed"), s.alias("inserted"))
-    return text_columns(docs, "doc_id", "text").withColumn("edits", F.array(edit(1, 0, word), edit(2, 9, F.lit("")), edit(3, 5, F.lit("new, text"))))
+    return docs.withColumn("edits", F.array(edit(1, 0, word), edit(2, 9, F.lit("")), edit(3, 5, F.lit("new, text"))))
 
 
 def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_counts(drill(read(spark, sf_dir, "documents")))
+    return edited(drill(count_trees(read(spark, sf_dir, "documents")))).drop("text", "tree")

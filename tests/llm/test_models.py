@@ -67,24 +67,42 @@ def test_counts_after_edits_are_full_counts():
             assert tree.n_tokens == len(enc.tokenizer.encode(now, add_special_tokens=False).ids)
 
 
+def after(text, edits):
+    for e in edits:
+        at = min(e.start, len(text))
+        text = text[:at] + e.inserted + text[at + e.removed :]
+    return text
+
+
 def test_edited_documents(spark):
-    d = documents(spark, SMALL)
-    given = {r.doc_id: r for r in edit_counts.drill(d).collect()}
-    enc = tokenizer()
-    for r in edit_counts.edited_counts(edit_counts.drill(d)).collect():
-        text = given[r.doc_id].text or ""
-        assert r.tokens_before == len(enc.tokenizer.encode(text, add_special_tokens=False).ids)
-        for e in given[r.doc_id].edits:
-            at = min(e.start, len(text))
-            text = text[:at] + e.inserted + text[at + e.removed :]
-        assert r.tokens_after == len(enc.tokenizer.encode(text, add_special_tokens=False).ids) and r.chars_after == len(text)
+    """Two rounds of edits on kept trees: full counts after each, and only touched regions encoded."""
+    kept, enc = edit_counts.count_trees(documents(spark, SMALL)), tokenizer()
+    full = lambda text: len(enc.tokenizer.encode(text, add_special_tokens=False).ids)
+    now = {r.doc_id: r.text or "" for r in documents(spark, SMALL).collect()}
+    for _ in range(2):
+        drilled = edit_counts.drill(kept).cache()
+        given = {r.doc_id: r.edits for r in drilled.collect()}
+        kept = edit_counts.write_table(edit_counts.edited(drilled), "trees")
+        for r in kept.collect():
+            assert r.tokens_before == full(now[r.doc_id])
+            now[r.doc_id] = after(now[r.doc_id], given[r.doc_id])
+            assert r.text == now[r.doc_id] and r.tokens_after == full(r.text) and r.chars_after == len(r.text)
+            assert r.chars_encoded_again <= 3 * (4 * edit_counts.SEGMENT + 120)
+        drilled.unpersist()
+
+
+def test_rows_without_edits_are_not_encoded(spark, monkeypatch):
+    kept = edit_counts.count_trees(docs(spark, EDGES))
+    monkeypatch.setattr(edit_counts.CountTree, "edit", None)
+    rows = edit_counts.edited(kept.withColumn("edits", F.lit(None))).collect()
+    assert all(r.chars_encoded_again == 0 and r.tokens_before == r.tokens_after for r in rows) and len(rows) == len(EDGES)
 
 
 def test_edit_edges(spark):
-    edits = spark.createDataFrame([(1, 2, 0, 0, "b"), (1, 1, 0, 0, "a "), (4, 1, None, 2, None)], "doc_id long, seq int, start long, removed long, inserted string")
-    rows = {(r.doc_id, r.chars_after) for r in edit_counts.edited_counts(edit_counts.with_edits(docs(spark, EDGES), edits)).collect()}
-    assert {(1, 3), (2, 0), (4, 2), (None, 5)} <= rows
-    assert edit_counts.edited_counts(edit_counts.drill(docs(spark, []))).count() == 0
+    edits = spark.createDataFrame([(1, 2, 0, 0, "b"), (1, 1, 0, 0, "a "), (4, 1, None, 2, None), (None, 1, 0, 0, "lost"), (77, 1, 0, 0, "nobody's")], "doc_id long, seq int, start long, removed long, inserted string")
+    rows = [(r.doc_id, r.chars_after) for r in edit_counts.edited(edit_counts.with_edits(edit_counts.count_trees(docs(spark, EDGES)), edits)).collect()]
+    assert {(1, 3), (2, 0), (4, 2), (None, 5)} <= set(rows) and len(rows) == len(EDGES)
+    assert edit_counts.edited(edit_counts.drill(edit_counts.count_trees(docs(spark, [])))).count() == 0
 
 
 # --- personal data ----------------------------------------------------------------------------
