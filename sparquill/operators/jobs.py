@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.operators.tasks import Task, joined, responses
-from sparquill.sources.jsonl import read_lines, require_nonempty, write_requests
+from sparquill.sources.jsonl import read_job_map, read_lines, require_nonempty, write_document, write_requests
 
 WINDOW = "24h"
 
@@ -56,7 +56,9 @@ def submit(spark: SparkSession, client: Client, path: str, window: str = WINDOW)
         raise ValueError(f"the service knows only the {WINDOW} window")
     require_nonempty(spark, path, "request file")
     got = client.submit(path, window)
-    return Job(path, path + ".meta", got["batch_id"], got["status"], got["input_file_id"])
+    job = Job(path, path.rstrip("/") + ".meta", got["batch_id"], got["status"], got["input_file_id"])
+    write_document(spark.createDataFrame([{k: str(v) for k, v in {"jsonl": path, "completion_window": window, **got}.items()}]), job.meta)
+    return job
 
 
 def run_split(spark: SparkSession, client: Client, requests: DataFrame, path: str, chunk: int) -> list[Job]:
@@ -70,7 +72,12 @@ def job_table(spark: SparkSession, jobs: list[Job]) -> DataFrame:
 
 
 def write_job_map(jobs: DataFrame, path: str) -> None:
-    jobs.select(F.concat_ws("\t", "jsonl", "meta", "batch_id", "status", "input_file_id").alias("value")).write.mode("overwrite").text(path)
+    jobs.select(F.concat_ws("\t", *(F.coalesce(c, F.lit("")) for c in ("jsonl", "meta", "batch_id", "status", "input_file_id"))).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_jobs(spark: SparkSession, path: str) -> list[Job]:
+    """The jobs of a written map, one per submitted file."""
+    return [Job(r["jsonl"], r["meta"], r["batch_id"], r["status"] or "", r["input_file_id"] or "") for r in read_job_map(spark, path).orderBy("jsonl").collect()]
 
 
 def refreshed(jobs: list[Job], client: Client) -> list[Job]:
@@ -83,7 +90,4 @@ def consume(spark: SparkSession, client: Client, jobs: list[Job], source: DataFr
     paths = [s["output"] for s in states if s["status"] == "completed" and s.get("output")]
     if not paths:
         raise RuntimeError("no completed job with an output")
-    lines = read_lines(spark, paths[0])
-    for p in paths[1:]:
-        lines = lines.union(read_lines(spark, p))
-    return joined(responses(lines, task), source)
+    return joined(responses(read_lines(spark, paths), task), source)

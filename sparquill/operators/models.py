@@ -95,6 +95,44 @@ def overlap_score(query, document):
     return F.size(F.array_intersect(q, d)) / F.size(q)
 
 
+class Reranker:
+    """Score of (query, document), higher for better; ``load`` returns a function from lists of both to scores."""
+
+    def __init__(self, load: Callable[[], Callable[[list[str], list[str]], np.ndarray]], batch: int = 64) -> None:
+        self.load, self.batch = load, batch
+
+    def with_score(self, rows: DataFrame, query: str, document: str, to: str = "rerank_score") -> DataFrame:
+        return _appended(rows, [query, document], to, T.DoubleType(), pa.float64(), self.load, self.batch, lambda model, q, d: np.asarray(model(q, d), np.float64))
+
+
+def yes_no_reranker(load: Callable[[], Callable[[list[str], list[str]], tuple[np.ndarray, np.ndarray]]], batch: int = 64) -> Reranker:
+    """A reranker from a model of (yes, no) logits: the probability of yes."""
+
+    def load_scores() -> Callable[[list[str], list[str]], np.ndarray]:
+        model = load()
+
+        def score(queries: list[str], documents: list[str]) -> np.ndarray:
+            yes, no = model(queries, documents)
+            return 1 / (1 + np.exp(np.asarray(no, float) - np.asarray(yes, float)))
+
+        return score
+
+    return Reranker(load_scores, batch)
+
+
+def overlap_reranker() -> Reranker:
+    """Stand-in: share of the query's distinct words that the document has."""
+
+    def load() -> Callable[[list[str], list[str]], np.ndarray]:
+        def score(queries: list[str], documents: list[str]) -> np.ndarray:
+            words = [(set(q.lower().split(" ")), set(d.lower().split(" "))) for q, d in zip(queries, documents, strict=True)]
+            return np.array([len(q & d) / len(q) for q, d in words])
+
+        return score
+
+    return Reranker(load)
+
+
 class Entailment:
     """Verdict 1 or 0 for (premise, claim); ``load`` returns a function from lists of both to raw outputs, and "1" means entailed."""
 

@@ -116,17 +116,21 @@ def statistics(pool_rows: DataFrame) -> DataFrame:
 
 
 def records(pool_rows: DataFrame, member_rows: DataFrame, passages: DataFrame) -> DataFrame:
-    """Output records: each pool's anchor hints and its members with their passage fields.
+    """Output records: each pool's anchor and hints, and its members with their passage fields, by rank.
 
-    ``passages(id, ...)``: all other columns go into the member structs.
+    ``passages(id, ...)``: all other columns go into the member structs; ``passage_id`` names a member (its
+    ``id`` if there is no such column).  A pool's group is its ``guideline_id``; similarities have six decimals.
     """
-    fields = [c for c in passages.columns if c != "id"]
+    fields = [c for c in passages.columns if c not in ("id", "passage_id")]
+    name = F.col("passage_id") if "passage_id" in passages.columns else F.col("id").cast("string")
     detailed = member_rows.join(passages, "id").select(
-        "group", "anchor", F.struct("rank", F.round("score", 6).alias("similarity_to_anchor"), F.col("id").alias("passage_id"), *fields).alias("m")
+        "group", "anchor", F.struct("rank", F.round("score", 6).alias("similarity_to_anchor"), name.alias("passage_id"), *fields).alias("m"), (F.col("id") == F.col("anchor")).alias("own")
     )
-    lists = detailed.groupBy("group", "anchor").agg(F.array_sort(F.collect_list("m")).alias("passages"))
-    hints = F.element_at(F.filter("passages", lambda m: m["passage_id"] == F.col("anchor")), 1)
+    lists = detailed.groupBy("group", "anchor").agg(F.array_sort(F.collect_list("m")).alias("passages"), F.max(F.when(F.col("own"), F.col("m"))).alias("first"))
     wanted = {"main_topic": "group_topic_hint", "semantic_summary": "group_summary_hint", "question_angles": "group_question_angles_hint", "patient_language_keywords": "group_patient_keywords_hint"}
-    return pool_rows.join(lists, ["group", "anchor"]).select(
-        *pool_rows.columns, *(hints[f].alias(n) for f, n in wanted.items() if f in fields), "passages"
-    )
+    return pool_rows.drop("passage_ids").join(lists, ["group", "anchor"]).select(
+        *(["group_id"] if "group_id" in pool_rows.columns else []),
+        F.col("group").alias("guideline_id"), F.col("first.passage_id").alias("anchor_passage_id"), "num_passages",
+        F.round("avg_similarity", 6).alias("avg_similarity_to_anchor"), F.round("min_similarity", 6).alias("min_similarity_to_anchor"),
+        F.transform("passages", lambda m: m["passage_id"]).alias("passage_ids"), *(F.col(f"first.{f}").alias(n) for f, n in wanted.items() if f in fields), "passages",
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.jsonio import parsed, request, response_text
-from sparquill.functions.text import compact_list, norm_ws, text, truncate
+from sparquill.functions.text import col, compact_list, norm_value, norm_ws, text, truncate
 from sparquill.functions.values import number_after
 
 
@@ -89,24 +89,28 @@ def pool_prompt(max_source_chars: int = 1000, most: int = 30, first_only: bool =
     return F.when(enough, F.concat_ws("\n", head, F.lit("\nCandidate passages:"), F.array_join(blocks, "\n")))
 
 
-def chosen_passages(top_n: int = 5) -> Column:
+def chosen_passages(top_n: int = 5, passages: Column | str = "retrieved_passages") -> Column:
     """The first ``top_n`` retrieved passages, those without text then dropped."""
-    given = F.coalesce(F.col("retrieved_passages"), F.array())
+    given = F.coalesce(col(passages), F.array())
     return F.filter(F.slice(given, 1, top_n), lambda p: F.length(norm_ws(p["text"])) > 0)
 
 
 def context_block(passages: Column, max_chars: int = 1800) -> Column:
-    """Numbered passages with their source fields, one after another."""
-    block = lambda p, i: F.concat_ws(
-        "\n", F.concat(F.lit("["), (i + 1).cast("string"), F.lit("]")),
-        _lines(("passage_id", norm_ws(p["passage_id"])), ("guideline_id", norm_ws(p["guideline_id"])), ("main_topic", norm_ws(p["main_topic"])), ("text", truncate(p["text"], max_chars))), F.lit(""),
-    )
-    return F.array_join(F.transform(passages, block), "\n")
+    """Numbered passages with their source fields, a blank line between them; fields that a passage lacks are empty, as is a score of zero."""
+
+    def block(p: Column, i: Column) -> Column:
+        field = lambda name: F.try_variant_get(F.to_variant_object(p), f"$.{name}", "string")
+        fields = [(name, norm_value(field(name))) for name in ("passage_id", "guideline_id", "main_topic", "section", "rerank_score")]
+        return F.concat_ws("\n", F.concat(F.lit("["), (i + 1).cast("string"), F.lit("]")), _lines(*fields, ("text", truncate(p["text"], max_chars))))
+
+    return F.array_join(F.transform(passages, block), "\n\n")
 
 
-def answer_prompt(top_n: int = 5, max_chars: int = 1800) -> Column:
+def answer_prompt(top_n: int = 5, max_chars: int = 1800, fields: tuple[str, ...] = ()) -> Column:
+    """Question, the ``fields`` of the question that are asked for (lists as JSON), and the context block; null without question or passages."""
     chosen, question = chosen_passages(top_n), norm_ws("question")
-    return F.when((F.length(question) > 0) & (F.size(chosen) > 0), F.concat_ws("\n", F.concat(F.lit("Question: "), question), F.lit("\nPassages:"), context_block(chosen, max_chars)))
+    own = [F.concat(F.lit(f"{f}: "), F.coalesce(F.to_json(f), F.lit("[]")) if f in ("retrieval_anchor_terms", "patient_keywords") else norm_ws(f)) for f in fields]
+    return F.when((F.length(question) > 0) & (F.size(chosen) > 0), F.concat_ws("\n", F.concat(F.lit("Question: "), question), *own, F.lit("\nPassages:"), context_block(chosen, max_chars)))
 
 
 def claims_prompt(sentences: Column | str = "sentences") -> Column:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparquill.functions.citations import cited_sentences, citation_ids, clamp, marks, sentence_number, without_marks
-from sparquill.functions.text import clean_list, norm_ws, text
+from sparquill.functions.text import clean_list, first_text, norm_ws, text
 from sparquill.functions.values import one_of, padded_id
+from sparquill.operators.tasks import chosen_passages
 
 # --- fixed values: enumerations and phrases of the data model ----------------------------------
 QUESTION_TYPES = (
@@ -106,8 +108,8 @@ def answer_sentences(answer: Column, sentences: Column, n_passages: Column) -> C
     return F.when(F.size(kept) > 0, numbered).otherwise(fallback)
 
 
-def valid_answers(ok: DataFrame, n_passages: Column) -> DataFrame:
-    """``(row_idx, question_id, answer_text, answer_sentences, evidence_gaps, error)``.
+def valid_answers(ok: DataFrame, n_passages: Column, *keep: str) -> DataFrame:
+    """``(row_idx, question_id, answer_text, answer_sentences, evidence_gaps, error)`` and the columns to ``keep``.
 
     An answer fails as a whole without text, without a cited sentence, or if a kept sentence shows no
     citation mark.  Gaps are capped at five before blank ones go.
@@ -122,6 +124,7 @@ def valid_answers(ok: DataFrame, n_passages: Column) -> DataFrame:
             F.transform(F.slice(F.coalesce(p["evidence_gaps"], F.array()), 1, 5), lambda g: F.struct(norm_ws(g["missing_issue"]).alias("missing_issue"), norm_ws(g["reason"]).alias("reason"))),
             lambda g: (F.length(g["missing_issue"]) > 0) | (F.length(g["reason"]) > 0),
         ).alias("evidence_gaps"),
+        *keep,
     )
     error = (
         F.when(F.length("answer_text") == 0, "missing answer_text")
@@ -131,13 +134,57 @@ def valid_answers(ok: DataFrame, n_passages: Column) -> DataFrame:
     return rows.withColumn("error", error)
 
 
-def passages_with_pid(passages: Column | str = "passages") -> Column:
-    """Retrieved passages numbered from 1 as ``pid``, for citations."""
-    p = F.col(passages) if isinstance(passages, str) else passages
-    return F.transform(
-        F.coalesce(p, F.array()),
-        lambda x, i: F.struct((i + 1).cast("int").alias("pid"), *(x[f].alias(f) for f in ("text", "passage_id", "guideline_id", "main_topic", "section", "rerank_score", "faiss_rank", "faiss_score", "page_start", "page_end", "source_pdf"))),
-    )
+#: Fields of a passage that an answer cites, in order, after its number.
+_CITED = {"text": "string", "passage_id": "string", "guideline_id": "string", "main_topic": "string", "section": "string", "rerank_score": "double", "faiss_rank": "long", "faiss_score": "double", "page_start": "long", "page_end": "long", "source_pdf": "string"}
+
+
+def _fields_of(df: DataFrame, column: str) -> list[str]:
+    """Names of the struct fields of an array column such as ``source.passages``; none if there is no such column."""
+    kind = df.schema
+    for name in column.split("."):
+        if name not in getattr(kind, "fieldNames", list)():
+            return []
+        kind = kind[name].dataType
+    return kind.elementType.fieldNames() if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) else []
+
+
+def passages_with_pid(passages: Column, have: list[str]) -> Column:
+    """Passages numbered from 1 as ``pid``, for citations; ``have`` names their fields, the others become null."""
+    value = lambda x, f, kind: (x[f] if f in have else F.lit(None)).cast(kind).alias(f)
+    return F.transform(F.coalesce(passages, F.array()), lambda x, i: F.struct((i + 1).cast("int").alias("pid"), *(value(x, f, k) for f, k in _CITED.items())))
+
+
+def citable_passages(df: DataFrame, passages: str = "passages", fallback: str = "top_passages") -> Column:
+    """The row's ``passages`` with their own ``pid`` (their place where that is no number), else its ``fallback`` numbered anew; empty without both."""
+    have, other = _fields_of(df, passages), _fields_of(df, fallback)
+    none = F.array().cast("array<struct<pid:int," + ",".join(f"{f}:{k}" for f, k in _CITED.items()) + ">>")
+    anew = passages_with_pid(F.col(fallback), other) if other else none
+    if not have:
+        return anew
+    given = F.filter(F.coalesce(F.col(passages), F.array()), lambda x: x.isNotNull())
+    pid = lambda x, i: F.coalesce(x["pid"].try_cast("int"), (i + 1).cast("int")) if "pid" in have else (i + 1).cast("int")
+    own = F.transform(passages_with_pid(given, have), lambda x, i: x.withField("pid", pid(F.element_at(given, i + 1), i)).withField("text", F.coalesce(x["text"], F.lit(""))))
+    return F.when(F.size(given) > 0, own).otherwise(anew)
+
+
+def answer_records(ok: DataFrame, top_n: int = 5) -> DataFrame:
+    """Output records of answers, with ``error`` (null for those that hold): question fields, answer, the passages shown and the same numbered for citations."""
+    have = ok.schema["source"].dataType.fieldNames()
+    shown = "source.retrieved_passages"
+    passages = chosen_passages(top_n, shown) if _fields_of(ok, shown) else F.array().cast("array<struct<text:string>>")
+    field = lambda name, kind: (F.col(f"source.{name}") if name in have else F.lit(None)).cast(kind)
+    words = lambda name: F.coalesce(field(name, "array<string>"), F.array().cast("array<string>")).alias(name)
+    extra = ok.select(
+        "row_idx", *(norm_ws(field(f, "string")).alias(f) for f in ("question", "question_type", "perspective")),
+        words("patient_keywords"), words("retrieval_anchor_terms"), passages.alias("top_passages"),
+        passages_with_pid(passages, _fields_of(ok, shown) or ["text"]).alias("passages"),
+        F.struct("payload", "source").alias("_ok"),
+    )
+    checked = valid_answers(extra.select("*", "_ok.*"), F.size("top_passages"), "question", "question_type", "perspective", "patient_keywords", "retrieval_anchor_terms", "top_passages", "passages")
+    return checked.select(
+        F.col("row_idx").alias("question_idx"), "question_id", "question", "question_type", "perspective", "patient_keywords", "retrieval_anchor_terms",
+        F.col("answer_text").alias("answer"), "answer_text", "answer_sentences", "evidence_gaps", "top_passages", "passages", "error",
+    )
 
 
 def sentences_for_claims(answer: Column | str, sentences: Column | str) -> Column:
@@ -185,3 +232,37 @@ def atomic_facts(sentences: Column | str, claims: Column | str, passages: Column
         ),
     )
     return F.flatten(per_sentence)
+
+
+def claim_records(ok: DataFrame, model: str = "") -> DataFrame:
+    """Output records of claims: the source row with its sentences' facts, nested and flat, their counts and the model's name."""
+    own = [c for c in ok.schema["source"].dataType.fieldNames() if c not in _CLAIM_FIELDS]
+    rows = ok.select("row_idx", "payload", "source.*") if "row_idx" not in own else ok.select("payload", "source.*")
+    rows = rows.withColumn("_s", claim_sentences(rows)).withColumn("_p", citable_passages(rows))
+    rows = rows.withColumn("atomic_facts_flat", atomic_facts("_s", "payload.sentences", "_p"))
+    of = lambda n: F.filter("atomic_facts_flat", lambda f: f["source_sentence_id"] == n)
+    nested = F.transform(
+        "_s",
+        lambda s: F.struct(
+            s["sentence_id"].alias("sentence_id"), s["raw_sentence"].alias("raw_sentence"), s["sentence_text"].alias("sentence_text"),
+            s["role"].alias("sentence_role"), s["citation_ids"].alias("citation_ids"), of(s["sentence_id"]).alias("atomic_facts"),
+        ),
+    )
+    keep = own if "row_idx" in own else ["row_idx", *own]
+    return rows.select(
+        *(f"`{c}`" for c in keep), F.lit(model).alias("atomic_model"), nested.alias("sentence_atomic_decomposition"), "atomic_facts_flat",
+        F.size("_s").alias("num_sentences_detected"), F.size("atomic_facts_flat").alias("num_atomic_facts"), F.lit("").alias("atomic_error"),
+    )
+
+
+_CLAIM_FIELDS = ("atomic_model", "sentence_atomic_decomposition", "atomic_facts_flat", "num_sentences_detected", "num_atomic_facts", "atomic_error")
+
+
+def claim_sentences(rows: DataFrame) -> Column:
+    """Cited sentences of answer records: of ``answer_sentences``, else of ``answer_text`` or ``answer``."""
+    answer = first_text(*(c for c in ("answer_text", "answer") if c in rows.columns)) if {"answer_text", "answer"} & set(rows.columns) else F.lit("")
+    have = _fields_of(rows, "answer_sentences")
+    kinds = {"sentence_id": "string", "text": "string", "citations": "array<int>", "role": "string"}
+    if not have:
+        return sentences_for_claims(answer, F.lit(None).cast("array<struct<sentence_id:string,text:string,citations:array<int>,role:string>>"))
+    return sentences_for_claims(answer, F.transform("answer_sentences", lambda x: F.struct(*((x[f] if f in have else F.lit(None)).cast(k).alias(f) for f, k in kinds.items()))))

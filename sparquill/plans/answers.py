@@ -266,7 +266,7 @@ SELECT doc_id AS sample_idx, CASE WHEN passage_id <> '' THEN passage_id ELSE 's'
 
 def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = derived(spark, sf_dir, "SELECT doc_id AS row_idx, substr(text, 1, 200) AS question, CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 201) END AS t FROM documents", "documents")
-    p = F.struct(F.lit("p1").alias("passage_id"), F.lit("g").alias("guideline_id"), F.lit("m").alias("main_topic"), F.col("t").alias("text"))
+    p = F.struct(F.lit("p1").alias("passage_id"), F.lit("g").alias("guideline_id"), F.lit("m").alias("main_topic"), F.lit(" Care  of x ").alias("section"), ((F.col("row_idx") % 5 - 1) / 4).alias("rerank_score"), F.col("t").alias("text"))
     rows = K.requests(d.withColumn("retrieved_passages", F.array(p)), K.ANSWER, K.answer_prompt(max_chars=50), "model-x")
     at = lambda path: F.get_json_object("line", path)
     return rows.select("row_idx", at("$.custom_id").alias("custom_id"), at("$.body.temperature").cast("double").alias("temperature"), at("$.body.text.format.name").alias("schema_name"), F.md5(at("$.body.input[1].content")).alias("prompt"))
@@ -275,7 +275,7 @@ def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 REQUEST_LINES = rf"""
 WITH d AS (SELECT doc_id AS row_idx, {_WS.format("substr(text, 1, 200)")} AS q, {_WS.format("CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 201) END")} AS t FROM documents)
 SELECT row_idx, 'answer-' || row_idx AS custom_id, 0.2::DOUBLE AS temperature, 'answer' AS schema_name,
-  md5('Question: ' || q || chr(10) || chr(10) || 'Passages:' || chr(10) || '[1]' || chr(10) || 'passage_id: p1' || chr(10) || 'guideline_id: g' || chr(10) || 'main_topic: m' || chr(10) || 'text: ' || CASE WHEN length(t) > 50 THEN rtrim(t[1:50]) || ' ...[truncated]' ELSE t END || chr(10)) AS prompt
+  md5('Question: ' || q || chr(10) || chr(10) || 'Passages:' || chr(10) || '[1]' || chr(10) || 'passage_id: p1' || chr(10) || 'guideline_id: g' || chr(10) || 'main_topic: m' || chr(10) || 'section: Care of x' || chr(10) || 'rerank_score: ' || CASE row_idx % 5 WHEN 1 THEN '' WHEN 2 THEN '0.25' WHEN 3 THEN '0.5' ELSE '0.75' END || chr(10) || 'text: ' || CASE WHEN length(t) > 50 THEN rtrim(t[1:50]) || ' ...[truncated]' ELSE t END) AS prompt
 FROM d WHERE q <> '' AND t <> ''
 """
 

@@ -37,8 +37,8 @@ def read_objects(spark: SparkSession, path: str, schema: str, mode: str = "FAILF
     return spark.read.schema(schema).option("mode", mode).json(path)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank raw lines ``(line)``, such as batch results."""
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Non-blank raw lines ``(line)`` of one path or several, such as batch results."""
     return spark.read.text(path).where(F.length(F.trim("value")) > 0).select(F.col("value").alias("line"))
 
 
@@ -89,6 +89,18 @@ def write_requests(requests: DataFrame, path: str, chunk: int, start: int = 0) -
     return counts
 
 
+def write_request_file(requests: DataFrame, path: str) -> int:
+    """All request lines ``(row_idx, line)`` as one file in order, for a range that a service takes at once; their number.
+
+    One task writes it: ranges beyond a service's limit belong to :func:`write_requests`.
+    """
+    requests.repartition(1).sortWithinPartitions("row_idx").select("line").write.mode("overwrite").text(path)
+    n = requests.sparkSession.read.text(path).count()
+    if not n:
+        raise ValueError("no requests to write")
+    return n
+
+
 def require_nonempty(spark: SparkSession, path: str, label: str) -> None:
     if not exists_nonempty(spark, path):
         raise RuntimeError(f"{label} missing or empty: {path}")
