@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparquill.functions.text import clean_passage, col, count_words, let, punctuation_share, words
+from sparquill.functions.text import PUNCTUATION, WORD_PATTERN, clean_passage, col, count_words, let, punctuation_share, words
 
 # --- fixed values: patterns, headings and weights (in hundredths) of the data model -----------
 REFERENCE_HEADINGS = "references|bibliography|literature cited|works cited|reference list"
@@ -19,7 +21,9 @@ JOURNALS = (
     "pediatrics", "surgery", "clinical", "clin", "medicine", "med", "nursing", "pharmacology", "intensive care", "emergency medicine",
     "rheumatology", "oncology", "surg", "obstet", "gynecol", "anesth", "analg",
 )
+JOURNAL = rf"(?i)\b({'|'.join(JOURNALS)})\b"
 AUTHOR = r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s+[A-Z]\.?"
+AUTHORS = rf"\b{AUTHOR}(?:,\s*{AUTHOR})+"
 SECTION_HEADINGS = (
     "abstract", "background", "introduction", "methods", "methodology", "recommendations", "recommendation", "diagnosis", "treatment", "management",
     "monitoring", "follow-up", "follow up", "prevention", "discussion", "conclusion", "conclusions", "summary", "key recommendations",
@@ -36,20 +40,28 @@ def _n(s: Column, pattern: str) -> Column:
 
 def reference_score(c: Column | str) -> Column:
     """0 to 1, higher for bibliographies; an empty text scores 1.  Summed in whole hundredths."""
-    return let(clean_passage(c), lambda s: F.when(F.length(s) == 0, 1.0).otherwise(let(F.struct(F.greatest(count_words(s), F.lit(1)).alias("words"), _n(s, DOI).alias("doi"), _n(s, YEAR).alias("years")), lambda n: _points(s, n))))
+
+    def facts(s: Column) -> Column:
+        doi = F.when(s.contains("10.") | F.lower(s).contains("doi"), _n(s, DOI)).otherwise(0)
+        years = F.when(s.contains("19") | s.contains("20"), _n(s, YEAR)).otherwise(0)
+        return F.struct(F.greatest(count_words(s), F.lit(1)).alias("words"), doi.alias("doi"), years.alias("years"), F.lower(s).alias("low"))
+
+    return let(clean_passage(c), lambda s: F.when(F.length(s) == 0, 1.0).otherwise(let(facts(s), lambda n: _points(s, n))))
 
 
 def _points(s: Column, n: Column) -> Column:
+    """Rare patterns are looked for only where a plain part of theirs occurs."""
+    low = n["low"]
     rules = (
         (n["doi"] >= 1, 35),
         (n["doi"] >= 2, 25),
-        (s.rlike(URL), 20),
-        (s.rlike(ET_AL), 25),
+        ((low.contains("http") | low.contains("www.")) & s.rlike(URL), 20),
+        (low.contains("et al") & s.rlike(ET_AL), 25),
         (n["years"] >= 3, 20),
         (n["years"] >= 5, 15),
-        (_n(s, BRACKETS) >= 3, 20),
-        (s.rlike(rf"(?i)\b({'|'.join(JOURNALS)})\b"), 15),
-        (s.rlike(rf"\b{AUTHOR}(?:,\s*{AUTHOR})+"), 30),
+        (s.contains("[") & (_n(s, BRACKETS) >= 3), 20),
+        (s.rlike(JOURNAL), 15),
+        (s.contains(",") & s.rlike(AUTHORS), 30),
         ((n["words"] < 180) & (punctuation_share(s) > 0.12), 15),
         ((n["words"] < 120) & (n["years"] >= 3), 15),
     )
@@ -59,6 +71,55 @@ def _points(s: Column, n: Column) -> Column:
     return F.least(total, F.lit(100)) / 100.0
 
 
+class Bibliography:
+    """The same score for texts at hand, for steps that go through a document in turn."""
+
+    def __init__(self) -> None:
+        self.found = {name: re.compile(p.replace("(?U)", "")) for name, p in (("doi", DOI), ("url", URL), ("et_al", ET_AL), ("year", YEAR), ("brackets", BRACKETS), ("journal", JOURNAL), ("authors", AUTHORS), ("word", WORD_PATTERN))}
+
+    def count(self, name: str, s: str) -> int:
+        return sum(1 for _ in self.found[name].finditer(s))
+
+    def words(self, s: str) -> int:
+        return len(self.found["word"].findall(s))
+
+    def score(self, s: str) -> float:
+        """Of a text in one line."""
+        if not s:
+            return 1.0
+        low, n = s.lower(), max(1, self.words(s))
+        doi = self.count("doi", s) if "10." in s or "doi" in low else 0
+        years = self.count("year", s) if "19" in s or "20" in s else 0
+        points = 35 * (doi >= 1) + 25 * (doi >= 2) + 20 * (years >= 3) + 15 * (years >= 5) + 15 * (n < 120 and years >= 3)
+        points += 20 if ("http" in low or "www." in low) and self.found["url"].search(s) else 0
+        points += 25 if "et al" in low and self.found["et_al"].search(s) else 0
+        points += 20 if "[" in s and self.count("brackets", s) >= 3 else 0
+        points += 15 if self.found["journal"].search(s) else 0
+        points += 30 if "," in s and self.found["authors"].search(s) else 0
+        points += 15 if n < 180 and sum(map(s.count, PUNCTUATION)) / max(1, len(s)) > 0.12 else 0
+        return min(points, 100) / 100.0
+
+
+class Headings:
+    """The heading predicates for texts at hand, in one line."""
+
+    def __init__(self) -> None:
+        self.strict, self.loose = re.compile(rf"(?i)\s*({REFERENCE_HEADINGS})\s*"), re.compile(rf"(?i)\s*({REFERENCE_HEADINGS})\b")
+        self.numbered, self.names = re.compile(NUMBERED_HEADING.replace("(?U)", "")), frozenset(SECTION_HEADINGS)
+
+    def reference(self, s: str) -> bool:
+        head = s[:80]
+        return bool(s) and bool(self.strict.fullmatch(head) or self.loose.match(head) and len(s.split()) <= 6)
+
+    def section(self, s: str, words: int) -> bool:
+        """``words`` is the text's word count."""
+        if not s:
+            return False
+        if s.lower().strip(" :.-") in self.names or s[0].isdigit() and self.numbered.match(s):
+            return True
+        return len(s) <= 100 and words <= 10 and not s.endswith(".") and any("A" <= c <= "Z" for c in [c for c in s if c.isascii() and c.isalpha()][:10])
+
+
 def is_reference_like(c: Column | str, threshold: float = THRESHOLD) -> Column:
     return reference_score(c) >= threshold
 
@@ -80,7 +141,7 @@ def is_section_heading(c: Column | str) -> Column:
 
     def holds(s: Column) -> Column:
         letters = F.regexp_replace(s, "[^A-Za-z]", "")
-        bare = F.regexp_replace(F.lower(s), r"^[ :.\-]+|[ :.\-]+$", "")
+        bare = F.btrim(F.lower(s), F.lit(" :.-"))
         title = (F.length(s) <= 100) & ~s.endswith(".") & (count_words(s) <= 10) & F.substring(letters, 1, 10).rlike("[A-Z]")
         return (F.length(s) > 0) & (bare.isin(*SECTION_HEADINGS) | s.rlike(NUMBERED_HEADING) | title)
 

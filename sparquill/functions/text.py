@@ -10,6 +10,7 @@ WORD_PATTERN = r"\b[0-9A-Za-z][0-9A-Za-z'\-]*\b"
 SENTENCE_END = r"(?U)(?<=[.!?])\s+"
 UNIT_END = r"(?U)(?<=[。.!?])\s+"
 TRUNCATED = " ...[truncated]"
+PUNCTUATION = ".,;:()[]"
 # ---------------------------------------------------------------------------------------------
 
 _EDGES = r"(?U)^\s+|\s+$"
@@ -159,4 +160,4 @@ def first_text(*cs: Column | str) -> Column:
 
 def punctuation_share(c: Column | str) -> Column:
     s = text(c)
-    return (F.length(s) - F.length(F.translate(s, ".,;:()[]", ""))) / F.greatest(F.length(s), F.lit(1))
+    return (F.length(s) - F.length(F.translate(s, PUNCTUATION, ""))) / F.greatest(F.length(s), F.lit(1))

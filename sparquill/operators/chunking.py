@@ -1,7 +1,8 @@
 """Section-aware passages from paged documents.
 
-Units, headings and counts are Column expressions; only the fold over a document's units, whose
-resets depend on carried text, is Arrow-batched Python.  Documents are rows, so nothing shuffles.
+Every step depends on what came before it in the document (the running section, carried overlap, a
+chunk's predecessor), so a document goes through them in turn, in Arrow batches: units, headings, the
+chunk fold, reference scores and tail merges in one pass.  Documents are rows, so nothing shuffles.
 """
 
 from __future__ import annotations
@@ -13,16 +14,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.functions.reference_score import THRESHOLD, is_reference_heading, is_section_heading, reference_score
-from sparquill.functions.text import clean_passage, count_words, normalize_page, units
+from sparquill.functions.reference_score import THRESHOLD, Bibliography, Headings
+from sparquill.functions.text import SENTENCE_END, UNIT_END, normalize_page
 from sparquill.functions.values import passage_id
 
 TAIL_SLACK = 80
-_WORD = re.compile(r"\b[0-9A-Za-z][0-9A-Za-z'\-]*\b")
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
-_CHUNK = "struct<section_title:string,page_start:int,page_end:int,para_start:int,para_end:int,text:string,word_count:int>"
+#: Documents whose results are held before they go on.
+BATCH = 64
+_BLANKS = re.compile(r"[ \t]+")
+_SPACE = re.compile(r"\s+")
+_SENTENCE = re.compile(SENTENCE_END.replace("(?U)", ""))
+_UNIT = re.compile(UNIT_END.replace("(?U)", ""))
+_FIELDS = ("section_title", "page_start", "page_end", "para_start", "para_end", "text", "word_count")
+_CHUNK = "struct<section_title:string,page_start:int,page_end:int,para_start:int,para_end:int,text:string,word_count:int,score:double>"
 _CHUNKS = pa.list_(
-    pa.struct([("section_title", pa.string()), ("page_start", pa.int32()), ("page_end", pa.int32()), ("para_start", pa.int32()), ("para_end", pa.int32()), ("text", pa.string()), ("word_count", pa.int32())])
+    pa.struct([("section_title", pa.string()), ("page_start", pa.int32()), ("page_end", pa.int32()), ("para_start", pa.int32()), ("para_end", pa.int32()), ("text", pa.string()), ("word_count", pa.int32()), ("score", pa.float64())])
 )
 
 
@@ -32,21 +38,53 @@ def pages_of(page_rows: DataFrame, document: str = "guideline_id", page: str = "
     return page_rows.groupBy(document).agg(pages.alias("pages"))
 
 
-def with_units(docs: DataFrame, normalize: bool = False) -> DataFrame:
-    """Adds ``units``: (page, para, text, words, is_reference, is_heading) of non-blank units in order."""
+def units_of(page: str | None) -> list[str]:
+    """Units of a page, each in one line: pieces that end with sentence punctuation before white space."""
+    # White space that holds a line end is one line end, other blanks are one.
+    whole = _SPACE.sub(lambda m: "\n" if "\n" in m.group() else m.group(), _BLANKS.sub(" ", (page or "").replace("\r", "\n")))
+    return [u for u in (" ".join(part.split()) for part in _UNIT.split(whole)) if u]
+
+
+class Units:
+    """Units of documents with their marks: (page, para, text, words, is_reference, is_heading)."""
+
+    def __init__(self) -> None:
+        self.headings, self.bibliography = Headings(), Bibliography()
+
+    def __call__(self, pages: list[str | None]) -> Iterator[tuple[int, int, str, int, bool, bool]]:
+        for p, page in enumerate(pages, 1):
+            for k, text in enumerate(units_of(page), 1):
+                words = self.bibliography.words(text)
+                yield p, k, text, words, self.headings.reference(text), self.headings.section(text, words)
+
+
+def unit_rows(docs: DataFrame, normalize: bool = False) -> DataFrame:
+    """``docs(guideline_id, pages)`` to its units in order: page, para, text, words, is_reference, is_heading, the
+    section's title (the last heading so far) and whether a reference heading came before or is the unit.
+
+    Null pages and pages without units give no rows; repeated documents each give theirs.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units()
+        kinds = {"guideline_id": pa.string(), "page": pa.int32(), "para": pa.int32(), "text": pa.string(), "words": pa.int32(), "is_reference": pa.bool_(), "is_heading": pa.bool_(), "section_title": pa.string(), "in_references": pa.bool_()}
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                rows = []
+                for name, pages in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    title, ended = "", False
+                    for u in units(pages or []):
+                        title = u[2][:160] if u[5] and not u[4] else title
+                        ended = ended or u[4]
+                        rows.append((name, *u, title, ended))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
     pages = F.transform(F.col("pages"), normalize_page) if normalize else F.col("pages")
-    per_page = F.transform(
-        pages, lambda p, i: F.transform(units(p), lambda u, j: F.struct((i + 1).cast("int").alias("page"), (j + 1).cast("int").alias("para"), clean_passage(u).alias("text")))
+    return docs.select(F.col("guideline_id").cast("string"), pages.alias("pages")).mapInArrow(
+        scan, "guideline_id string, page int, para int, text string, words int, is_reference boolean, is_heading boolean, section_title string, in_references boolean"
     )
-    kept = F.filter(F.flatten(per_page), lambda u: F.length(u["text"]) > 0)
-    marked = F.transform(
-        kept,
-        lambda u: F.struct(
-            u["page"].alias("page"), u["para"].alias("para"), u["text"].alias("text"), count_words(u["text"]).alias("words"),
-            is_reference_heading(u["text"]).alias("is_reference"), is_section_heading(u["text"]).alias("is_heading"),
-        ),
-    )
-    return docs.withColumn("units", marked)
 
 
 def overlap_of(text: str, n_sentences: int, max_words: int = 40) -> str:
@@ -56,7 +94,7 @@ def overlap_of(text: str, n_sentences: int, max_words: int = 40) -> str:
     return " ".join(own[-max_words:])
 
 
-def fold_units(units: list[dict], max_words: int, overlap: int) -> tuple[list[dict], int]:
+def fold_units(units: list[tuple], max_words: int, overlap: int, words_of) -> tuple[list[dict], int]:
     """Chunks of one document and the number of units in its reference section (to its end)."""
     chunks: list[dict] = []
     section, texts, words, span = "", [], 0, [0, 0, 0, 0]
@@ -66,32 +104,47 @@ def fold_units(units: list[dict], max_words: int, overlap: int) -> tuple[list[di
         if not texts:
             return ""
         whole = " ".join(texts)
-        chunks.append(dict(zip(("section_title", "page_start", "page_end", "para_start", "para_end", "text", "word_count"), (section, span[0], span[1], span[2], span[3], whole, words), strict=True)))
+        chunks.append(dict(zip(_FIELDS, (section, span[0], span[1], span[2], span[3], whole, words), strict=True)))
         texts, words = [], 0
         return whole
 
-    for k, u in enumerate(units):
-        if u["is_reference"]:
+    for k, (page, para, text, n, is_reference, is_heading) in enumerate(units):
+        if is_reference:
             flush()
             return chunks, len(units) - k
-        if u["is_heading"]:
+        if is_heading:
             flush()
-            section = u["text"][:160]
+            section = text[:160]
             continue
         if not texts:
-            span = [u["page"], u["page"], u["para"], u["para"]]
-        texts.append(u["text"])
-        words += u["words"]
-        span[1], span[3] = u["page"], u["para"]
+            span = [page, page, para, para]
+        texts.append(text)
+        words += n
+        span[1], span[3] = page, para
         if words >= max_words:  # a trigger, not a cap
             carried = overlap_of(flush(), overlap)
             if carried:
-                texts, words = [carried], len(_WORD.findall(carried))
-                span = [u["page"], u["page"], u["para"], u["para"]]
+                texts, words = [carried], words_of(carried)
+                span = [page, page, para, para]
     flush()
     return chunks, 0
 
 
+def merged_tails(chunks: list[dict], min_words: int, max_words: int) -> list[dict]:
+    """Short chunks joined to the one before them in the same section; a joined chunk has no score yet."""
+    out: list[dict] = []
+    for c in chunks:
+        last = out[-1] if out else None
+        if last and c["word_count"] < min_words and last["section_title"] == c["section_title"] and last["word_count"] + c["word_count"] <= max_words + TAIL_SLACK:
+            out[-1] = last | {"page_end": c["page_end"], "para_end": c["para_end"], "text": last["text"] + " " + c["text"], "word_count": last["word_count"] + c["word_count"], "score": None}
+        else:
+            out.append(c)
+    return out
+
+
+_COUNTS = ("num_raw_candidate_chunks", "removed_by_ref_heading_zone", "removed_by_regex_ref", "num_kept_chunks_before_tail_merge", "removed_by_regex_ref_after_tail_merge", "num_kept_chunks_after_tail_merge")
+
+
 def passages(
     docs: DataFrame, min_words: int = 100, max_words: int = 220, overlap_sentences: int = 1, threshold: float = THRESHOLD, normalize: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -103,56 +156,31 @@ def passages(
     """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            folded = [fold_units(u or [], max_words, overlap_sentences) for u in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array([f[0] for f in folded], _CHUNKS), pa.array([f[1] for f in folded], pa.int32())],
-                names=["guideline_id", "source_pdf", "num_pages", "raw", "removed_by_ref_heading_zone"],
-            )
-
-    ready = with_units(docs.select("guideline_id", "source_pdf", F.coalesce("pages", F.array().cast("array<string>")).alias("pages")), normalize)
-    folded = ready.select("guideline_id", "source_pdf", F.size("pages").alias("num_pages"), "units").mapInArrow(
-        fold, f"guideline_id string, source_pdf string, num_pages int, raw array<{_CHUNK}>, removed_by_ref_heading_zone int"
-    )
-    first = folded.withColumn("kept", F.filter("raw", lambda c: reference_score(c["text"]) < threshold))
-
-    def merge(done, c):
-        last = F.try_element_at(done, F.lit(-1))
-        joins = (F.size(done) > 0) & (c["word_count"] < min_words) & (last["section_title"] == c["section_title"])
-        joins = joins & (last["word_count"] + c["word_count"] <= max_words + TAIL_SLACK)
-        joined = F.struct(
-            last["section_title"].alias("section_title"), last["page_start"].alias("page_start"), c["page_end"].alias("page_end"), last["para_start"].alias("para_start"), c["para_end"].alias("para_end"),
-            F.concat_ws(" ", last["text"], c["text"]).alias("text"), (last["word_count"] + c["word_count"]).alias("word_count"),
-        )
-        return F.when(joins, F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(c)))
-
-    merged = first.withColumn("merged", F.aggregate("kept", F.array().cast(f"array<{_CHUNK}>"), merge))
-    final = merged.withColumn("final", F.filter("merged", lambda c: reference_score(c["text"]) < threshold))
-    counts = final.select(
-        "guideline_id", "source_pdf", "num_pages",
-        F.size("raw").alias("num_raw_candidate_chunks"),
-        "removed_by_ref_heading_zone",
-        (F.size("raw") - F.size("kept")).alias("removed_by_regex_ref"),
-        F.size("kept").alias("num_kept_chunks_before_tail_merge"),
-        (F.size("merged") - F.size("final")).alias("removed_by_regex_ref_after_tail_merge"),
-        F.size("final").alias("num_kept_chunks_after_tail_merge"),
-    )
-    rows = final.select("guideline_id", "source_pdf", F.posexplode("final").alias("k", "c"))
-    score = reference_score(F.col("c.text"))
+        units = Units()
+        score = units.bibliography.score
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                finals, counts = [], []
+                for pages in batch.column(3).to_pylist():
+                    raw, zone = fold_units(list(units(pages)), max_words, overlap_sentences, units.bibliography.words)
+                    kept = [c for c in (c | {"score": score(c["text"])} for c in raw) if c["score"] < threshold]
+                    merged = [c if c["score"] is not None else c | {"score": score(c["text"])} for c in merged_tails(kept, min_words, max_words)]
+                    final = [c for c in merged if c["score"] < threshold]
+                    finals.append(final)
+                    counts.append((len(raw), zone, len(raw) - len(kept), len(kept), len(merged) - len(final), len(final)))
+                cols = [pa.array(c, pa.int32()) for c in zip(*counts, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols, pa.array(finals, _CHUNKS)], names=["guideline_id", "source_pdf", "num_pages", *_COUNTS, "final"])
+
+    pages = F.coalesce("pages", F.array().cast("array<string>"))
+    ready = docs.select(F.col("guideline_id").cast("string"), F.col("source_pdf").cast("string"), F.size(pages).alias("num_pages"), (F.transform(pages, normalize_page) if normalize else pages).alias("pages"))
+    folded = ready.mapInArrow(fold, "guideline_id string, source_pdf string, num_pages int, " + ", ".join(f"{c} int" for c in _COUNTS) + f", final array<{_CHUNK}>")
+    rows = folded.select("guideline_id", "source_pdf", F.posexplode("final").alias("k", "c"))
     out = rows.select(
-        "guideline_id", passage_id("guideline_id", F.col("k") + 1).alias("passage_id"), "source_pdf", "c.section_title", "c.page_start", "c.page_end", "c.para_start", "c.para_end", "c.text", "c.word_count",
-        score.alias("reference_list_score"), (score >= threshold).alias("is_reference_like_by_regex"),
+        "guideline_id", passage_id("guideline_id", F.col("k") + 1).alias("passage_id"), "source_pdf", *(f"c.{f}" for f in _FIELDS),
+        F.col("c.score").alias("reference_list_score"), (F.col("c.score") >= threshold).alias("is_reference_like_by_regex"),
     )
-    return out, counts
-
-
-def running_section(unit_rows: DataFrame, document: str = "guideline_id") -> DataFrame:
-    """Adds ``section_title`` (last heading so far) and ``in_references`` (once true, to the document's end) to unit rows."""
-    from pyspark.sql import Window
-
-    so_far = Window.partitionBy(document).orderBy("page", "para").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    title = F.last(F.when(F.col("is_heading") & ~F.col("is_reference"), F.substring("text", 1, 160)), ignorenulls=True).over(so_far)
-    return unit_rows.withColumn("section_title", F.coalesce(title, F.lit(""))).withColumn("in_references", F.max("is_reference").over(so_far))
+    return out, folded.drop("final")
 
 
 def model_filter(rows: DataFrame, scorer, threshold: float = 0.80, batch: int = 64) -> DataFrame:

@@ -159,9 +159,7 @@ def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chunking.with_units(_paged(spark, sf_dir)).select("guideline_id", F.explode("units").alias("u")).select("guideline_id", "u.*")
-    out = chunking.running_section(rows)
-    return out.select("guideline_id", F.col("page").cast("long").alias("page"), F.col("para").cast("long").alias("para"), F.md5("section_title").alias("section"), "in_references", F.col("words").cast("long").alias("words"))
+    return chunking.unit_rows(_paged(spark, sf_dir)).select("guideline_id", F.col("page").cast("long").alias("page"), F.col("para").cast("long").alias("para"), F.md5("section_title").alias("section"), "in_references", F.col("words").cast("long").alias("words"))
 
 
 _WC = r"len(regexp_extract_all(regexp_replace({0}, '[^\x00-\x7F\P{{L}}]', '_', 'g'), '\b[0-9A-Za-z][0-9A-Za-z''\-]*\b'))"

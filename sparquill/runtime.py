@@ -75,5 +75,31 @@ def _drop_all() -> None:
             return
 
 
+#: Tables below this many bytes stay as they are split.
+SMALL_BYTES = 4 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly if the files of ``df`` have fewer row groups than the session has cores.
+
+    A Parquet file is split at its row groups only, so a table of one large group is one task.  Tables of
+    many files or groups, and small ones, are returned as they are; only then are footers not even read.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL_BYTES:
+        return df
+    files = df.inputFiles()
+    if len(files) >= cores:
+        return df
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    groups = 0
+    for name in files:
+        footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)), conf))
+        groups += footer.getFooter().getBlocks().size()
+        footer.close()
+    return df if groups >= cores else df.repartition(cores)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))

@@ -89,3 +89,40 @@ def test_ids(spark):
     assert one(spark, "g_1_p00002", V.group_of_passage(F.lit(""), "x")) == "g_1"
     assert one(spark, "g_1_p00002", V.document_of_passage("x")) == "g"
     assert one(spark, [0.0, 0.0], V.unit("x"), "array<double>") == [0.0, 0.0]
+
+
+LINES = [
+    "", "References", "references are listed below", "Bibliography of all the works that we have cited in here", "1.2 Treatment of adults", "12", "Key Recommendations:", " scope ", "What now?", "A line that ends.", "a b c d e f g h i j K",
+    "Smith J, Jones K, Miller AB. et al. Journal of Care 2001; 2002; 2003; doi 10.1234/x https://a.b/c [1] [2, 3] [4-6]", "see www.x.org 1999 2010 2015 2016 2017", "étude clinique (a), (b); [c]: d.", "Ann Intern Med 10.1000/182 doi doi 2020", "x " * 200 + "Lancet",
+]
+
+
+def test_scores_and_headings_agree_in_both_forms(spark):
+    from sparquill.functions import reference_score as R
+
+    score, headings = R.Bibliography(), R.Headings()
+    rows = spark.createDataFrame(list(enumerate(LINES)), "k int, x string").select("k", R.reference_score("x").alias("s"), R.is_reference_heading("x").alias("r"), R.is_section_heading("x").alias("h")).collect()
+    for r in rows:
+        line = " ".join(LINES[r.k].split())
+        assert (r.s, r.r, r.h) == (score.score(line), headings.reference(line), headings.section(line, score.words(line)))
+
+
+def test_units_agree_in_both_forms(spark):
+    from sparquill.operators.chunking import units_of
+
+    for page in (None, "", " a.  b!\tc? d", "one\r\ntwo \n\n three.\n four\x0b.  \x0b\n\x0bfive", "hy-\nphen. 。 x。y。 z"):
+        assert units_of(page) == [" ".join(u.split()) for u in one(spark, page, X.units("x"))]
+
+
+def test_one_row_group_is_spread(spark, tmp_path, monkeypatch):
+    from sparquill import runtime
+
+    rows = spark.range(0, 4000, 1, 1).withColumn("t", F.repeat(F.col("id").cast("string"), 40))
+    rows.write.parquet(f"{tmp_path}/one.parquet")
+    rows.repartition(9).write.parquet(f"{tmp_path}/many.parquet")
+    assert runtime.read(spark, str(tmp_path), "one").rdd.getNumPartitions() == 1  # too small to matter
+    monkeypatch.setattr(runtime, "SMALL_BYTES", 0)
+    whole = runtime.read(spark, str(tmp_path), "one")
+    assert whole.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and whole.count() == 4000
+    many = runtime.read(spark, str(tmp_path), "many")
+    assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
