@@ -2,12 +2,15 @@
 
 Candidates are assigned values (password=..., token: "...") and long unbroken strings with digits.
 The forest is trained here on labelled findings that :func:`labelled_findings` writes by rule, from
-length, character transitions, dictionary coverage, path and neighbouring words.
+length, character transitions, dictionary coverage (by the words of a public tokenizer's vocabulary),
+path and neighbouring words.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.llm._runtime import read, sliced, text_columns
+from sparquill.llm.tokens import TOKENIZER
 
 CUT = 0.5
 TREES, DEPTH = 40, 9
@@ -29,8 +33,8 @@ _PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
 _WORD = re.compile(r"[A-Za-z]{3,}")
 _SECRET_WORDS = frozenset("password passwd pwd secret token key apikey auth credential credentials access private bearer aws login".split())
 _HARMLESS_WORDS = frozenset("example sample test dummy placeholder sha sha1 sha256 md5 hash checksum commit revision digest uuid guid version isbn license integrity id build image layer".split())
-#: Common English words for dictionary coverage.
-_DICTIONARY = frozenset(
+#: Common English words that findings of the training table are made of.
+_COMMON = tuple(
     """about access account admin after again change code come could data default demo early empty enter example false field file find first from
     general good great group hello here home house insert invalid license line local make model more name never none null number open order other
     page pass place please point private public right same sample school secret server should small some state still string system table test that
@@ -57,6 +61,18 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
+@lru_cache(2)
+def dictionary(name: str = TOKENIZER) -> frozenset[str]:
+    """Words and word ends of four letters or more in a public tokenizer's vocabulary (a path, or a name of ``public_tokenizers``)."""
+    if not os.path.isabs(name):
+        import public_tokenizers
+
+        name = public_tokenizers.path(name)
+    with open(name, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    return frozenset(w for t in vocab if t.endswith("</w>") and len(w := t[:-4]) >= 4 and w.isascii() and w.isalpha())
+
+
 def _class(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
@@ -69,7 +85,8 @@ def features(value: str, before: str, after: str, path: str, kind: str) -> list[
     letter_digit = sum({a, b} in ({0, 2}, {1, 2}) for a, b in zip(classes, classes[1:], strict=False)) / max(1, n - 1)
     counts = Counter(value)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    covered = sum(len(w) for w in _WORD.findall(value) if w.lower() in _DICTIONARY)
+    known = dictionary()
+    covered = sum(len(w) for w in _WORD.findall(value) if w.lower() in known)
     vowels = sum(c in "aeiouAEIOU" for c in value) / max(1, sum(c.isalpha() for c in value))
     longest = max((len(w) for w in _WORD.findall(value)), default=0)
     near = {w.lower() for w in _WORD.findall(before[-40:]) + _WORD.findall(after[:24])}
@@ -89,7 +106,7 @@ def labelled_findings(n: int = 2400, seed: int = 5) -> list[tuple[str, str, str,
     pick = lambda alphabet, k: "".join(r.choice(alphabet) for _ in range(k))
     lower, digits, hexa = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
     full = lower + lower.upper() + digits
-    words = sorted(_DICTIONARY)
+    words = sorted(_COMMON)
 
     def filler() -> str:
         return " ".join(pick("aeinorstdlhu", r.randint(2, 9)) for _ in range(r.randint(1, 5)))
@@ -214,6 +231,8 @@ def secrets(docs: DataFrame, forest: RandomForest | None = None, cut: float = CU
 
     ``findings`` hold every candidate: start, end (code points, end exclusive), kind, score and whether it
     is a secret (score of at least ``cut``; PEM private keys always).  Null and empty texts have none.
+    Repeated rows each get a row, ids are not looked at; without a ``path`` column paths are empty; other
+    extra columns are ignored; an empty table gives an empty result.
     """
     forest = forest or trained()
     struct = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64()), ("secret", pa.bool_())]))
