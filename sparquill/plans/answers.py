@@ -43,6 +43,20 @@ PARSED = f"""
 WITH l AS (SELECT a.idx, CASE WHEN a.idx % 7 = 0 THEN 'line is not JSON' WHEN a.idx % 11 = 3 THEN 'bad custom_id' WHEN a.idx % 7 = 4 THEN 'empty output' WHEN a.idx % 7 = 3 THEN 'no JSON object' ELSE 'ok' END AS state, a.idx % 7 IN (1, 2, 5, 6) AS has, a.answer FROM ({ANSWERED}) a)
 SELECT state, count(*) AS n, sum(CASE WHEN has THEN length(answer) END)::BIGINT AS chars, CASE WHEN sum(has::INT) > 0 THEN sum(CASE WHEN has THEN 2 ELSE 0 END) END::BIGINT AS sentences FROM l GROUP BY state
 """
+
+
+def joined_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses joined to their rows, some of which are missing, and the failed ones with their reason."""
+    source = derived(spark, sf_dir, ANSWERED, "conversations").where("idx % 13 <> 5").select(F.col("idx").alias("row_idx"), "answer")
+    ok, failed = K.joined(K.responses(derived(spark, sf_dir, LINES, "conversations").select("line"), K.ANSWER), source)
+    rows = ok.select("row_idx", F.lit("ok").alias("state"), F.md5("source.answer").alias("answer"))
+    return rows.unionByName(failed.select("row_idx", F.col("error").alias("state"), F.lit(None).cast("string").alias("answer")))
+
+
+JOINED = f"""
+WITH l AS (SELECT a.idx, CASE WHEN a.idx % 7 = 0 THEN 'line is not JSON' WHEN a.idx % 11 = 3 THEN 'bad custom_id' WHEN a.idx % 7 = 4 THEN 'empty output' WHEN a.idx % 7 = 3 THEN 'no JSON object' WHEN a.idx % 13 = 5 THEN 'row out of range' ELSE 'ok' END AS state, a.answer FROM ({ANSWERED}) a)
+SELECT CASE WHEN state NOT IN ('line is not JSON', 'bad custom_id') THEN idx END AS row_idx, state, CASE WHEN state = 'ok' THEN md5(answer) END AS answer FROM l
+"""
 #: Model output as strings: clean, wrapped, broken, arrays.
 RAW = """
 SELECT event_id, CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN concat('Sure: ', props, ' bye') WHEN 2 THEN concat('[', props, ']') WHEN 3 THEN '{"a": ' WHEN 4 THEN '' ELSE concat('text ', CAST(event_id AS VARCHAR(20))) END AS raw, props FROM events
@@ -290,8 +304,38 @@ SELECT doc_id, round(len(list_intersect(list_distinct([a, b]), list_distinct([b,
 FROM (SELECT doc_id, doc_id % 3 AS a, doc_id % 5 AS b, doc_id % 7 AS c FROM documents)
 """
 
+#: Passages that hold some of four words; claims of them, an empty one, and a repeated fact id.
+CLAIMED = """
+SELECT doc_id, concat('alpha', CASE WHEN doc_id % 2 = 0 THEN ' beta' ELSE '' END, CASE WHEN doc_id % 3 = 0 THEN ' gamma' ELSE '' END, CASE WHEN doc_id % 7 = 0 THEN ' delta' ELSE '' END) AS t,
+  CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE 'gamma Delta' END AS c2, CASE WHEN doc_id % 11 = 0 THEN 's1_a1' ELSE 's1_a3' END AS id3 FROM documents
+"""
+
+
+def evaluated_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of every item with the verdict on them: each distinct (premise, claim) is asked once, the last verdict of a repeated id counts."""
+    from sparquill.operators.models import containment_entailment
+
+    d = derived(spark, sf_dir, CLAIMED, "documents")
+    passage = F.struct(F.lit(1).alias("pid"), *(F.lit(v).alias(k) for k, v in (("passage_id", "p"), ("guideline_id", "g"), ("main_topic", "m"), ("section", "s"))), F.col("t").alias("text"))
+    fact = lambda i, c: F.struct(i.alias("atomic_fact_id"), c.alias("fact"), F.lit(1).alias("source_sentence_id"), F.lit("direct_answer").alias("source_sentence_role"), F.array(F.lit(1)).alias("citation_ids"), F.array(passage).alias("cited_passages"))
+    facts = F.array(fact(F.lit("s1_a1"), F.lit("Alpha beta gamma delta")), fact(F.lit("s1_a2"), F.col("c2")), fact(F.col("id3"), F.lit("alpha")))
+    items = d.select(F.col("doc_id").alias("item_id"), F.lit("other").alias("question_type"), facts.alias("atomic_facts_flat"), F.array(passage).alias("passages"))
+    rows = E.augmented(items, E.verified(E.claims(items), containment_entailment())).select("item_id", F.explode("evaluated_facts").alias("f"))
+    return rows.select("item_id", F.col("f.ordinal").cast("long").alias("ordinal"), "f.atomic_fact_id", "f.claim", "f.evaluation.filter_reason", F.col("f.evaluation.joint_entailment").cast("long").alias("verdict"), F.col("f.evaluation.joint_raw_output").alias("raw_output"))
+
+
+EVALUATED = f"""
+WITH d AS (SELECT doc_id AS item_id, trim(c2) AS c2, id3, (1 + (doc_id % 2 = 0)::INT + (doc_id % 3 = 0)::INT + (doc_id % 7 = 0)::INT >= 3)::BIGINT AS v1, (doc_id % 21 = 0)::BIGINT AS v2 FROM ({CLAIMED})
+), f AS (
+  SELECT item_id, 0 AS ordinal, 's1_a1' AS atomic_fact_id, 'Alpha beta gamma delta' AS claim, 'kept' AS filter_reason, CASE WHEN id3 = 's1_a1' THEN 1 ELSE v1 END AS verdict FROM d
+  UNION ALL SELECT item_id, 1, 's1_a2', c2, CASE WHEN c2 = '' THEN 'empty_claim' ELSE 'kept' END, CASE WHEN c2 <> '' THEN v2 END FROM d
+  UNION ALL SELECT item_id, 2, id3, 'alpha', 'kept', 1 FROM d
+)
+SELECT item_id, ordinal::BIGINT AS ordinal, atomic_fact_id, claim, filter_reason, verdict::BIGINT AS verdict, verdict::VARCHAR AS raw_output FROM f
+"""
+
 QUERIES = {
-    "parsed_responses": (parsed_responses, PARSED), "repaired_json": (repaired_json, REPAIRED), "citation_marks": (citation_marks, CITATION_MARKS), "valid_answers": (valid_answers, VALID_ANSWERS), "atomic_facts": (atomic_facts, ATOMIC_FACTS),
+    "joined_responses": (joined_responses, JOINED), "evaluated_facts": (evaluated_facts, EVALUATED), "parsed_responses": (parsed_responses, PARSED), "repaired_json": (repaired_json, REPAIRED), "citation_marks": (citation_marks, CITATION_MARKS), "valid_answers": (valid_answers, VALID_ANSWERS), "atomic_facts": (atomic_facts, ATOMIC_FACTS),
     "fact_evidence": (fact_evidence, FACT_EVIDENCE), "item_rates": (item_rates, ITEM_RATES), "data_set_rates": (data_set_rates, DATA_SET_RATES), "role_rates": (role_rates, ROLE_RATES), "claim_rollup": (claim_rollup, CLAIM_ROLLUP), "role_maps": (role_maps, ROLE_MAPS),
     "skip_reasons": (skip_reasons, SKIP_REASONS), "valid_questions": (valid_questions, VALID_QUESTIONS), "valid_seeds": (valid_seeds, VALID_SEEDS), "request_lines": (request_lines, REQUEST_LINES), "id_overlap": (id_overlap, ID_OVERLAP),
 }

@@ -237,16 +237,29 @@ FROM good WHERE score < 0.75
 """
 
 
-def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, counts = chunking.passages(_paged(spark, sf_dir), **_CHUNKING)
-    return chunking.corpus_totals(counts).select("num_documents", "num_pages", "removed_by_ref_heading_zone")
+    return counts.select("guideline_id", *(F.col(c).cast("long").alias(c) for c in counts.columns if c not in ("guideline_id", "source_pdf")))
 
 
-CHUNK_COUNTS = UNITS_SQL + """
-, o AS (SELECT guideline_id, is_ref, row_number() OVER (PARTITION BY guideline_id ORDER BY page, para) AS k FROM f)
-, x AS (SELECT guideline_id, count(*) AS n, min(CASE WHEN is_ref THEN k END) AS stop FROM o GROUP BY guideline_id)
-SELECT (SELECT count(*) FROM documents) AS num_documents, (SELECT 3 * count(*) FROM documents) AS num_pages, coalesce(sum(n - stop + 1), 0)::BIGINT AS removed_by_ref_heading_zone FROM x
+#: The steps of CHUNKED, counted per document.
+DOCUMENT_COUNTS = CHUNKED[: CHUNKED.rindex("\nSELECT guideline_id")] + """
+, n AS (SELECT guideline_id, count(*) AS raw, count(*) FILTER (WHERE score < 0.75) AS kept FROM raw GROUP BY guideline_id
+), g AS (SELECT guideline_id, count(*) AS merged, count(*) FILTER (WHERE score < 0.75) AS good FROM good GROUP BY guideline_id
+), x AS (SELECT guideline_id, count(*) AS units FROM o GROUP BY guideline_id)
+SELECT format('g{:06d}', doc_id) AS guideline_id, 3::BIGINT AS num_pages, coalesce(raw, 0)::BIGINT AS num_raw_candidate_chunks, coalesce(units - stop + 1, 0)::BIGINT AS removed_by_ref_heading_zone, coalesce(raw - kept, 0)::BIGINT AS removed_by_regex_ref,
+  coalesce(kept, 0)::BIGINT AS num_kept_chunks_before_tail_merge, coalesce(merged - good, 0)::BIGINT AS removed_by_regex_ref_after_tail_merge, coalesce(good, 0)::BIGINT AS num_kept_chunks_after_tail_merge
+FROM documents d LEFT JOIN n ON n.guideline_id = format('g{:06d}', doc_id) LEFT JOIN g ON g.guideline_id = format('g{:06d}', doc_id) LEFT JOIN x ON x.guideline_id = format('g{:06d}', doc_id) LEFT JOIN cut ON cut.guideline_id = format('g{:06d}', doc_id)
 """
+_TOTALS = ("num_pages", "num_raw_candidate_chunks", "removed_by_ref_heading_zone", "removed_by_regex_ref", "num_kept_chunks_before_tail_merge", "removed_by_regex_ref_after_tail_merge", "num_kept_chunks_after_tail_merge")
+
+
+def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, counts = chunking.passages(_paged(spark, sf_dir), **_CHUNKING)
+    return chunking.corpus_totals(counts).select("num_documents", *_TOTALS)
+
+
+CHUNK_COUNTS = f"SELECT count(*) AS num_documents, {', '.join(f'sum({c})::BIGINT AS {c}' for c in _TOTALS)} FROM ({DOCUMENT_COUNTS})"
 NAMED = """
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN concat(source, '_p', CAST(doc_id AS VARCHAR(20))) WHEN doc_id % 3 = 1 THEN concat('x', CAST(doc_id AS VARCHAR(20))) ELSE '' END AS pid, CASE WHEN doc_id % 4 = 0 THEN source ELSE '' END AS gid,
   CASE WHEN doc_id % 5 = 0 THEN 'passage-x' ELSE concat('passage-', CAST(doc_id AS VARCHAR(20))) END AS custom, concat('/data/job_0000', CAST(10 + doc_id % 80 AS VARCHAR(9)), '_000', CAST(100 + doc_id % 800 AS VARCHAR(9)), '.jsonl') AS file FROM documents
@@ -278,5 +291,5 @@ ROW_SLICE = "SELECT doc_id AS row_idx, source FROM documents WHERE doc_id >= 100
 
 QUERIES = {
     "word_counts": (word_counts, WORD_COUNTS), "clean_texts": (clean_texts, CLEAN_TEXTS), "sentence_rows": (sentence_rows, SENTENCE_ROWS), "tail_overlaps": (tail_overlaps, TAIL_OVERLAPS), "reference_scores": (reference_scores, REFERENCE_SCORES),
-    "reference_filter": (reference_filter, REFERENCE_FILTER), "headings": (headings, HEADINGS), "unit_sections": (unit_rows, UNIT_ROWS), "chunked_passages": (chunked_passages, CHUNKED), "chunk_counts": (chunk_counts, CHUNK_COUNTS), "passage_ids": (ids, IDS), "row_slice": (row_slice, ROW_SLICE),
+    "reference_filter": (reference_filter, REFERENCE_FILTER), "headings": (headings, HEADINGS), "unit_sections": (unit_rows, UNIT_ROWS), "chunked_passages": (chunked_passages, CHUNKED), "chunk_counts": (chunk_counts, CHUNK_COUNTS), "document_counts": (document_counts, DOCUMENT_COUNTS), "passage_ids": (ids, IDS), "row_slice": (row_slice, ROW_SLICE),
 }
