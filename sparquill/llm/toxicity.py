@@ -16,6 +16,7 @@ examples scored by an index of the other examples; the neighbours are the eviden
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
 from zlib import crc32
@@ -37,8 +38,8 @@ NEIGHBOURS = 15
 FOLDS = 5
 BLOCK = 64
 PREFIXES = (4, 5, 6, 7, 8)
-#: Terms with dense lists.
-DENSE = 1024
+#: Terms with dense lists.  Weights are kept in single precision: cosines hold to six digits.
+DENSE = 2048
 #: Documents scored together, and characters of a text whose words are held at once.
 BATCH, PIECE = 64, 1 << 20
 #: Examples that are scored for the calibration at most, and the parts they are dealt into.
@@ -81,9 +82,8 @@ class Bags:
 
     def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.terms: list[int] = []
-        self.ends = [0]
-        self.arrays = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self.terms = array("i")
+        self.ends = array("q", [0])
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, count) of every term of every text, in order of text and term; long texts go piece by piece."""
@@ -111,12 +111,10 @@ class Bags:
             new = [words[k] for k in missing.tolist()]
             for w in dict.fromkeys(new):
                 self.index[w] = len(self.index)
-                self.terms += terms_of(w)
+                self.terms.extend(terms_of(w))
                 self.ends.append(len(self.terms))
             at[missing] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
-            done = len(self.arrays[1])
-            self.arrays = np.concatenate((self.arrays[0], self.terms[len(self.arrays[0]) :])), np.concatenate((self.arrays[1], self.ends[done:]))
-        terms, ends = (x.astype(np.int64, copy=False) for x in self.arrays)
+        terms, ends = np.array(self.terms), np.array(self.ends)  # copies: the arrays go on growing
         key, count = np.unique(np.repeat(np.arange(len(texts)), n) * len(ends) + at, return_counts=True)
         text, word = np.divmod(key, len(ends))
         size = ends[word + 1] - ends[word]
@@ -168,12 +166,12 @@ class BlockMaxIndex:
         self.dense_terms = np.argsort(-many, kind="stable")[: min(DENSE, int((many > 0).sum()))]
         self.slot = np.full(TERMS, -1, np.int32)
         self.slot[self.dense_terms] = np.arange(len(self.dense_terms))
-        self.dense = np.zeros((len(self.dense_terms), self.n_blocks * BLOCK))
+        self.dense = np.zeros((len(self.dense_terms), self.n_blocks * BLOCK), np.float32)
         at, thick = place[text], self.slot[term] >= 0
         self.dense[self.slot[term[thick]], at[thick]] = w[thick]
         self.maxima = self.dense.reshape(len(self.dense_terms), self.n_blocks, BLOCK).max(axis=2, initial=0.0)
         lists = np.lexsort((at[~thick], term[~thick]))
-        self.rows, self.values = at[~thick][lists].astype(np.int32), w[~thick][lists]
+        self.rows, self.values = at[~thick][lists].astype(np.int32), w[~thick][lists].astype(np.float32)
         self.ends = np.concatenate(([0], np.cumsum(np.bincount(term[~thick], minlength=TERMS)))).astype(np.int32)
 
     def nearest(self, bag: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -183,13 +181,20 @@ class BlockMaxIndex:
             return np.full((n, k), -1), np.zeros((n, k)), 0
         text, term, w = unit(bag, n, self.weight)
         slot = self.slot[term]
-        q = np.zeros((n, len(self.dense_terms)))
+        w = w.astype(np.float32)
+        q = np.zeros((n, len(self.dense_terms)), np.float32)
         q[text[slot >= 0], slot[slot >= 0]] = w[slot >= 0]
         first, size = self.ends[term], self.ends[term + 1] - self.ends[term]
-        stop = np.cumsum(size)
-        take = np.repeat(first - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+        some = (slot < 0) & (size > 0)
+        text, w, first, size = text[some], w[some], first[some], size[some]
+        stop = np.cumsum(size, dtype=np.int32)
+        take = np.repeat(first - (stop - size), size)
+        take += np.arange(len(take), dtype=np.int32)
         width = self.n_blocks * BLOCK
-        score = np.bincount(np.repeat(text * width, size) + self.rows[take], np.repeat(w, size) * self.values[take], n * width).astype(np.float64, copy=False).reshape(n, self.n_blocks, BLOCK)
+        cell, value = np.repeat(text * np.int32(width), size), np.repeat(w, size)
+        cell += self.rows[take]
+        value *= self.values[take]
+        score = np.bincount(cell, value, n * width).astype(np.float32).reshape(n, self.n_blocks, BLOCK)
         bound = score.max(axis=2) + q @ self.maxima
         floor, scored = np.zeros(n), np.zeros((n, self.n_blocks), bool)
         first_blocks = -(-k // BLOCK)
@@ -201,10 +206,10 @@ class BlockMaxIndex:
                 rows = np.flatnonzero(wanted[:, b])
                 score[rows, b] += q[rows] @ self.dense[:, b * BLOCK : (b + 1) * BLOCK]
             scored |= wanted
-            have = np.where(scored[:, :, None], score, 0.0).reshape(n, width)
+            have = np.where(scored[:, :, None], score, np.float32(0)).reshape(n, width)
             floor = -np.partition(-have, k - 1, axis=1)[:, k - 1]
-            wanted = ~scored & (bound >= floor[:, None] - 1e-9) & (bound > 0)
-        have = np.round(have, 12)
+            wanted = ~scored & (bound >= floor[:, None] - 1e-5) & (bound > 0)
+        have = np.round(have.astype(np.float64), 6)
         least = -np.partition(-have, k - 1, axis=1)[:, k - 1]
         row, at = np.nonzero((have >= least[:, None]) & (have > 0))
         order = np.lexsort((at, -have[row, at], row))
