@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: patterns of the data model ------------------------------------------------
 WORD_PATTERN = r"\b[0-9A-Za-z][0-9A-Za-z'\-]*\b"
@@ -139,10 +140,10 @@ def clean_list(c: Column | str) -> Column:
     return F.filter(F.transform(F.coalesce(col(c), F.array().cast("array<string>")), norm_ws), lambda x: F.length(x) > 0)
 
 
-def scalar_or_list(scalar: Column | str, items: Column | str) -> Column:
-    """A list from a field that is either a list or one value."""
-    one = norm_ws(scalar)
-    return F.when(col(items).isNotNull(), clean_list(items)).when(F.length(one) > 0, F.array(one)).otherwise(F.array().cast("array<string>"))
+def items_of(df: DataFrame, c: str) -> Column:
+    """Items of a column that is a list, or the one value of a column that is none; blank ones dropped."""
+    listed = isinstance(df.schema[c].dataType, T.ArrayType)
+    return clean_list(c) if listed else clean_list(F.array(col(c).cast("string")))
 
 
 def distinct_ignoring_case(c: Column | str) -> Column:

@@ -52,12 +52,19 @@ def pools(member_rows: DataFrame) -> DataFrame:
 def conflicts(pool_rows: DataFrame, max_jaccard: float) -> DataFrame:
     """Pairs of pools ``(a, b)``, keys in order, whose member sets have at least that Jaccard similarity (above zero).
 
-    An inverted index on members: only pools that share one meet.
+    An inverted index on the rarest members of each pool: two sets that are similar enough share one of the
+    first ``n - ceil(t n) + 1`` members in any one order, so a passage of very many pools makes no pairs.
     """
-    own = pool_rows.select("key", F.array_distinct("passage_ids").alias("ids")).select("key", F.size("ids").alias("n"), F.explode("ids").alias("id"))
-    other = own.select(F.col("key").alias("b"), F.col("n").alias("m"), "id")
-    shared = own.join(other, "id").where("key < b").groupBy(F.col("key").alias("a"), "b", "n", "m").agg(F.count("*").alias("c"))
-    return shared.where(F.col("c") / (F.col("n") + F.col("m") - F.col("c")) >= max_jaccard).select("a", "b")
+    own = pool_rows.select("key", F.array_distinct("passage_ids").alias("ids")).withColumn("n", F.size("ids"))
+    rows = own.select("key", "n", F.explode("ids").alias("id"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("count", "id"))
+    needed = lambda n: F.ceil(n * F.lit(float(max_jaccard)) - 1e-9)
+    rare = rows.join(rows.groupBy("id").count(), "id").withColumn("r", place).where(F.col("r") <= F.col("n") - needed(F.col("n")) + 1).select("key", "n", "id")
+    other = rare.select(F.col("key").alias("b"), F.col("n").alias("m"), "id")
+    pairs = rare.join(other, "id").where("key < b").where((F.col("m") >= needed(F.col("n"))) & (F.col("n") >= needed(F.col("m")))).select(F.col("key").alias("a"), "b").distinct()
+    both = pairs.join(own.select(F.col("key").alias("a"), F.col("ids").alias("x")), "a").join(own.select(F.col("key").alias("b"), F.col("ids").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared / (F.size("x") + F.size("y") - shared) >= max_jaccard).select("a", "b")
 
 
 def without_near_duplicates(pool_rows: DataFrame, max_jaccard: float, max_rounds: int = 200) -> DataFrame:

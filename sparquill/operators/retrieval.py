@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparquill.functions.text import clean_list, cut_at_word, distinct_ignoring_case, first_text, join_list, norm_ws, text
+from sparquill.functions.text import clean_list, cut_at_word, distinct_ignoring_case, first_text, items_of, join_list, norm_ws, text
 from sparquill.functions.values import document_of_passage, padded_id
 
 
@@ -49,7 +49,7 @@ def index_rows(seeds: DataFrame, only_usable: bool = True, keep_text: bool = Fal
     rows = seeds.withColumn("_pid", F.when(F.length(pid) > 0, pid).otherwise(padded_id("passage_", "row_idx")))
     first = rows.groupBy("_pid").agg(F.min("row_idx").alias("row_idx"))  # partial: a hot id is one row per task
     rows = rows.join(first, ["_pid", "row_idx"], "left_semi")
-    keywords = [clean_list(c) for c in _have(rows, "patient_language_keywords", "patient_keywords", "keywords", "question_angles", "angles")]
+    keywords = [items_of(rows, c) for c in _have(rows, "patient_language_keywords", "patient_keywords", "keywords", "question_angles", "angles")]
     merged = F.array_join(F.slice(distinct_ignoring_case(F.concat(*keywords)), 1, 20), "; ") if keywords else F.lit("")
     source = norm_ws(_field(rows, "source_text", "text", "passage_text", "content", "chunk_text"))
     embed = _labelled(("Topic: ", norm_ws(_field(rows, "main_topic"))), ("Summary: ", norm_ws(_field(rows, "semantic_summary"))), ("Patient keywords: ", merged), ("Guideline passage: ", source))
@@ -67,7 +67,7 @@ def question_text(df: DataFrame) -> Column:
 
 
 def _anchored(df: DataFrame, label: str, most: int) -> Column:
-    lists = [clean_list(c) for c in _have(df, "retrieval_anchor_terms", "patient_keywords")]
+    lists = [items_of(df, c) for c in _have(df, "retrieval_anchor_terms", "patient_keywords")]
     terms = F.array_join(F.slice(distinct_ignoring_case(F.concat(*lists)), 1, most), "; ") if lists else F.lit("")
     return F.when(F.length(terms) > 0, F.concat(question_text(df), F.lit(label), terms)).otherwise(question_text(df))
 

@@ -189,3 +189,21 @@ def test_models_and_verdicts(spark):
     assert evaluation.individually(evaluation.claims(items), models.containment_entailment()).count() == 2
     assert evaluation.augmented(items, checked).count() == 2
     assert evaluation.summary(evaluation.per_item(items, checked)).first().num_items_without_evaluated == 1
+
+
+def test_one_keyword_or_several(spark):
+    rows = spark.createDataFrame([(0, "p", "text", " BP "), (1, "q", "text", None)], "row_idx long, passage_id string, text string, keywords string")
+    got = {r.passage_id: r.embedding_text for r in retrieval.index_rows(rows).collect()}
+    assert "Patient keywords: BP" in got["p"] and "Patient keywords" not in got["q"]
+
+
+@pytest.mark.parametrize("least", [0.2, 0.5, 0.55, 1.0])
+def test_conflicts_against_all_pairs(spark, least):
+    import random
+
+    r = random.Random(3)
+    sets = [[0, *r.sample(range(1, 9), r.randint(1, 6))] for _ in range(60)] + [[0], [0], [1, 1, 2]]  # passage 0 is in nearly all
+    rows = spark.createDataFrame(list(enumerate(sets)), "key int, passage_ids array<int>")
+    jaccard = lambda x, y: len({*x} & {*y}) / len({*x} | {*y})
+    want = {(a, b) for b in range(len(sets)) for a in range(b) if jaccard(sets[a], sets[b]) >= least}
+    assert {(x.a, x.b) for x in pools.conflicts(rows, least).collect()} == want
