@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import read, sliced, text_columns, write_table
+from sparquill.llm._runtime import cuts, read, sliced, text_columns, write_table
 from sparquill.llm.components import connected_components, joined_with_least
 
 SHINGLE_WORDS = 4
@@ -39,27 +39,38 @@ MAX_BITS = 4
 GENERATOR = 0xAE3
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 HALF = 11
+#: Characters of a text whose words are held at once.
+PIECE = 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 # --- fingerprints ---------------------------------------------------------------------------
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
-    """Unsigned 64-bit SimHash of the whole text; zero if it has no words."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return 0
-    k = min(shingle_words, len(words))
+    """Unsigned 64-bit SimHash of the whole text; zero if it has no words.  The words of a long text are held piece by piece."""
+    ones, n = np.zeros(64, np.int64), 0
+    words: list[bytes] = []
+    for piece in cuts(text or "", PIECE):
+        words += piece.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+        if len(words) >= shingle_words:
+            n += _counted(words, shingle_words, ones)
+            words = words[len(words) - shingle_words + 1 :]
+    if not n and words:
+        n = _counted(words, len(words), ones)
+    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+
+
+def _counted(words: list[bytes], k: int, ones: np.ndarray) -> int:
+    """Adds the set bits of the hashes of all ``k``-word shingles to ``ones``; how many shingles."""
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = len(words) - k + 1
     slices = [joined[s:e] for s, e in zip(starts[:n].tolist(), ends[k - 1 :].tolist(), strict=True)]
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, slices, repeat(SEED)), np.uint64, n)
-    ones = np.zeros(64, np.int64)
     for at in range(0, n, 65536):
         block = hashes[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    return n
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

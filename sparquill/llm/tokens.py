@@ -14,7 +14,11 @@ from itertools import repeat
 
 import numpy as np
 
+from sparquill.llm._runtime import cuts
+
 TOKENIZER = "word_bpe_49k.json"
+#: Characters of a text whose words are held at once.
+PIECE = 1 << 20
 #: Separators only Python splits at, letters it lowers by context, and the start of special tokens.
 _ODD = re.compile("[\x1c-\x1fΣİ]|<\\|")
 
@@ -92,7 +96,13 @@ class CachedTokenizer:
             self._put_each(rest[at : at + 10_000])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, length of each); null counts as empty."""
+        """(ids of all texts in a row, length of each); null counts as empty; the words of a long text are held piece by piece."""
+        if any(text and len(text) > PIECE for text in texts):
+            parts = [[self._encode([piece])[0] for piece in cuts(text or "", PIECE)] for text in texts]
+            return np.concatenate([p for own in parts for p in own]), np.array([sum(map(len, own)) for own in parts], np.int64)
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         words: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         whole: dict[int, np.ndarray] = {}

@@ -75,3 +75,18 @@ def test_leaves_are_recalled():
         for row, leaf in zip(*(v.tolist() for v in forest.leaves(y, t)), strict=True):
             met[row] |= leaf in own[row]
     assert met.mean() > 0.999
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1e200, 0.0]), (3, [2e200, 0.0]), (4, [1e-200, 0.0]), (5, [0.0, 1e-200]), (6, [0.0, 5e-324]), (7, [1e308, 1e308])]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in E.near_duplicates(table(spark, rows, "double")).collect())
+    assert got == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 1, 5), (6, 1, 5), (7, 0, 7)]
+
+
+def test_components_of_a_hub(spark):
+    """A star of many leaves, a chain and lone pairs, by the smallest node."""
+    from sparquill.llm.components import connected_components
+
+    edges = [(5000, k) for k in range(1, 1200)] + [(k, k + 1) for k in range(6000, 6040)] + [(7000, 7001), (7003, 7002), (7004, 7004), (None, 3)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {5000: 1, **{k: 1 for k in range(1, 1200)}, **{k: 6000 for k in range(6000, 6041)}, 7000: 7000, 7001: 7000, 7002: 7002, 7003: 7002}

@@ -28,6 +28,15 @@ def test_cached_ids_are_the_tokenizers(plain):
             assert flat.tolist() == [i for e in expected for i in e]
 
 
+def test_pieces_of_long_texts(plain, monkeypatch):
+    from sparquill.llm import tokens
+
+    monkeypatch.setattr(tokens, "PIECE", 9)
+    flat, lengths = CachedTokenizer().encode([*TEXTS, None])
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in TEXTS] + [[]]
+    assert lengths.tolist() == [len(e) for e in expected] and flat.tolist() == [i for e in expected for i in e]
+
+
 def check(rows, expected, window=2048):
     """expected: multiset of (doc_id, ids with the end id)."""
     by_doc, by_seq = {}, {}

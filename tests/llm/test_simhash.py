@@ -94,3 +94,11 @@ def test_edges(spark):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.component_id if r.component_id is not None else -1) for r in rows)
     assert got == [(-1, -1), (-1, 7), (1, 1), (2, 1), (3, 1), (7, 7), (7, 7)]
     assert S.near_duplicates(docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("piece", [1, 7, 50])
+def test_pieces_of_long_texts(monkeypatch, piece):
+    monkeypatch.setattr(S, "PIECE", piece)
+    r = random.Random(9)
+    texts = [" ".join("ab"[r.randrange(2)] * r.randint(1, 4) for _ in range(n)) for n in (0, 1, 3, 4, 5, 40)] + ["  x\ty \x0b z  w", "q" * 99]
+    assert [S.fingerprint(t) for t in texts] == [naive(t) for t in texts]
