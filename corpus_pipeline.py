@@ -23,16 +23,6 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return selected(docs, train(docs, read(spark, sf_dir, "labels")))
 
 
-def _distinct(docs: DataFrame) -> DataFrame:
-    """One row per id and text: of the rows of repeated ids alone, which are few, the texts are moved."""
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = F.min(F.struct(*(F.col(f"`{c}`") for c in rest))) if rest else F.lit(None)
-    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(least.alias("least"))
-    one = one.select(*(F.col(c) if c in ("doc_id", "text") else F.col("least").getField(c).alias(c) for c in docs.columns))
-    return docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
-
-
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays.
 
@@ -42,10 +32,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     fingerprint zero and are copies of each other.
     """
     found = near_duplicates(docs).where("doc_id IS NOT NULL")
-    stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    gone = stays.where(~F.col("stays")).select("doc_id")
-    named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return _distinct(named).unionByName(docs.where("doc_id IS NULL"))
+    flagged = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("_near_dedup_stays"), (F.count("*") > 1).alias("_near_dedup_again"))
+    flagged = flagged.where("NOT _near_dedup_stays OR _near_dedup_again")
+    named = docs.where("doc_id IS NOT NULL").join(flagged, "doc_id", "left")  # the texts are moved once, by id
+    single = named.where("_near_dedup_stays IS NULL").select(*docs.columns)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    again = named.where("_near_dedup_stays AND _near_dedup_again").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_near_dedup_stays"), *rest)).alias("_near_dedup_again"))
+    least = [F.col(c) if c in ("doc_id", "text") else F.col("_near_dedup_again").getField(c).alias(c) for c in docs.columns]
+    return single.unionByName(again.select(*least)).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
