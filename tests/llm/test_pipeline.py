@@ -3,6 +3,7 @@
 from zlib import crc32
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from sparquill.llm import pii, quality
@@ -61,6 +62,29 @@ def test_repeated_rows_and_nulls(spark):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """Null ids, rows equal but for other columns, ids that repeat with other texts, columns with clashing names."""
+    far = [" ".join(f"{w}{k}" for k in range(60)) for w in ("red", "blue", "green")]
+    rows = [(1, far[0], 9), (1, far[0], 4), (1, far[1], 7), (2, far[0], 1), (3, far[2], 5), (3, far[2], 5), (4, far[1], 2), (None, far[2], 3), (None, None, 8), (5, None, 1), (6, "", 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, fp int").withColumn("component_id", F.lit("x")).withColumn("keep", F.array(F.lit(1)))
+    out = P.near_dedup(spark, d, SMALL)
+    assert out.columns == d.columns and out.schema.simpleString() == d.schema.simpleString()
+    got = sorted(((r.doc_id, r.text, r.fp) for r in out.collect()), key=str)
+    assert got == sorted([(1, far[0], 4), (1, far[1], 7), (3, far[2], 5), (None, far[2], 3), (None, None, 8), (5, None, 1)], key=str)
+
+
+def test_clashing_columns_and_long_texts(spark):
+    """Every stage but the last keeps the columns it was given, whatever their names; an unbroken and a long text pass."""
+    d = documents(spark, SMALL).limit(20).select("*", F.lit("x").alias("items"), F.lit(1).alias("row"), F.lit(2).alias("block"), F.lit("y").alias("hits"), F.lit(0.5).alias("score"))
+    long = spark.createDataFrame([(10**6, "q7" * 60_000, "en", "s", 1, "x", 1, 2, "y", 0.5), (10**6 + 1, "some words here " * 30_000, "en", "s", 1, "x", 1, 2, "y", 0.5)], d.schema)
+    d = d.unionByName(long)
+    for name, stage in P.STAGES[:-1]:
+        assert stage(spark, d, SMALL).columns == d.columns, name
+        stage(spark, d, SMALL).write.format("noop").mode("overwrite").save()
+    packed = P.packing(spark, d, SMALL)
+    assert packed.where("doc_id = 1000001").selectExpr("sum(length)").first()[0] == packed.where("doc_id = 1000001").first().doc_tokens
+
+
 def test_run(spark):
     rows = P.run(spark, SMALL).collect()
     assert rows and [n for n, _ in P.STAGES] == ["quality", "near_dedup", "decontaminate", "pii", "packing"]
