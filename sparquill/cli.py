@@ -132,7 +132,13 @@ def build_pools(spark: SparkSession, a: argparse.Namespace) -> None:
 def build_index(spark: SparkSession, a: argparse.Namespace) -> None:
     jsonl.refuse_nonempty(spark, a.out, a.overwrite)
     rows = retrieval.index_rows(_read(spark, a.input), not a.all_passages)
-    documents.write_index(models.hashing_encoder().with_vector(rows, "embedding_text"), a.out, a.overwrite)
+    encoder = models.hashing_encoder()
+    documents.write_index(encoder.with_vector(rows, "embedding_text"), a.out, a.overwrite)
+    if a.smoke_query:
+        asked = encoder.with_vector(spark.createDataFrame([(0, a.smoke_query)], "query_id long, text string"), "text", "vector")
+        index = documents.read_index(spark, a.out)
+        hits = vectors.search(index.select(F.col("row_idx").alias("id"), F.col("embedding").alias("vector")), asked, a.smoke_k)
+        hits.join(index.select(F.col("row_idx").alias("id"), "passage_id", "main_topic"), "id").orderBy("rank").select("rank", "score", "passage_id", "main_topic").show(a.smoke_k, truncate=80)
 
 
 def retrieve(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -195,7 +201,7 @@ def parser() -> argparse.ArgumentParser:
     command("submit", submit, ("client", ""), ("window", jobs.WINDOW))
     command("status", status, ("client", ""))
     command("pools", build_pools, ("min-passages", 15), ("max-passages", 30), ("min-similarity", 0.42), ("max-jaccard", 0.55), ("use-source", False), ("cross-guideline", False))
-    command("index", build_index, ("all-passages", False), ("overwrite", False))
+    command("index", build_index, ("all-passages", False), ("overwrite", False), ("smoke-query", ""), ("smoke-k", 5))
     p = command("retrieve", retrieve, ("recall-k", 50), ("out-k", 5), ("start", 0), ("limit", 0), ("document-chars", 2500), ("output-chars", 2000), ("recall-anchors", True), ("rerank-anchors", False))
     p.add_argument("--index", required=True)
     command("evaluate", evaluate, ("limit", -1), ("augmented", True), ("individual", False))

@@ -11,6 +11,7 @@ from sparquill.operators import evaluation as E
 from sparquill.operators import tasks as K
 from sparquill.operators import validation as V
 from sparquill.plans.passages import derived
+from sparquill.runtime import read
 
 #: Whole assistant turns as answers of three sentences, a third each, with citations in many forms; t1 and t2 hold the whole turn too; no quotes, backslashes or line ends.
 ANSWERED = """
@@ -294,6 +295,55 @@ FROM d WHERE q <> '' AND t <> ''
 """
 
 
+_PASSAGES = """
+SELECT doc_id AS row_idx, CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE concat('p', CAST(doc_id AS VARCHAR(20))) END AS passage_id, source AS guideline_id, lang AS section_title, 1 AS page_start, 2 AS page_end, CAST(doc_id % 9 AS INT) AS word_count,
+  0.5 AS reference_list_score, CASE WHEN doc_id % 7 = 0 THEN '' ELSE text END AS text FROM documents
+"""
+
+
+def seed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of the annotation task; rows without an id or a text are skipped."""
+    d = derived(spark, sf_dir, _PASSAGES, "documents").withColumn("reference_list_score", F.lit("0.5"))
+    at = lambda path: F.get_json_object("line", path)
+    return K.requests(d, K.SEED, K.seed_prompt(), "m").select("row_idx", at("$.custom_id").alias("custom_id"), F.md5(at("$.body.input[1].content")).alias("prompt"))
+
+
+SEED_PROMPTS = rf"""
+SELECT row_idx, 'passage-' || row_idx AS custom_id, md5('passage_id: ' || passage_id || chr(10) || 'guideline_id: ' || guideline_id || chr(10) || 'section_title: ' || section_title || chr(10) || 'page_start: 1' || chr(10) || 'page_end: 2' || chr(10)
+  || 'word_count: ' || word_count || chr(10) || 'reference_list_score: 0.5' || chr(10) || chr(10) || 'Passage text:' || chr(10) || text) AS prompt
+FROM ({_PASSAGES}) WHERE passage_id <> ' ' AND {_WS.format("text")} <> ''
+"""
+
+
+def claim_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of the claims task: numbered sentences with what they cite; rows without a cited sentence are skipped."""
+    d = _facts(spark, sf_dir).select(F.col("idx").alias("row_idx"), F.concat(F.lit(" q  "), "idx").alias("question"), F.when(F.col("idx") % 4 > 0, F.col("cited")).otherwise(F.slice("cited", 1, 0)).alias("cited"))
+    at = lambda path: F.get_json_object("line", path)
+    return K.requests(d, K.CLAIMS, K.claims_prompt("cited"), "m").select("row_idx", at("$.body.max_output_tokens").cast("long").alias("most"), F.md5(at("$.body.input[1].content")).alias("prompt"))
+
+
+CLAIM_PROMPTS = ATOMIC_FACTS[: ATOMIC_FACTS.rindex("), f AS (")] + rf""")
+SELECT idx AS row_idx, 1600::BIGINT AS most, md5('Question: q ' || idx || chr(10) || chr(10) || string_agg('SENTENCE ' || sid || chr(10) || 'TEXT: ' || trim(regexp_replace({_WS.format("t")}, '\s*(?:\[\d+\])+\s*$', '')) || chr(10) || 'CITATIONS: [' || array_to_string(c, ', ') || ']', chr(10) || chr(10) ORDER BY sid)) AS prompt
+FROM s WHERE idx % 4 > 0 GROUP BY idx
+"""
+
+
+def formatted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time tags, rounded values, compact lists and compact JSON."""
+    from sparquill.functions.jsonio import compact
+    from sparquill.functions.text import compact_list
+
+    d = read(spark, sf_dir, "events")
+    items = F.array(F.concat(F.lit(" "), "event_type", F.lit("  x ")), F.lit(" "), F.col("props"), F.lit("y"))
+    return d.select("event_id", N.time_tag(F.col("ts")).alias("tag"), N.rounded(F.col("value") / 7, 3).alias("value"), compact_list(items, 3).alias("items"), compact(F.struct("event_id", "event_type")).alias("object"))
+
+
+FORMATTED = rf"""
+SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS tag, round(value / 7, 3) AS value, {_WS.format("event_type")} || ' x' || CASE WHEN {_WS.format("props")} <> '' THEN '; ' || {_WS.format("props")} ELSE '' END AS items,
+  '{{"event_id":' || event_id || ',"event_type":"' || event_type || '"}}' AS object FROM events
+"""
+
+
 def id_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = derived(spark, sf_dir, "SELECT doc_id, doc_id % 3 AS a, doc_id % 5 AS b, doc_id % 7 AS c FROM documents", "documents")
     return d.select("doc_id", F.round(N.jaccard(F.array("a", "b"), F.array("b", "c")), 9).alias("jaccard"), N.jaccard(F.array().cast("array<long>"), F.array("a")).alias("none"), F.round(N.rate(F.col("a"), F.col("b")), 9).alias("rate"))
@@ -335,7 +385,7 @@ SELECT item_id, ordinal::BIGINT AS ordinal, atomic_fact_id, claim, filter_reason
 """
 
 QUERIES = {
-    "joined_responses": (joined_responses, JOINED), "evaluated_facts": (evaluated_facts, EVALUATED), "parsed_responses": (parsed_responses, PARSED), "repaired_json": (repaired_json, REPAIRED), "citation_marks": (citation_marks, CITATION_MARKS), "valid_answers": (valid_answers, VALID_ANSWERS), "atomic_facts": (atomic_facts, ATOMIC_FACTS),
+    "seed_prompts": (seed_prompts, SEED_PROMPTS), "claim_prompts": (claim_prompts, CLAIM_PROMPTS), "formatted_values": (formatted_values, FORMATTED), "joined_responses": (joined_responses, JOINED), "evaluated_facts": (evaluated_facts, EVALUATED), "parsed_responses": (parsed_responses, PARSED), "repaired_json": (repaired_json, REPAIRED), "citation_marks": (citation_marks, CITATION_MARKS), "valid_answers": (valid_answers, VALID_ANSWERS), "atomic_facts": (atomic_facts, ATOMIC_FACTS),
     "fact_evidence": (fact_evidence, FACT_EVIDENCE), "item_rates": (item_rates, ITEM_RATES), "data_set_rates": (data_set_rates, DATA_SET_RATES), "role_rates": (role_rates, ROLE_RATES), "claim_rollup": (claim_rollup, CLAIM_ROLLUP), "role_maps": (role_maps, ROLE_MAPS),
     "skip_reasons": (skip_reasons, SKIP_REASONS), "valid_questions": (valid_questions, VALID_QUESTIONS), "valid_seeds": (valid_seeds, VALID_SEEDS), "request_lines": (request_lines, REQUEST_LINES), "id_overlap": (id_overlap, ID_OVERLAP),
 }

@@ -17,7 +17,7 @@ def answered(folder, requests, payload):
     return lines
 
 
-def test_one_stage_feeds_the_next(spark, tmp_path):
+def test_one_stage_feeds_the_next(spark, tmp_path, capfd):
     """Passages to support rates, each stage on the output of the one before."""
     docs = tmp_path / "docs"
     docs.mkdir()
@@ -50,7 +50,8 @@ def test_one_stage_feeds_the_next(spark, tmp_path):
     lines = answered(tmp_path / "res_question", tmp_path / "req_question", lambda x: question)
     assert f"guideline_id: {pool['guideline_id']}" in lines[0]["body"]["input"][1]["content"]
     take("question", f"{t}/pools/pools")
-    cli.main(["index", "--input", f"{t}/seed", "--out", f"{t}/index"])
+    cli.main(["index", "--input", f"{t}/seed", "--out", f"{t}/index", "--smoke-query", "care of topic3", "--smoke-k", "2"])
+    assert "passage_id" in capfd.readouterr().out
     cli.main(["retrieve", "--input", f"{t}/question", "--index", f"{t}/index", "--out", f"{t}/found", "--recall-k", "10", "--out-k", "3"])
 
     stage("answer", f"{t}/found")
