@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm._runtime import read, sliced, text_columns
+from sparquill.llm._runtime import read, sliced
 from sparquill.llm.tokens import TOKENIZER
 
 CUT = 0.5
