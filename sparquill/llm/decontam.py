@@ -80,10 +80,14 @@ def _posted(texts: list[str | None]) -> tuple[np.ndarray, bytes, np.ndarray, np.
 
 
 def _index(keep_rows: bool) -> Callable:
+    batch_column = "row" if keep_rows else "text"
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, block = zstandard.ZstdCompressor(1), TaskContext.get().partitionId() << 32
-        for batch in sliced(batches, "text", BLOCK_BYTES):
-            n_words, terms, counts, positions = _posted(batch.column(1).to_pylist())
+        for batch in sliced(batches, batch_column, BLOCK_BYTES):
+            own = batch.column(1)
+            texts = own.field(own.type.get_field_index("text")) if keep_rows else own
+            n_words, terms, counts, positions = _posted(texts.to_pylist())
             steps = np.diff(positions, prepend=0)
             heads = np.cumsum(counts) - counts
             steps[heads[counts > 0]] = positions[heads[counts > 0]]  # every list starts anew
@@ -94,7 +98,7 @@ def _index(keep_rows: bool) -> Callable:
             if keep_rows:
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, pa.schema([("row", batch.schema.field("row").type)])) as out:
-                    out.write_batch(pa.RecordBatch.from_arrays([batch.column(2)], names=["row"]))
+                    out.write_batch(pa.RecordBatch.from_arrays([own], names=["row"]))
                 rows = packer.compress(sink.getvalue())
             cols = [n_words.astype("<u4").tobytes(), packer.compress(terms), counts.astype("<u4").tobytes(), packer.compress(steps.astype("<u4").tobytes()), rows]
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([ids], pa.binary()), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "doc_ids", "n_words", "terms", "counts", "positions", "rows"])
@@ -109,8 +113,9 @@ def build_index(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
     Null texts have no words, null ids stay null, repeated rows are documents of their own; an empty table
     gives an empty index.  ``keep_rows`` stores the documents' columns with the block, compressed.
     """
-    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if keep_rows else []
-    at = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *row)
+    text = F.col("text").cast("string").alias("text")
+    given = F.struct(*(text if c == "text" else F.col(f"`{c}`") for c in docs.columns)).alias("row") if keep_rows else text
+    at = docs.select(F.col("doc_id").cast("long"), given)
     return write_table(at.mapInArrow(_index(keep_rows), _INDEX_DDL), "postings")
 
 
@@ -330,7 +335,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window_words: int = WIN
     """
     kind = None
     if keep_row:
-        kind = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).schema["row"].dataType.simpleString()
+        kind = "struct<" + ",".join(f"`{f.name}`:{'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema) + ">"
     return search(build_index(docs, keep_row), benchmark, window_words, chunk_bytes, kind)
 
 
