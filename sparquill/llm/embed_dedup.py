@@ -28,7 +28,7 @@ from sparquill.llm.components import connected_components, joined_with_least
 THRESHOLD = 0.95
 TREES = 4
 MARGIN = 0.03
-LEAF = 256
+LEAF = 480
 BLOCK = 4096
 #: Vectors that the forest is fitted on at most, and their bytes.
 SAMPLE, SAMPLE_BYTES = 16_384, 32 << 20
