@@ -1,6 +1,7 @@
 """Neighbours against plain cosine over whole texts, held-out accuracy and calibration, edges."""
 
 import random
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -31,6 +32,26 @@ def test_bags_count_all_terms(monkeypatch, piece):
         assert dict(zip(term[text == k].tolist(), count[text == k].tolist(), strict=True)) == bag_of(own)
 
 
+@pytest.mark.parametrize("words", [1 << 18, 7])
+def test_bags_hash_words_of_every_length(monkeypatch, words):
+    monkeypatch.setattr(t, "WORDS", words)
+    texts = ["", *("z" * n + " " + "é" * n + "-" + "ab" * n for n in range(1, 40)), *("Straße ΟΔΟΣ İx" for _ in range(300)), None, "\ud800 a"]
+    text, term, count = t.Bags()(texts)
+    for k, own in enumerate(texts):
+        assert dict(zip(term[text == k].tolist(), count[text == k].tolist(), strict=True)) == bag_of(own)
+
+
+def test_words_are_hashed_side_by_side():
+    r = random.Random(4)
+    texts = [" ".join("".join(r.choices("abcdefghij", k=r.randint(3, 12))) for _ in range(400)) for _ in range(256)]
+    start = time.process_time()
+    for own in texts:
+        bag_of(own)
+    plain = time.process_time() - start
+    t.Bags()(texts)
+    assert 3 * (time.process_time() - start - plain) < plain
+
+
 def cosines(texts, examples, weight):
     """Plain cosine of every text with every example."""
 
@@ -62,6 +83,21 @@ def test_nearest_are_exact(monkeypatch, dense, block):
         assert np.allclose(cosine[k][own], best[best > 1e-12]) and np.allclose(row[index.ids[position[k][own]] - 5], cosine[k][own])
 
 
+def test_cosines_are_double_and_the_same_in_any_batch():
+    r = random.Random(5)
+    make = lambda: " ".join("".join(r.choices("abcd", k=r.randint(2, 6))) for _ in range(r.randint(1, 60)))
+    examples, asked = [make() for _ in range(200)] + ["one two three"] * 100, [*(make() for _ in range(40)), "two three", "one two three"]
+    weight = np.random.default_rng(6).uniform(0.2, 3, t.TERMS)
+    index = t.BlockMaxIndex(t.Bags()(examples), np.zeros(300, bool), np.arange(300), weight)
+    position, cosine, _ = index.nearest(t.Bags()(asked), len(asked), 16)
+    for k, row in enumerate(cosines(asked, examples, weight)):
+        own = position[k] >= 0
+        assert np.allclose(cosine[k][own], np.sort(row[row > 0])[::-1][:16], rtol=1e-12, atol=0)
+        alone = index.nearest(t.Bags()([asked[k]]), 1, 16)
+        assert (alone[0][0] == position[k]).all() and (alone[1][0] == cosine[k]).all()
+    assert (np.diff(position[-1]) == 1).all() and len(set(cosine[-1])) == 1  # equal examples tie, in order of position
+
+
 @pytest.fixture(scope="module")
 def held(spark):
     folder = SMALL.replace("sf0.001", "sf0.1")  # the smaller tables hold out six toxic rows
