@@ -71,31 +71,81 @@ def _points(s: Column, n: Column) -> Column:
     return F.least(total, F.lit(100)) / 100.0
 
 
+#: Letters other than ASCII ones that equal an ASCII letter where case is ignored.
+_FOLDED = re.compile("[\u0130\u0131\u017f\u212a]")
+_WORD_CHARS = frozenset(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_TO_WORDS = bytes(c if c in _WORD_CHARS else 32 for c in range(256))
+_TO_LINES = bytes(10 if c == 10 else b for c, b in enumerate(_TO_WORDS))
+_TO_RUNS = bytes(c if c in _WORD_CHARS or c == ord("_") else 32 for c in range(256))
+_ONE_WORD = frozenset(j.encode() for j in JOURNALS if j.isalpha())
+#: Begins of the other journal names.
+_OTHER = tuple(j.replace("\\", "") for j in JOURNALS if not j.isalpha())
+_LISTED = re.compile(r",\s*[A-Z][a-z]")
+
+
+def _runs(s: str) -> int:
+    """Runs of the word pattern's characters that hold a letter or digit; what is not ASCII ends a run."""
+    return len(s.encode("ascii", "replace").translate(_TO_WORDS, b"'-").split())
+
+
+class _Beyond(dict):
+    """Words of a token by the pattern less its runs; tokens met often are counted once."""
+
+    def __init__(self, pattern: re.Pattern) -> None:
+        super().__init__()
+        self.pattern = pattern
+
+    def __missing__(self, token: str) -> int:
+        n = len(self.pattern.findall(token)) - _runs(token)
+        if len(token) <= 32:
+            if len(self) >= 100_000:
+                self.clear()
+            self[token] = n
+        return n
+
+
 class Bibliography:
     """The same score for texts at hand, for steps that go through a document in turn."""
 
     def __init__(self) -> None:
         self.found = {name: re.compile(p.replace("(?U)", "")) for name, p in (("doi", DOI), ("url", URL), ("et_al", ET_AL), ("year", YEAR), ("brackets", BRACKETS), ("journal", JOURNAL), ("authors", AUTHORS), ("word", WORD_PATTERN))}
+        self.beyond = _Beyond(self.found["word"])
 
     def count(self, name: str, s: str) -> int:
         return sum(1 for _ in self.found[name].finditer(s))
 
     def words(self, s: str) -> int:
-        return len(self.found["word"].findall(s))
-
-    def score(self, s: str) -> float:
-        """Of a text in one line."""
+        """Matches of the word pattern: runs, which only tokens with an underscore or beyond ASCII can have more or less of."""
+        return _runs(s) + self._beyond(s)
+
+    def words_each(self, texts: list[str]) -> list[int]:
+        """:meth:`words` of many texts, each in one line."""
+        lines = "\n".join(texts).encode("ascii", "replace").translate(_TO_LINES, b"'-").split(b"\n") if texts else []
+        return [len(line.split()) + self._beyond(s) for line, s in zip(lines, texts, strict=True)]
+
+    def _beyond(self, s: str) -> int:
+        if s.isascii() and "_" not in s:
+            return 0
+        return sum(map(self.beyond.__getitem__, [t for t in s.split() if not t.isascii() or "_" in t]))
+
+    def journal(self, s: str, low: str) -> bool:
+        """The pattern is looked for only where a run of word characters, or a plain part, is a journal's."""
+        may = not _ONE_WORD.isdisjoint(low.encode("ascii", "replace").translate(_TO_RUNS).split()) or any(o in low for o in _OTHER)
+        return (may or not s.isascii() and _FOLDED.search(s) is not None) and self.found["journal"].search(s) is not None
+
+    def score(self, s: str, words: int | None = None) -> float:
+        """Of a text in one line; ``words`` is its word count where that is known."""
         if not s:
             return 1.0
-        low, n = s.lower(), max(1, self.words(s))
+        low, n = s.lower(), max(1, self.words(s) if words is None else words)
         doi = self.count("doi", s) if "10." in s or "doi" in low else 0
         years = self.count("year", s) if "19" in s or "20" in s else 0
         points = 35 * (doi >= 1) + 25 * (doi >= 2) + 20 * (years >= 3) + 15 * (years >= 5) + 15 * (n < 120 and years >= 3)
         points += 20 if ("http" in low or "www." in low) and self.found["url"].search(s) else 0
         points += 25 if "et al" in low and self.found["et_al"].search(s) else 0
         points += 20 if "[" in s and self.count("brackets", s) >= 3 else 0
-        points += 15 if self.found["journal"].search(s) else 0
-        points += 30 if "," in s and self.found["authors"].search(s) else 0
+        points += 15 if self.journal(s, low) else 0
+        points += 30 if "," in s and _LISTED.search(s) and self.found["authors"].search(s) else 0
         points += 15 if n < 180 and sum(map(s.count, PUNCTUATION)) / max(1, len(s)) > 0.12 else 0
         return min(points, 100) / 100.0
 
@@ -106,18 +156,31 @@ class Headings:
     def __init__(self) -> None:
         self.strict, self.loose = re.compile(rf"(?i)\s*({REFERENCE_HEADINGS})\s*"), re.compile(rf"(?i)\s*({REFERENCE_HEADINGS})\b")
         self.numbered, self.names = re.compile(NUMBERED_HEADING.replace("(?U)", "")), frozenset(SECTION_HEADINGS)
+        self.first = frozenset(c for h in REFERENCE_HEADINGS.split("|") for c in (h[0], h[0].upper()))
+        self.most_words = max(len(h.split()) for h in SECTION_HEADINGS)
 
     def reference(self, s: str) -> bool:
         head = s[:80]
-        return bool(s) and bool(self.strict.fullmatch(head) or self.loose.match(head) and len(s.split()) <= 6)
+        if head.lstrip()[:1] not in self.first:
+            return False
+        return bool(self.strict.fullmatch(head) or self.loose.match(head) and len(s.split()) <= 6)
 
     def section(self, s: str, words: int) -> bool:
         """``words`` is the text's word count."""
         if not s:
             return False
-        if s.lower().strip(" :.-") in self.names or s[0].isdigit() and self.numbered.match(s):
+        if words <= self.most_words and s.lower().strip(" :.-") in self.names or s[0].isdigit() and self.numbered.match(s):
             return True
-        return len(s) <= 100 and words <= 10 and not s.endswith(".") and any("A" <= c <= "Z" for c in [c for c in s if c.isascii() and c.isalpha()][:10])
+        if len(s) > 100 or words > 10 or s[-1] == ".":
+            return False
+        letters = 0
+        for c in s:
+            if "A" <= c <= "Z":
+                return True
+            letters += "a" <= c <= "z"
+            if letters == 10:
+                return False
+        return False
 
 
 def is_reference_like(c: Column | str, threshold: float = THRESHOLD) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 # --- fixed values: patterns of the data model ------------------------------------------------
 WORD_PATTERN = r"\b[0-9A-Za-z][0-9A-Za-z'\-]*\b"
-SENTENCE_END = r"(?U)(?<=[.!?])\s+"
-UNIT_END = r"(?U)(?<=[。.!?])\s+"
+SENTENCE_ENDS, UNIT_ENDS = ".!?", "。.!?"
+SENTENCE_END = rf"(?U)(?<=[{SENTENCE_ENDS}])\s+"
+UNIT_END = rf"(?U)(?<=[{UNIT_ENDS}])\s+"
 TRUNCATED = " ...[truncated]"
 PUNCTUATION = ".,;:()[]"
 # ---------------------------------------------------------------------------------------------

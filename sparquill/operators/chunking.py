@@ -7,24 +7,20 @@ chunk fold, reference scores and tail merges in one pass.  Documents are rows, s
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.reference_score import THRESHOLD, Bibliography, Headings
-from sparquill.functions.text import SENTENCE_END, UNIT_END, normalize_page
+from sparquill.functions.text import SENTENCE_ENDS, UNIT_ENDS, normalize_page
 from sparquill.functions.values import passage_id
 
 TAIL_SLACK = 80
 #: Documents whose results are held before they go on.
 BATCH = 64
-_BLANKS = re.compile(r"[ \t]+")
-_SPACE = re.compile(r"\s+")
-_SENTENCE = re.compile(SENTENCE_END.replace("(?U)", ""))
-_UNIT = re.compile(UNIT_END.replace("(?U)", ""))
 _FIELDS = ("section_title", "page_start", "page_end", "para_start", "para_end", "text", "word_count")
 _CHUNK = "struct<section_title:string,page_start:int,page_end:int,para_start:int,para_end:int,text:string,word_count:int,score:double>"
 _CHUNKS = pa.list_(
@@ -32,6 +28,14 @@ _CHUNKS = pa.list_(
 )
 
 
+def _listed(chunks: list[list[dict]]) -> pa.Array:
+    """Lists of chunks, built column by column."""
+    ends = list(accumulate(map(len, chunks), initial=0))
+    fields = _CHUNKS.value_type
+    columns = [pa.array([c[f.name] for own in chunks for c in own], f.type) for f in fields]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(fields)), type=_CHUNKS)
+
+
 def pages_of(page_rows: DataFrame, document: str = "guideline_id", page: str = "page_no", text: str = "text") -> DataFrame:
     """One row per document with its page texts in order, from one row per page."""
     pages = F.transform(F.array_sort(F.collect_list(F.struct(F.col(page).alias("n"), F.coalesce(F.col(text), F.lit("")).alias("t")))), lambda p: p["t"])
@@ -40,9 +44,11 @@ def pages_of(page_rows: DataFrame, document: str = "guideline_id", page: str = "
 
 def units_of(page: str | None) -> list[str]:
     """Units of a page, each in one line: pieces that end with sentence punctuation before white space."""
-    # White space that holds a line end is one line end, other blanks are one.
-    whole = _SPACE.sub(lambda m: "\n" if "\n" in m.group() else m.group(), _BLANKS.sub(" ", (page or "").replace("\r", "\n")))
-    return [u for u in (" ".join(part.split()) for part in _UNIT.split(whole)) if u]
+    # With all white space as single blanks, a unit ends where punctuation stands before a blank.
+    whole = " ".join((page or "").split())
+    for end in UNIT_ENDS:
+        whole = whole.replace(end + " ", end + "\n")
+    return whole.split("\n") if whole else []
 
 
 class Units:
@@ -53,8 +59,8 @@ class Units:
 
     def __call__(self, pages: list[str | None]) -> Iterator[tuple[int, int, str, int, bool, bool]]:
         for p, page in enumerate(pages, 1):
-            for k, text in enumerate(units_of(page), 1):
-                words = self.bibliography.words(text)
+            texts = units_of(page)
+            for k, (text, words) in enumerate(zip(texts, self.bibliography.words_each(texts), strict=True), 1):
                 yield p, k, text, words, self.headings.reference(text), self.headings.section(text, words)
 
 
@@ -88,10 +94,16 @@ def unit_rows(docs: DataFrame, normalize: bool = False) -> DataFrame:
 
 
 def overlap_of(text: str, n_sentences: int, max_words: int = 40) -> str:
+    """The last sentences, at most their last ``max_words`` tokens: a sentence ends with a token that ends with its punctuation."""
     if n_sentences <= 0:
         return ""
-    own = " ".join([s for s in _SENTENCE.split(text) if s.strip()][-n_sentences:]).split()
-    return " ".join(own[-max_words:])
+    own = text.rsplit(None, max_words)[-max_words:]
+    for k in range(len(own) - 1, 0, -1):
+        if own[k - 1][-1] in SENTENCE_ENDS:
+            n_sentences -= 1
+            if not n_sentences:
+                return " ".join(own[k:])
+    return " ".join(own)
 
 
 def fold_units(units: list[tuple], max_words: int, overlap: int, words_of) -> tuple[list[dict], int]:
@@ -164,13 +176,13 @@ def passages(
                 finals, counts = [], []
                 for pages in batch.column(3).to_pylist():
                     raw, zone = fold_units(list(units(pages)), max_words, overlap_sentences, units.bibliography.words)
-                    kept = [c for c in (c | {"score": score(c["text"])} for c in raw) if c["score"] < threshold]
-                    merged = [c if c["score"] is not None else c | {"score": score(c["text"])} for c in merged_tails(kept, min_words, max_words)]
+                    kept = [c for c in (c | {"score": score(c["text"], c["word_count"])} for c in raw) if c["score"] < threshold]
+                    merged = [c if c["score"] is not None else c | {"score": score(c["text"], c["word_count"])} for c in merged_tails(kept, min_words, max_words)]
                     final = [c for c in merged if c["score"] < threshold]
                     finals.append(final)
                     counts.append((len(raw), zone, len(raw) - len(kept), len(kept), len(merged) - len(final), len(final)))
                 cols = [pa.array(c, pa.int32()) for c in zip(*counts, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols, pa.array(finals, _CHUNKS)], names=["guideline_id", "source_pdf", "num_pages", *_COUNTS, "final"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols, _listed(finals)], names=["guideline_id", "source_pdf", "num_pages", *_COUNTS, "final"])
 
     pages = F.coalesce("pages", F.array().cast("array<string>"))
     ready = docs.select(F.col("guideline_id").cast("string"), F.col("source_pdf").cast("string"), F.size(pages).alias("num_pages"), (F.transform(pages, normalize_page) if normalize else pages).alias("pages"))

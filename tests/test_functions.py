@@ -107,6 +107,30 @@ def test_scores_and_headings_agree_in_both_forms(spark):
         assert (r.s, r.r, r.h) == (score.score(line), headings.reference(line), headings.section(line, score.words(line)))
 
 
+def test_words_and_journals_equal_their_patterns():
+    import random
+    import re
+
+    from sparquill.functions import reference_score as R
+
+    score, dice = R.Bibliography(), random.Random(5)
+    parts = [*"aZ09é中ſKİı_'-.,;( )", " ", " ", "j.", "j.x", "Ann", "med", "co-op", "intensive care", "clİn", "ſurg", "medicines"]
+    lines = ["".join(dice.choice(parts) for _ in range(dice.randint(0, 12))) for _ in range(4000)]
+    own = [len(re.findall(R.WORD_PATTERN, x)) for x in lines]
+    assert [score.words(x) for x in lines] == own == score.words_each(lines)
+    assert [score.journal(x, x.lower()) for x in lines] == [bool(re.search(R.JOURNAL, x)) for x in lines]
+    assert score.words_each([]) == []
+
+
+def test_slow_patterns_run_only_where_they_can_match():
+    from sparquill.functions import reference_score as R
+
+    score = R.Bibliography()
+    for name in ("journal", "authors", "word"):
+        del score.found[name]  # a use of it raises
+    assert score.score("plain words, of a text without any of them; twelve in all, here.") == 0.0
+
+
 def test_units_agree_in_both_forms(spark):
     from sparquill.operators.chunking import units_of
 
