@@ -20,6 +20,8 @@ from sparquill.runtime import write_table
 BLOCK = 2048
 #: Queries that go to the tasks at once.
 QUERY_CHUNK = 4096
+#: Queries that a task compares with a block at once, and candidates whose scores it sums at once: its memory, whatever the number of queries.
+QUERY_BLOCK, PIECE = 256, 16384
 
 
 def _matrix(column) -> np.ndarray:
@@ -88,20 +90,53 @@ def search(corpus: DataFrame, queries: DataFrame, k: int, chunk: int = QUERY_CHU
     return found
 
 
+class _Best:
+    """The k best of a block of queries so far, as flat (row, id, score) in order of row and rank.
+
+    A block product finds the candidates, with room for its rounding; what it finds is summed again one by
+    one, so that equal vectors have equal scores wherever they stand and ties go by id.
+    """
+
+    def __init__(self, q: np.ndarray, k: int) -> None:
+        self.q, self.k = q, k
+        self.rows, self.ids, self.scores = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0)
+        self.bound = np.full(len(q), -np.inf)
+        self.room = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1))
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        s = self.q @ x.T
+        room = self.room * np.sqrt(np.fmax.reduce((x * x).sum(axis=1)))
+        found = ~(s < (self.bound - room)[:, None])
+        if s.shape[1] > self.k and found.sum() > 4 * self.k * len(s):
+            own = -np.partition(-s, self.k - 1, axis=1)[:, self.k - 1]
+            found &= ~(s < (own - 2 * room)[:, None])
+        row, col = np.nonzero(found)
+        if not len(row):
+            return
+        exact = np.concatenate([(self.q[row[at : at + PIECE]] * x[col[at : at + PIECE]]).sum(axis=1) for at in range(0, len(row), PIECE)])
+        rows, ids, scores = np.concatenate((self.rows, row.astype(np.int32))), np.concatenate((self.ids, ids[col])), np.concatenate((self.scores, exact))
+        order = np.lexsort((ids, -scores, rows))
+        rows = rows[order]
+        starts = np.searchsorted(rows, np.arange(len(self.q)))
+        rank = np.arange(len(rows)) - starts[rows]
+        keep = order[rank < self.k]
+        self.rows, self.ids, self.scores = rows[rank < self.k], ids[keep], scores[keep]
+        last = rank == self.k - 1
+        self.bound[rows[last]] = scores[order[last]]
+
+
 def _searcher(query_ids, q: np.ndarray, k: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, scores = np.empty((len(q), 0), np.int64), np.empty((len(q), 0))
+        best = [_Best(q[at : at + QUERY_BLOCK], k) for at in range(0, len(q), QUERY_BLOCK)] if k > 0 else []
         for batch in batches:
-            if not batch.num_rows or not len(q):
+            if not batch.num_rows or not best:
                 continue
             own, x = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
-            for at in range(0, len(own), 2048):
-                all_ids = np.concatenate((ids, np.broadcast_to(own[at : at + 2048], (len(q), len(own[at : at + 2048])))), axis=1)
-                all_scores = np.concatenate((scores, q @ x[at : at + 2048].T), axis=1)
-                order = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-                ids, scores = np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_scores, order, 1)
-        if ids.size:
-            row = np.repeat(np.arange(len(q), dtype=np.int32), ids.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(ids.ravel()), pa.array(scores.ravel())], names=["q", "id", "score"])
+            for at in range(0, len(own), BLOCK):
+                for b in best:
+                    b.add(own[at : at + BLOCK], x[at : at + BLOCK])
+        for n, b in enumerate(best):
+            if len(b.rows):
+                yield pa.RecordBatch.from_arrays([pa.array(b.rows + np.int32(n * QUERY_BLOCK)), pa.array(b.ids), pa.array(b.scores)], names=["q", "id", "score"])
 
     return scan

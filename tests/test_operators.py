@@ -207,3 +207,31 @@ def test_conflicts_against_all_pairs(spark, least):
     jaccard = lambda x, y: len({*x} & {*y}) / len({*x} | {*y})
     want = {(a, b) for b in range(len(sets)) for a in range(b) if jaccard(sets[a], sets[b]) >= least}
     assert {(x.a, x.b) for x in pools.conflicts(rows, least).collect()} == want
+
+
+def test_search_holds_the_same_memory_for_many_queries():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from sparquill.operators.vectors import _searcher
+
+    dice = np.random.default_rng(3)
+    q, x = dice.normal(size=(4096, 8)), dice.normal(size=(6000, 8))
+    x[[5, 4000, 5999]] = x[17]  # equal vectors: by id, wherever they stand
+    ids = dice.permutation(6000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[at : at + 2500]), pa.array(list(x[at : at + 2500]))], names=["id", "vector"]) for at in range(0, 6000, 2500)]
+    tracemalloc.start()
+    found = pa.Table.from_batches(_searcher(None, q, 5)(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    got = {}
+    for row, name, score in zip(*(found.column(c).to_pylist() for c in ("q", "id", "score")), strict=True):
+        got.setdefault(row, []).append((-score, name))
+    for row in range(0, 4096, 97):
+        scores = (q[row] * x).sum(axis=1)
+        assert sorted(got[row]) == sorted(zip((-scores).tolist(), ids.tolist(), strict=True))[:5]
+    few = pa.Table.from_batches(_searcher(None, q[:2], 9)(iter([batches[0].slice(0, 4)])))
+    assert few.num_rows == 8
