@@ -8,6 +8,7 @@ chunk fold, reference scores and tail merges in one pass.  Documents are rows, s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import accumulate
 
 import pyarrow as pa
@@ -164,10 +165,10 @@ def passages(
 
     Chunks flush at ``max_words``; a short chunk joins the one before it in the same section within
     ``max_words + 80`` words; bibliography-like chunks go before and after that.  Null pages and documents
-    without units give no passages but a row of counts.
+    without units give no passages but a row of counts.  Each of the two goes through the documents by itself.
     """
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fold(batches: Iterator[pa.RecordBatch], texts: bool = True) -> Iterator[pa.RecordBatch]:
         units = Units()
         score = units.bibliography.score
         for whole in batches:
@@ -179,20 +180,23 @@ def passages(
                     kept = [c for c in (c | {"score": score(c["text"], c["word_count"])} for c in raw) if c["score"] < threshold]
                     merged = [c if c["score"] is not None else c | {"score": score(c["text"], c["word_count"])} for c in merged_tails(kept, min_words, max_words)]
                     final = [c for c in merged if c["score"] < threshold]
-                    finals.append(final)
+                    if texts:
+                        finals.append(final)
                     counts.append((len(raw), zone, len(raw) - len(kept), len(kept), len(merged) - len(final), len(final)))
                 cols = [pa.array(c, pa.int32()) for c in zip(*counts, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols, _listed(finals)], names=["guideline_id", "source_pdf", "num_pages", *_COUNTS, "final"])
+                names = ["guideline_id", "source_pdf", "num_pages", *_COUNTS]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *cols, _listed(finals)], names=[*names, "final"]) if texts else pa.RecordBatch.from_arrays([*batch.columns[:3], *cols], names=names)
 
     pages = F.coalesce("pages", F.array().cast("array<string>"))
     ready = docs.select(F.col("guideline_id").cast("string"), F.col("source_pdf").cast("string"), F.size(pages).alias("num_pages"), (F.transform(pages, normalize_page) if normalize else pages).alias("pages"))
-    folded = ready.mapInArrow(fold, "guideline_id string, source_pdf string, num_pages int, " + ", ".join(f"{c} int" for c in _COUNTS) + f", final array<{_CHUNK}>")
+    kinds = "guideline_id string, source_pdf string, num_pages int, " + ", ".join(f"{c} int" for c in _COUNTS)
+    folded = ready.mapInArrow(fold, kinds + f", final array<{_CHUNK}>")
     rows = folded.select("guideline_id", "source_pdf", F.posexplode("final").alias("k", "c"))
     out = rows.select(
         "guideline_id", passage_id("guideline_id", F.col("k") + 1).alias("passage_id"), "source_pdf", *(f"c.{f}" for f in _FIELDS),
         F.col("c.score").alias("reference_list_score"), (F.col("c.score") >= threshold).alias("is_reference_like_by_regex"),
     )
-    return out, folded.drop("final")
+    return out, ready.mapInArrow(partial(fold, texts=False), kinds)  # texts that nobody reads stay with the workers
 
 
 def model_filter(rows: DataFrame, scorer, threshold: float = 0.80, batch: int = 64) -> DataFrame:

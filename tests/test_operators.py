@@ -81,6 +81,14 @@ def test_greedy_equals_going_through(spark):
     assert pools.without_near_duplicates(df, 0.0).count() == 1
 
 
+def test_counts_move_no_passages(spark):
+    docs = spark.createDataFrame([("g", "s", ["One. Two three. " * 40])], "guideline_id string, source_pdf string, pages array<string>")
+    rows, counts = chunking.passages(docs, 4, 9)
+    assert counts.first().num_kept_chunks_after_tail_merge == rows.count() > 0
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "final" not in plan
+
+
 def test_search_beyond_the_corpus(spark):
     corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None)], "id long, vector array<double>")
     asked = spark.createDataFrame([("q", [0.5, 0.5])], "query_id string, vector array<double>")
