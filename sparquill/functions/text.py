@@ -42,6 +42,11 @@ def norm_ws(c: Column | str) -> Column:
     return strip(F.regexp_replace(text(c), r"(?U)\s+", " "))
 
 
+def has_text(c: Column | str) -> Column:
+    """Whether :func:`norm_ws` leaves anything; looks no further than the first character that is no white space."""
+    return text(c).rlike(r"(?U)\S")
+
+
 def norm_value(c: Column | str, falsy: tuple = (0, False)) -> Column:
     """:func:`norm_ws` of a scalar where zero and false count as missing."""
     base = norm_ws(c)
@@ -112,7 +117,10 @@ def truncate(c: Column | str, max_chars: int) -> Column:
     if max_chars <= 0:
         return norm_ws(c)
     cut = lambda s: F.regexp_replace(F.substring(s, 1, max_chars), r"(?U)\s+$", "")
-    return let(norm_ws(c), lambda s: F.when(F.length(s) > max_chars, F.concat(cut(s), F.lit(TRUNCATED))).otherwise(s))
+    whole, most = text(c), 2 * max_chars + 64
+    # A beginning that is too long in one line already tells the whole line's; the whole is read where it is not.
+    start = let(norm_ws(F.substring(whole, 1, most)), lambda s: F.when((F.length(s) > max_chars) | (F.length(whole) <= most), s).otherwise(norm_ws(whole)))
+    return let(start, lambda s: F.when(F.length(s) > max_chars, F.concat(cut(s), F.lit(TRUNCATED))).otherwise(s))
 
 
 def cut_at_word(c: Column | str, max_chars: int) -> Column:

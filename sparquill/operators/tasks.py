@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.jsonio import parsed, request, response_text
-from sparquill.functions.text import col, compact_list, norm_value, norm_ws, text, truncate
+from sparquill.functions.text import col, compact_list, has_text, let, norm_value, norm_ws, text, truncate
 from sparquill.functions.values import number_after
 
 
@@ -70,7 +70,7 @@ def _lines(*pairs: tuple[str, Column]) -> Column:
 def seed_prompt() -> Column:
     """A passage with its source fields; null without an id or a text (the row is skipped)."""
     whole = F.concat_ws("\n", _lines(*((c, text(c)) for c in ("passage_id", "guideline_id", "section_title", "page_start", "page_end", "word_count", "reference_list_score"))), F.lit("\nPassage text:"), text("text"))
-    return F.when((F.length(norm_ws("passage_id")) > 0) & (F.length(norm_ws("text")) > 0), whole)
+    return F.when(has_text("passage_id") & has_text("text"), whole)
 
 
 def pool_prompt(max_source_chars: int = 1000, most: int = 30, first_only: bool = False, min_passages: int = 5) -> Column:
@@ -92,16 +92,17 @@ def pool_prompt(max_source_chars: int = 1000, most: int = 30, first_only: bool =
 def chosen_passages(top_n: int = 5, passages: Column | str = "retrieved_passages") -> Column:
     """The first ``top_n`` retrieved passages, those without text then dropped."""
     given = F.coalesce(col(passages), F.array())
-    return F.filter(F.slice(given, 1, top_n), lambda p: F.length(norm_ws(p["text"])) > 0)
+    return F.filter(F.slice(given, 1, top_n), lambda p: has_text(p["text"]))
 
 
 def context_block(passages: Column, max_chars: int = 1800) -> Column:
     """Numbered passages with their source fields, a blank line between them; fields that a passage lacks are empty, as is a score of zero."""
 
     def block(p: Column, i: Column) -> Column:
-        field = lambda name: F.try_variant_get(F.to_variant_object(p), f"$.{name}", "string")
-        fields = [(name, norm_value(field(name))) for name in ("passage_id", "guideline_id", "main_topic", "section", "rerank_score")]
-        return F.concat_ws("\n", F.concat(F.lit("["), (i + 1).cast("string"), F.lit("]")), _lines(*fields, ("text", truncate(p["text"], max_chars))))
+        names = ("passage_id", "guideline_id", "main_topic", "section", "rerank_score")
+        own = F.to_variant_object(p.withField("text", F.lit("")))  # a variant for fields that may be missing; the text is not copied into it
+        head = let(own, lambda v: _lines(*((name, norm_value(F.try_variant_get(v, f"$.{name}", "string"))) for name in names)))
+        return F.concat_ws("\n", F.concat(F.lit("["), (i + 1).cast("string"), F.lit("]")), head, _lines(("text", truncate(p["text"], max_chars))))
 
     return F.array_join(F.transform(passages, block), "\n\n")
 

@@ -131,6 +131,23 @@ def test_slow_patterns_run_only_where_they_can_match():
     assert score.score("plain words, of a text without any of them; twelve in all, here.") == 0.0
 
 
+def test_truncation_reads_a_beginning_and_equals_the_whole(spark):
+    texts = [None, "", " \u00a0\n", "a b", "x " * 60, " " * 500 + "late", "a" + " " * 300 + "b" * 30, ("ab  " * 9 + " " * 90) * 3, "\U0001f600 " * 99, "abcdefghi" + " " * 200 + "j", "abcdefghij" + " " * 200, "\u2003" * 200 + "é"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, x string")
+    got = rows.select("k", X.truncate("x", 10).alias("t"), X.has_text("x").alias("h")).collect()
+    for r in got:
+        line = " ".join((texts[r.k] or "").split())
+        assert (r.t, r.h) == (line[:10].rstrip() + X.TRUNCATED if len(line) > 10 else line, line != "")
+
+
+def test_request_texts_are_not_copied_for_other_fields(spark, tmp_path):
+    from sparquill.plans import registry
+
+    spark.createDataFrame([(1, "x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = registry.queries()["request_lines"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_variant_object") <= 4  # one for the five fields of a passage wherever the prompt is used
+
+
 def test_units_agree_in_both_forms(spark):
     from sparquill.operators.chunking import units_of
 
