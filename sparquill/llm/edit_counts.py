@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -53,16 +54,16 @@ class CountTree:
         """The tree that :meth:`state` wrote, over its text; nothing is encoded."""
         self = cls.__new__(cls)
         self.encoder, self.size, self.encoded_chars = encoder, size, 0
-        raw = np.frombuffer(tree, "<u4").astype(np.int64)
-        self.sums = raw[1:].reshape(-1, 2).copy()
+        n = int.from_bytes(tree[:4], "little")
+        self.sums = np.frombuffer(tree, "<u4", offset=4).reshape(-1, 2).astype(np.int64)
         self.leaves = len(self.sums) // 2
-        ends = np.cumsum(self.sums[self.leaves : self.leaves + int(raw[0]), 0]).tolist()
+        ends = list(accumulate(self.sums[self.leaves : self.leaves + n, 0].tolist()))
         self.segments = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         return self
 
     def state(self) -> bytes:
         """Number of segments and the sums of all nodes, little-endian uint32."""
-        return np.concatenate(([len(self.segments)], self.sums.ravel())).astype("<u4").tobytes()
+        return len(self.segments).to_bytes(4, "little") + self.sums.astype("<u4").tobytes()
 
     def _build(self, tokens: list[int]) -> None:
         n = len(self.segments)
@@ -73,7 +74,7 @@ class CountTree:
         width = self.leaves
         while width > 1:
             half = width // 2
-            self.sums[half:width] = self.sums[width : 2 * width].reshape(half, 2, 2).sum(axis=1)
+            np.add(self.sums[width : 2 * width : 2], self.sums[width + 1 : 2 * width : 2], out=self.sums[half:width])
             width = half
 
     @property
@@ -113,16 +114,14 @@ class CountTree:
             last += 1
             region += self.segments[last]
         pieces = segments_of(region, self.size)
-        _, counts = self.encoder.encode(pieces)
+        counts = self.encoder.counts(pieces)
         self.encoded_chars += len(region)
         if len(pieces) == last + 1 - first:
             for k, (piece, n) in enumerate(zip(pieces, counts.tolist(), strict=True), first):
                 self.segments[k] = piece
                 node = self.leaves + k
-                delta = np.array([len(piece), n]) - self.sums[node]
-                while node:
-                    self.sums[node] += delta
-                    node //= 2
+                path = [node >> up for up in range(node.bit_length())]  # to the root
+                self.sums[path] += np.array((len(piece), n)) - self.sums[node]
             return
         tokens = self.sums[self.leaves : self.leaves + len(self.segments), 1].tolist()
         tokens[first : last + 1] = counts.tolist()
@@ -160,7 +159,7 @@ def count_trees(docs: DataFrame, tokenizer_name: str = TOKENIZER, size: int = SE
         for batch in sliced(batches, "text", 2 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             parts = [segments_of(t, size) for t in texts]
-            counts = encoder.encode([s for p in parts for s in p])[1].tolist()
+            counts = encoder.counts([s for p in parts for s in p]).tolist()
             trees, at = [], 0
             for part in parts:
                 trees.append(CountTree(part, counts[at : at + len(part)], encoder, size).state())

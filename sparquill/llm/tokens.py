@@ -19,6 +19,8 @@ from sparquill.llm._runtime import cuts
 TOKENIZER = "word_bpe_49k.json"
 #: Characters of a text whose words are held at once.
 PIECE = 1 << 20
+#: New words that are encoded as they are; more are put together first.
+FEW = 8
 #: Separators only Python splits at, letters it lowers by context, and the start of special tokens.
 _ODD = re.compile("[\x1c-\x1fΣİ]|<\\|")
 
@@ -102,7 +104,27 @@ class CachedTokenizer:
             return np.concatenate([p for own in parts for p in own]), np.array([sum(map(len, own)) for own in parts], np.int64)
         return self._encode(texts)
 
-    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, texts: list[str | None]) -> np.ndarray:
+        """Length of each text's ids, without the ids; the words of a long text are held piece by piece."""
+        if any(text and len(text) > PIECE for text in texts):
+            return np.array([sum(int(self._counts([piece])[0]) for piece in cuts(text or "", PIECE)) for text in texts], np.int64)
+        return self._counts(texts)
+
+    def _counts(self, texts: list[str | None]) -> np.ndarray:
+        words, counts, whole = self._words(texts)
+        at = self._numbers(words)
+        before = np.zeros(len(words) + 1, np.int64)
+        (self.ends[at + 1] - self.ends[at]).cumsum(out=before[1:])
+        bounds = np.zeros(len(texts) + 1, np.int64)
+        counts.cumsum(out=bounds[1:])
+        own = before[bounds]
+        lengths = own[1:] - own[:-1]
+        for i, ids in whole.items():
+            lengths[i] = len(ids)
+        return lengths
+
+    def _words(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, dict[int, np.ndarray]]:
+        """Words of the texts in a row, how many each has, and the ids of texts that are encoded whole."""
         words: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         whole: dict[int, np.ndarray] = {}
@@ -114,6 +136,10 @@ class CachedTokenizer:
                 own = text.lower().split()
                 counts[i] = len(own)
                 words += own
+        return words, counts, whole
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Where the words stand in the cache; new ones are added."""
         if len(self.index) > self.most:
             self._clear()
         index = self.index
@@ -121,8 +147,14 @@ class CachedTokenizer:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             new = [words[k] for k in missing.tolist()]
-            self._add(list(dict.fromkeys(new)))
+            distinct = list(dict.fromkeys(new))
+            (self._put_each if len(distinct) <= FEW else self._add)(distinct)
             at[missing] = np.fromiter(map(index.__getitem__, new), np.int64, len(new))
+        return at
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        words, counts, whole = self._words(texts)
+        at = self._numbers(words)
         first, size = self.ends[at], self.ends[at + 1] - self.ends[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0

@@ -113,3 +113,25 @@ def test_the_bound_is_not_met_by_the_documents(spark):
             most = max(most, p.n_open)
         p.take()
     assert most < packing.MAX_OPEN
+
+
+def test_counts_need_no_ids(monkeypatch):
+    import numpy as np
+
+    from sparquill.llm import edit_counts, tokens
+
+    texts = [*TEXTS, None, "", "new, words. of\x1cone <| text", "İstanbul", "a b " * 40, "hi, " + "x1-y " * 3]
+    expected = CachedTokenizer().encode(texts)[1].tolist()
+    assert CachedTokenizer().counts(texts).tolist() == expected
+    monkeypatch.setattr(tokens, "PIECE", 5)
+    assert CachedTokenizer().counts(texts).tolist() == expected
+    assert CachedTokenizer().counts([]).tolist() == []
+    enc = CachedTokenizer()
+    monkeypatch.setattr(enc, "encode", None)  # a use of it raises
+    text = "some words, and more of them. " * 60
+    parts = edit_counts.segments_of(text)
+    tree = edit_counts.CountTree(parts, enc.counts(parts).tolist(), enc)
+    tree.edit(100, 3, "put in ")
+    again = edit_counts.CountTree.kept(tree.text, tree.state(), enc)
+    assert tree.n_tokens == again.n_tokens == int(enc.counts([text[:100] + "put in " + text[103:]])[0])
+    assert again.segments == tree.segments and np.array_equal(again.sums, tree.sums)
